@@ -11,9 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from martlane.operators import analysis as A
 from martlane.operators import marts as E
-from martlane.plans.warehouse import star_for
+from martlane.operators import quality as D
+from martlane.operators.load import derive_people, derive_returns
+from martlane.plans.warehouse import FACT_PARTITION, star_for
+from martlane.schemas import PRIMARY_KEYS
+from martlane.sources.driver import returns_extract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +36,68 @@ def _star(fn):
     return run
 
 
+# Load-time columns that never enter an oracle comparison.
+LOAD_COLUMNS = ("created_at", "sales_id", FACT_PARTITION)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """Drop load stamps / surrogate ids; DECIMAL -> double at the boundary."""
+    cols = []
+    for f in df.schema.fields:
+        if f.name in LOAD_COLUMNS:
+            continue
+        c = F.col(f.name)
+        cols.append(c.cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else c)
+    return df.select(*cols)
+
+
+def _key_tables(s):
+    return {
+        "dim_date": (s.dim_date, PRIMARY_KEYS["dim_date"]),
+        "dim_customer": (s.dim_customer, PRIMARY_KEYS["dim_customer"]),
+        "dim_customer_key": (s.dim_customer_key, PRIMARY_KEYS["dim_customer"]),
+        "dim_product": (s.dim_product, PRIMARY_KEYS["dim_product"]),
+        "dim_product_key": (s.dim_product_key, PRIMARY_KEYS["dim_product"]),
+        "dim_people": (s.dim_people, PRIMARY_KEYS["dim_people"]),
+        "fact_sales": (s.fact_sales, PRIMARY_KEYS["fact_sales"]),
+    }
+
+
+def _orders_vs_returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.orders_vs_returns(star_for(spark, sf_dir).raw_orders, returns_extract(spark, sf_dir))
+
+
 QUERIES: dict[str, QueryFn] = {
+    # S5/S6 scan of the loaded staging table, S7/S8 derived staging tables
+    "scan_raw_orders": _star(lambda s: comparable(s.raw_orders)),
+    "derive_returns": _star(lambda s: derive_returns(s.raw_orders)),
+    "derive_people": _star(lambda s: derive_people(s.raw_orders)),
+    # T1-T5 star schema (load stamps and surrogate ids left out)
+    "dim_date": _star(lambda s: comparable(s.dim_date)),
+    "dim_customer": _star(lambda s: comparable(s.dim_customer)),
+    "dim_customer_key": _star(lambda s: comparable(s.dim_customer_key)),
+    "dim_product": _star(lambda s: comparable(s.dim_product)),
+    "dim_product_key": _star(lambda s: comparable(s.dim_product_key)),
+    "dim_people": _star(lambda s: comparable(s.dim_people)),
+    "fact_sales": _star(lambda s: comparable(s.fact_sales)),
+    # D1-D12 quality checks, K1 key checks, S18 table counts
+    "dq_row_counts": _star(lambda s: D.row_counts(s.raw_orders, s.raw_returns, s.raw_people)),
+    "dq_missing_keys": _star(lambda s: D.missing_keys(s.raw_orders)),
+    "dq_duplicate_row_id": _star(lambda s: D.duplicate_row_id(s.raw_orders, 50)),
+    "dq_duplicate_lines": _star(lambda s: D.duplicate_lines(s.raw_orders, 50)),
+    "dq_negative_values": _star(lambda s: D.negative_values(s.raw_orders)),
+    "dq_invalid_discount": _star(lambda s: D.invalid_discount(s.raw_orders)),
+    "dq_category_distribution": _star(lambda s: D.category_distribution(s.raw_orders, 10)),
+    "dq_market_distribution": _star(lambda s: D.market_distribution(s.raw_orders)),
+    "dq_returned_values": _star(lambda s: D.returned_values(s.raw_returns)),
+    "dq_orders_vs_returns": _star(lambda s: D.orders_vs_returns(s.raw_orders, s.raw_returns)),
+    "dq_orders_vs_returns_extract": _orders_vs_returns_extract,
+    "dq_null_distribution": _star(lambda s: D.null_distribution(s.raw_orders)),
+    "dq_summary": _star(lambda s: D.summary(s.raw_orders)),
+    "key_checks": _star(lambda s: D.key_checks(_key_tables(s))),
+    "table_counts": _star(lambda s: D.table_counts(s.fact_sales.sparkSession, {
+        "fact_sales": s.fact_sales, "dim_date": s.dim_date, "dim_customer": s.dim_customer,
+        "dim_product": s.dim_product, "dim_people": s.dim_people})),
     # E1-E6 report marts
     "kpi_overview": _star(lambda s: E.kpi_overview(s.fact_sales)),
     "monthly_sales_trends": _star(lambda s: E.monthly_sales_trends(s.fact_sales)),
