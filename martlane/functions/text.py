@@ -14,7 +14,7 @@ PY_WHITESPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 STRIP_PATTERN = rf"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+$"
-NBSP = " "
+NBSP = "\u00a0"
 
 
 def _col(c: Column | str) -> Column:

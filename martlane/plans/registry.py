@@ -117,3 +117,12 @@ QUERIES: dict[str, QueryFn] = {
     "state_performance": _star(lambda s: A.state_performance(s.fact_sales, s.dim_customer_key, STATE_REGION, 20)),
     "return_rate_by_region": _star(lambda s: A.return_rate_by_region(s.fact_sales)),
 }
+
+
+def _register_cleaning() -> None:
+    from martlane.plans.clean_keys import CLEAN_QUERIES
+
+    QUERIES.update(CLEAN_QUERIES)
+
+
+_register_cleaning()

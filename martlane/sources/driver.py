@@ -133,7 +133,7 @@ def driver_extracts(spark: SparkSession, sf_dir: str) -> Extracts:
 # The seeded-dirt rules (FIXTURES.md §2), applied to the whole
 # extract so the cleaning operators have something to clean.  Every row is
 # kept; the row_id residues only decide which rows carry a defect.
-NBSP = " "
+NBSP = "\u00a0"
 
 
 def dirty_orders(orders: DataFrame) -> DataFrame:
@@ -157,3 +157,13 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
         "order_priority",
     )
     return d.unionByName(d.filter(rid % 61 == 0))
+
+
+def supplier_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A People extract with many owners per region (every supplier, in
+    supplier-key order as ``_seq``) - input for the first-per-region rule."""
+    s = read_table(spark, sf_dir, "supplier")
+    geo = _geo(spark, sf_dir)
+    return s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey).select(
+        F.col("s_name").alias("person"), F.col("r_name").alias("region"), F.col("s_suppkey").alias("_seq")
+    )
