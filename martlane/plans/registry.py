@@ -125,4 +125,24 @@ def _register_cleaning() -> None:
     QUERIES.update(CLEAN_QUERIES)
 
 
+def _register_measures() -> None:
+    from martlane.operators import measures as V
+
+    QUERIES.update({
+        "average_order_value": _star(lambda s: V.average_order_value(s.fact_sales)),
+        "yearly_revenue": _star(lambda s: V.yearly_revenue(s.fact_sales)),
+        "monthly_revenue_by_year": _star(lambda s: V.monthly_revenue_by_year(s.fact_sales)),
+        "seasonality": _star(lambda s: V.seasonality(s.fact_sales)),
+        "peak_month_by_year": _star(lambda s: V.peak_month_by_year(s.fact_sales)),
+        "category_revenue": _star(lambda s: V.category_revenue(s.fact_sales, s.dim_product)),
+        "category_margin_spread": _star(lambda s: V.category_margin_spread(s.fact_sales, s.dim_product)),
+        "customers_by_order_count": _star(lambda s: V.customers_by_order_count(s.fact_sales)),
+        "discount_bands": _star(lambda s: V.discount_bands(s.fact_sales)),
+        "second_purchase_90d": _star(lambda s: V.second_purchase(s.fact_sales, 90)),
+        "kpi_excluding_returns": _star(lambda s: V.kpi_excluding_returns(s.fact_sales)),
+        "top_margin_product": _star(lambda s: V.top_margin_product(s.fact_sales, s.dim_product, 1)),
+    })
+
+
 _register_cleaning()
+_register_measures()
