@@ -1,0 +1,24 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from martlane.session import get_session
+
+    s = get_session("local[8]", app_name="martlane-tests", shuffle_partitions=8)
+    yield s
+
+
+@pytest.fixture()
+def scratch(tmp_path):
+    return str(tmp_path)

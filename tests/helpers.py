@@ -1,0 +1,44 @@
+"""Small-frame builders for hand fixtures."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import types as T
+
+from martlane.schemas import CLEAN_SCHEMA, ORDERS_SCHEMA
+
+DEFAULT_LINE = dict(
+    row_id=1, order_id="O1", order_date=dt.date(2014, 1, 15), ship_date=dt.date(2014, 1, 20),
+    ship_mode="Standard Class", customer_id="C1", customer_name="Ann", segment="Consumer",
+    postal_code="01234", city="Town", state="State", country="Land", region="R1", market="M1",
+    product_id="P1", category="Cat", sub_category="Sub", product_name="Thing",
+    sales=Decimal("10.00"), quantity=1, discount=Decimal("0.00"), profit=Decimal("1.00"),
+    shipping_cost=Decimal("1.00"), order_priority="High",
+)
+CLEAN_DEFAULTS = {**DEFAULT_LINE, "returned": "No", "person": "Pat", "profit_margin": None}
+
+
+def _schema(base: T.StructType, text_cols) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in text_cols else f.dataType, True)
+                         for f in base.fields])
+
+
+def orders_df(spark, rows, text_cols=()):
+    """Orders extract from dicts (missing keys take the defaults); ``text_cols``
+    are typed as string (dirty input)."""
+    schema = _schema(ORDERS_SCHEMA, text_cols)
+    data = []
+    for r in rows:
+        full = {**DEFAULT_LINE, **r}
+        data.append(tuple(
+            None if full[f.name] is None else (str(full[f.name]) if f.name in text_cols else full[f.name])
+            for f in schema.fields))
+    return spark.createDataFrame(data, schema)
+
+
+def clean_df(spark, rows):
+    """Cleaned raw_orders rows (returned / person / profit_margin have defaults)."""
+    data = [tuple({**CLEAN_DEFAULTS, **r}[f.name] for f in CLEAN_SCHEMA.fields) for r in rows]
+    return spark.createDataFrame(data, CLEAN_SCHEMA)

@@ -1,0 +1,57 @@
+"""Cross-report invariants on the driver data (sf0.001)."""
+
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from conftest import SF_SMALL
+from martlane.operators import analysis as A
+from martlane.operators import marts as E
+from martlane.operators import measures as V
+from martlane.plans.warehouse import star_for
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return star_for(spark, SF_SMALL)
+
+
+def test_revenue_agrees_across_marts(star):
+    f = star.fact_sales
+    total = E.kpi_overview(f).first().total_revenue
+    for df, c in [(E.monthly_sales_trends(f), "revenue"), (E.customer_loyalty(f), "lifetime_revenue"),
+                  (E.discount_profitability(f), "revenue"), (A.regional_leaderboard(f), "revenue")]:
+        assert math.isclose(sum(r[c] for r in df.select(c).collect()), total, rel_tol=1e-12)
+
+
+def test_category_shares_end_at_one(star):
+    rows = A.category_contribution(star.fact_sales, star.dim_product).collect()
+    assert math.isclose(rows[-1].cumulative_share, 1.0, rel_tol=1e-12)
+    assert all(a.cumulative_share <= b.cumulative_share for a, b in zip(rows, rows[1:]))
+
+
+def test_cohort_sizes_sum_to_customers(star):
+    sizes = sum(r.cohort_size for r in A.cohort_retention(star.fact_sales).collect())
+    assert sizes == E.kpi_overview(star.fact_sales).first().total_customers
+
+
+def test_fact_rows_equal_raw_rows(star):
+    assert star.fact_sales.count() == star.raw_orders.count()
+
+
+def test_sales_id_unique(star):
+    f = star.fact_sales
+    assert f.select("sales_id").distinct().count() == f.count()
+
+
+def test_histogram_counts_customers(star):
+    h = V.customers_by_order_count(star.fact_sales).collect()
+    assert sum(r.customers for r in h) == E.kpi_overview(star.fact_sales).first().total_customers
+
+
+def test_returns_excluded_kpi_not_larger(star):
+    a = E.kpi_overview(star.fact_sales).first()
+    b = V.kpi_excluding_returns(star.fact_sales).first()
+    assert b.total_revenue <= a.total_revenue and b.total_orders <= a.total_orders
