@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,17 +63,23 @@ def is_complete(spark: SparkSession, root: str) -> bool:
 
 
 def build_warehouse(
-    spark: SparkSession, extracts: Extracts, root: str, report: CleanReport | None = None, **clean_options
+    spark: SparkSession,
+    extracts: Extracts,
+    root: str,
+    report: CleanReport | None = None,
+    max_parallel_writes: int = 4,
+    **clean_options,
 ) -> Star:
     raw = clean_orders(extracts.orders, extracts.returns, extracts.people, report=report, **clean_options)
     _write(raw, f"{root}/raw_orders")
     star = build_star(spark.read.parquet(f"{root}/raw_orders"))
-    for name, df in star.tables().items():
-        if name == "raw_orders":
-            continue
-        if name == "fact_sales":
-            continue
-        _write(df, f"{root}/{name}")
+    # The staging derivations and dimensions are independent aggregates of
+    # the written table: submit them as concurrent jobs so small ones fill
+    # the cluster beside the big ones.
+    jobs = {n: df for n, df in star.tables().items() if n not in ("raw_orders", "fact_sales")}
+    with ThreadPoolExecutor(max_workers=max_parallel_writes) as pool:
+        for f in [pool.submit(_write, df, f"{root}/{n}") for n, df in jobs.items()]:
+            f.result()
     write_fact(star.fact_sales, f"{root}/fact_sales")  # last: its _SUCCESS marks completion
     return open_warehouse(spark, root)
 

@@ -1,0 +1,11 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline (clean a workbook, load it, build the
+star, export reports).  It has no stream source, no event-time logic, no
+incremental state and no continuous sink, so there is nothing to re-express
+with Structured Streaming, and no streaming operator is invented here.
+
+If extracts ever arrive continuously, the batch operators compose with
+``readStream`` + ``foreachBatch`` unchanged (each micro-batch is a
+DataFrame); that wiring is left to the deployment, not the library.
+"""
