@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ TABLES = [
 FACT_PARTITION = "order_year"
 
 _MEMO: dict[tuple[str, str], Star] = {}
+_LOCK = threading.Lock()
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -93,12 +95,13 @@ def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """The warehouse built from the driver tables in ``sf_dir`` (built once
     per application, then reused by every report)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    star = _MEMO.get(key)
-    if star is None:
-        root = warehouse_root(spark, sf_dir)
-        if is_complete(spark, root):
-            star = open_warehouse(spark, root)
-        else:
-            star = build_warehouse(spark, driver_extracts(spark, sf_dir), root)
-        _MEMO[key] = star
+    with _LOCK:  # one build per (application, input), even with concurrent callers
+        star = _MEMO.get(key)
+        if star is None:
+            root = warehouse_root(spark, sf_dir)
+            if is_complete(spark, root):
+                star = open_warehouse(spark, root)
+            else:
+                star = build_warehouse(spark, driver_extracts(spark, sf_dir), root)
+            _MEMO[key] = star
     return star
