@@ -48,6 +48,25 @@ def get_session(
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized from the input volume (for a cluster run).
+
+    Shuffle partitions are set so the largest shuffle (about the input size)
+    lands near ``target_partition_bytes`` per task; AQE then coalesces the
+    small shuffles of the aggregates and splits skewed join partitions.
+    Broadcast stays on Spark's measured-size threshold (no forced hints).
+    """
+    n = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
