@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlane.functions.dates import coerce_date
 from martlane.operators.clean import normalize_columns
 from martlane.schemas import ORDERS_SCHEMA, PEOPLE_SCHEMA, RETURNS_SCHEMA
 
@@ -37,8 +38,9 @@ def _typed(df: DataFrame, schema: T.StructType, keep_text: tuple[str, ...] = ())
         if f.name in keep_text:
             cols.append(c.cast("string").alias(f.name))
         elif isinstance(f.dataType, T.DateType):
-            cols.append(F.coalesce(c.try_cast("date"), c.cast("string").try_cast("timestamp").cast("date"))
-                        .alias(f.name))
+            # text dates, timestamps and spreadsheet serials (C13/C14 rules)
+            src = {x.name: x.dataType for x in df.schema.fields}[f.name]
+            cols.append(coerce_date(c, src).cast("date").alias(f.name))
         else:
             cols.append(c.try_cast(f.dataType).alias(f.name))
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]

@@ -53,3 +53,14 @@ def test_missing_source_raises(spark, scratch):
 
     with pytest.raises(FileNotFoundError):
         X.source_row_count(spark, f"{scratch}/nope")
+
+
+def test_typed_read_understands_serial_dates(spark, scratch):
+    import datetime as dt
+
+    df = orders_df(spark, [{"row_id": 1, "order_date": "42000"}, {"row_id": 2, "order_date": "2014-01-02"},
+                           {"row_id": 3, "order_date": "junk"}], text_cols=("order_date",))
+    K.write_csv(df, f"{scratch}/o3", single_file=True)
+    back = X.read_orders(spark, f"{scratch}/o3", "csv").orderBy("row_id")
+    assert dict(back.dtypes)["order_date"] == "date"
+    assert [r.order_date for r in back.collect()] == [dt.date(2014, 12, 27), dt.date(2014, 1, 2), None]
