@@ -74,7 +74,20 @@ def build_warehouse(
 ) -> Star:
     raw = clean_orders(extracts.orders, extracts.returns, extracts.people, report=report, **clean_options)
     _write(raw, f"{root}/raw_orders")
-    star = build_star(spark.read.parquet(f"{root}/raw_orders"))
+    return build_from_clean(spark, spark.read.parquet(f"{root}/raw_orders"), root, max_parallel_writes,
+                            written=True)
+
+
+def build_from_clean(
+    spark: SparkSession, raw: DataFrame, root: str, max_parallel_writes: int = 4, written: bool = False
+) -> Star:
+    """Load + build from a cleaned ``raw_orders`` frame: write it to
+    ``root/raw_orders`` (skipped when ``written``, i.e. it already is that
+    table), then build and write the star from the written table."""
+    if not written:
+        _write(raw, f"{root}/raw_orders")
+        raw = spark.read.parquet(f"{root}/raw_orders")
+    star = build_star(raw)
     # The staging derivations and dimensions are independent aggregates of
     # the written table: submit them as concurrent jobs so small ones fill
     # the cluster beside the big ones.
