@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import pct, ratio
-from martlane.operators.common import margin, money_sum, month_of, n_distinct
+from martlane.operators.common import margin, money_sum, month_of, n_distinct, per_product
 
 
 def _monthly(fact: DataFrame, with_profit: bool = True) -> DataFrame:
@@ -65,18 +65,18 @@ def top_products(fact: DataFrame, dim_product: DataFrame, n: int = 10) -> DataFr
     """A3: top-n products by revenue (ties: product_id, product_name).
 
     avg_discount is the exact decimal mean rounded to 3 places (the
-    reference's ``::numeric`` cast), reported as double."""
-    f = fact.select("product_id", "sales", "profit", "discount", "quantity")
+    reference's ``::numeric`` cast), reported as double.  The fact is
+    pre-aggregated per product before the join."""
     p = dim_product.select("product_id", "product_name")
-    d = F.col("discount")
+    n_disc = F.sum("p_discount_n")
     return (
-        f.join(p, "product_id")
+        per_product(fact, with_discount=True).join(p, "product_id")
         .groupBy("product_id", "product_name")
         .agg(
-            money_sum("sales").alias("_rev"),
-            money_sum("profit").alias("_pro"),
-            (F.sum(d) / F.nullif(F.count(d), F.lit(0))).alias("_avg_disc"),
-            F.sum("quantity").cast("bigint").alias("units_sold"),
+            F.sum("p_sales").alias("_rev"),
+            F.sum("p_profit").alias("_pro"),
+            (F.sum("p_discount_sum").cast("decimal(18,2)") / F.nullif(n_disc, F.lit(0))).alias("_avg_disc"),
+            F.sum("p_quantity").alias("units_sold"),
         )
         .select(
             "product_id", "product_name",
@@ -93,10 +93,9 @@ def top_products(fact: DataFrame, dim_product: DataFrame, n: int = 10) -> DataFr
 
 def category_contribution(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """A4: category, cat_sales, pct_of_total, cumulative_share (by sales desc;
-    ties by category)."""
-    f = fact.select("product_id", "sales")
+    ties by category).  Per-product pre-aggregation before the join."""
     p = dim_product.select("product_id", "category")
-    cat = f.join(p, "product_id").groupBy("category").agg(money_sum("sales").alias("cat_sales"))
+    cat = per_product(fact).join(p, "product_id").groupBy("category").agg(F.sum("p_sales").alias("cat_sales"))
     order = [F.col("cat_sales").desc_nulls_last(), F.col("category").asc_nulls_last()]
     total = F.sum("cat_sales").over(Window.partitionBy())
     running = F.sum("cat_sales").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
@@ -198,13 +197,18 @@ def regional_leaderboard(fact: DataFrame) -> DataFrame:
 
 def state_performance(fact: DataFrame, dim_customer_key: DataFrame, region: str, n: int = 20) -> DataFrame:
     """Top-n states of one region (fact region filter pushed to the scan;
-    state from the keyed customer dimension)."""
-    f = fact.filter(F.col("region") == F.lit(region)).select("customer_id", "sales", "profit")
+    lines pre-aggregated per customer; state from the keyed customer
+    dimension)."""
+    f = (
+        fact.filter(F.col("region") == F.lit(region))
+        .groupBy("customer_id")
+        .agg(F.sum("sales").alias("c_sales"), F.sum("profit").alias("c_profit"))
+    )
     c = dim_customer_key.select("customer_id", "state")
     return (
         f.join(c, "customer_id")
         .groupBy("state")
-        .agg(money_sum("sales").alias("_rev"), money_sum("profit").alias("_pro"))
+        .agg(F.sum("c_sales").alias("_rev"), F.sum("c_profit").alias("_pro"))
         .select(
             "state",
             F.col("_rev").cast("double").alias("revenue"),

@@ -27,9 +27,27 @@ def month_of(c: str = "order_date") -> Column:
     return F.trunc(F.col(c), "MM")
 
 
+def per_product(fact: DataFrame, with_discount: bool = False) -> DataFrame:
+    """Pre-aggregate the fact to one row per product before it meets the
+    product dimension: the join then moves one partial row per product and
+    partition instead of every line, and a hot product collapses map-side.
+    Sums are exact (DECIMAL / BIGINT), so re-summing after the join - once
+    per matching dimension row, which keeps the distinct-grain fan-out - is
+    identical to joining the lines."""
+    aggs = [
+        F.sum("sales").alias("p_sales"),
+        F.sum("profit").alias("p_profit"),
+        F.sum(F.col("quantity").cast("bigint")).alias("p_quantity"),
+    ]
+    if with_discount:
+        aggs += [F.sum("discount").cast("decimal(18,2)").alias("p_discount_sum"),
+                 F.count("discount").alias("p_discount_n")]
+    return fact.groupBy("product_id").agg(*aggs)
+
+
 def fact_without_dim_attrs(fact: DataFrame, *attrs: str) -> DataFrame:
     """Drop fact columns a USING-join would otherwise take from the dimension."""
     return fact.drop(*[a for a in attrs if a in fact.columns])
 
 
-__all__ = ["money_sum", "out", "n_distinct", "month_of", "margin", "pct", "fact_without_dim_attrs"]
+__all__ = ["money_sum", "out", "n_distinct", "month_of", "margin", "pct", "fact_without_dim_attrs", "per_product"]

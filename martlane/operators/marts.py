@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlane.operators.common import fact_without_dim_attrs, margin, money_sum, month_of, n_distinct
+from martlane.operators.common import fact_without_dim_attrs, margin, money_sum, month_of, n_distinct, per_product
 
 
 def kpi_overview(fact: DataFrame) -> DataFrame:
@@ -43,16 +43,16 @@ def monthly_sales_trends(fact: DataFrame) -> DataFrame:
 
 
 def product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Per product (distinct-grain dimension, so it may fan out)."""
-    f = fact.select("product_id", "sales", "profit", "quantity")
+    """Per product (distinct-grain dimension, so it may fan out).
+    The fact is pre-aggregated per product before the join."""
     p = dim_product.select("product_id", "product_name", "category", "sub_category")
     return (
-        f.join(p, "product_id")
+        per_product(fact).join(p, "product_id")
         .groupBy("product_id", "product_name", "category", "sub_category")
         .agg(
-            money_sum("sales").alias("_rev"),
-            money_sum("profit").alias("_pro"),
-            F.sum("quantity").cast("bigint").alias("units_sold"),
+            F.sum("p_sales").alias("_rev"),
+            F.sum("p_profit").alias("_pro"),
+            F.sum("p_quantity").alias("units_sold"),
         )
         .select(
             "product_id", "product_name", "category", "sub_category",
@@ -77,15 +77,23 @@ def customer_loyalty(fact: DataFrame) -> DataFrame:
 
 def regional_performance(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """E5: market and region taken from the customer dimension (fans out when
-    a customer has several regions - the reference's semantics)."""
-    f = fact_without_dim_attrs(fact, "region", "market").select("customer_id", "order_id", "sales", "profit")
+    a customer has several regions - the reference's semantics).
+
+    Lines are first reduced to one row per (customer, order); the distinct
+    counts after the join are unchanged by that, and the join moves orders,
+    not lines."""
+    f = (
+        fact_without_dim_attrs(fact, "region", "market")
+        .groupBy("customer_id", "order_id")
+        .agg(F.sum("sales").alias("o_sales"), F.sum("profit").alias("o_profit"))
+    )
     c = dim_customer.select("customer_id", "market", "region")
     return (
         f.join(c, "customer_id")
         .groupBy("market", "region")
         .agg(
-            money_sum("sales").cast("double").alias("revenue"),
-            money_sum("profit").cast("double").alias("profit"),
+            F.sum("o_sales").cast("double").alias("revenue"),
+            F.sum("o_profit").cast("double").alias("profit"),
             n_distinct("order_id").alias("orders"),
             n_distinct("customer_id").alias("customers"),
         )

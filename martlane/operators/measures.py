@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import margin, pct
-from martlane.operators.common import money_sum, n_distinct
+from martlane.operators.common import money_sum, n_distinct, per_product
 from martlane.operators.marts import kpi_overview, product_performance
 
 # Fixed value: the discount threshold the dashboard splits on (20 %).
@@ -78,12 +78,12 @@ def peak_month_by_year(fact: DataFrame) -> DataFrame:
 
 
 def category_revenue(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """V5: category, revenue, profit, profit_margin (revenue descending)."""
-    f = fact.select("product_id", "sales", "profit")
+    """V5: category, revenue, profit, profit_margin (revenue descending);
+    per-product pre-aggregation before the join."""
     p = dim_product.select("product_id", "category")
     return (
-        f.join(p, "product_id").groupBy("category")
-        .agg(money_sum("sales").alias("_rev"), money_sum("profit").alias("_pro"))
+        per_product(fact).join(p, "product_id").groupBy("category")
+        .agg(F.sum("p_sales").alias("_rev"), F.sum("p_profit").alias("_pro"))
         .select("category", F.col("_rev").cast("double").alias("revenue"),
                 F.col("_pro").cast("double").alias("profit"), margin("_pro", "_rev", 4).alias("profit_margin"))
         .orderBy(F.col("revenue").desc_nulls_last(), "category")

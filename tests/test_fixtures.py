@@ -228,3 +228,21 @@ def test_schema_audit(spark):
     df = orders_df(spark, [{}])
     rows = schema_audit(df).collect()
     assert rows[0].name == "row_id" and rows[0].ordinal == 0 and len(rows) == 24
+
+
+def test_product_fan_out_survives_pre_aggregation(spark):
+    from martlane.operators.star import build_dim_product
+
+    raw = clean_df(spark, [
+        {"row_id": 1, "product_id": "P1", "product_name": "A", "sales": Decimal("10.00"), "discount": Decimal("0.10")},
+        {"row_id": 2, "product_id": "P1", "product_name": "B", "sales": Decimal("5.00"), "discount": Decimal("0.20")},
+    ])
+    fact, dim = build_fact_sales(raw), build_dim_product(raw, "distinct")
+    e3 = sorted((r.product_name, r.revenue) for r in E.product_performance(fact, dim).collect())
+    assert e3 == [("A", 15.0), ("B", 15.0)]
+    a3 = sorted((r.product_name, r.total_revenue, r.avg_discount) for r in A.top_products(fact, dim).collect())
+    assert a3 == [("A", 15.0, 0.15), ("B", 15.0, 0.15)]
+    assert A.category_contribution(fact, dim).first().cat_sales == 30.0
+    keyed = E.product_performance(fact, build_dim_product(raw, "key")).collect()
+    # same order date on both lines: the tie goes to the lowest row_id
+    assert [(r.product_name, r.revenue) for r in keyed] == [("A", 15.0)]
