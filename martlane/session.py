@@ -70,13 +70,16 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when it
-    is unset (local tests) a folder under the temp dir is set.
+    Read from ``spark.checkpoint.dir`` (the cluster names it).  Only in
+    local mode, when it is unset (tests), a folder under the temp dir is set;
+    on a cluster an unset folder is an error, never a machine-local path.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for the cluster")
         d = os.path.join(tempfile.gettempdir(), "martlane-checkpoints")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
