@@ -130,18 +130,24 @@ def second_purchase(fact: DataFrame, days: int = 90) -> DataFrame:
     ignored).  The second purchase is the next order by (date, order_id)
     after the first.  Two aggregates and a join on the customer - no
     per-customer window, so a hot customer is split by AQE, not sorted in
-    one task."""
+    one task.  Every step groups / joins on the same two non-null keys
+    (is-null flag, coalesced id), so NULL customers form one group and the
+    partitioning of the first aggregate is reused: three shuffles in all.
+    """
+    keys = ["_kn", "_kc"]
     orders = (
         fact.filter(F.col("order_date").isNotNull())
-        .groupBy("customer_id", "order_id").agg(F.min("order_date").alias("d"))
+        .select(F.col("customer_id").isNull().alias("_kn"), F.coalesce(F.col("customer_id"), F.lit("")).alias("_kc"),
+                "order_id", "order_date")
+        .groupBy(*keys, "order_id").agg(F.min("order_date").alias("d"))
     )
-    first = orders.groupBy(F.col("customer_id").alias("_cid")).agg(
-        F.min(F.struct("d", "order_id")).alias("_first"))
-    later = orders.join(first, F.col("customer_id").eqNullSafe(F.col("_cid"))).filter(
-        F.struct("d", "order_id") > F.col("_first"))
-    second = later.groupBy(F.col("customer_id").alias("_cid2")).agg(F.min("d").alias("second_d"))
-    per = first.join(second, F.col("_cid").eqNullSafe(F.col("_cid2")), "left").select(
-        F.col("_first.d").alias("first_d"), "second_d")
+    first = orders.groupBy(*keys).agg(F.min(F.struct("d", "order_id")).alias("_first"))
+    second = (
+        orders.join(first, keys)
+        .filter(F.struct("d", "order_id") > F.col("_first"))
+        .groupBy(*keys).agg(F.min("d").alias("second_d"))
+    )
+    per = first.join(second, keys, "left").select(F.col("_first.d").alias("first_d"), "second_d")
     return per.agg(
         F.count(F.lit(1)).alias("customers"),
         F.count("second_d").alias("repeat_customers"),
