@@ -41,7 +41,7 @@ def main() -> None:
 
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
-    star_for(spark, sf_dir)  # clean -> write raw_orders -> build and write the star
+    star_for(spark, sf_dir, rebuild=True)  # fresh: clean -> write raw_orders -> build and write the star
     timings["warehouse_build"] = round(time.perf_counter() - t0, 3)
     print(f"warehouse_build {timings['warehouse_build']}s", file=sys.stderr)
 

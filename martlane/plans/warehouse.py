@@ -99,22 +99,78 @@ def build_from_clean(
     return open_warehouse(spark, root)
 
 
+DRIVER_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def code_version() -> str:
+    """Hash of the library's source: a warehouse is reused only by the code
+    that built it."""
+    import pathlib
+
+    h = hashlib.sha1()
+    pkg = pathlib.Path(__file__).resolve().parent.parent
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.relative_to(pkg).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
+def input_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the inputs (path, length, modification time of each
+    driver table) plus the code version."""
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for t in DRIVER_TABLES:
+        p, fs = _fs_path(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        if fs.exists(p):
+            st = fs.getFileStatus(p)
+            length = fs.getContentSummary(p).getLength() if st.isDirectory() else st.getLen()
+            h.update(f"{t}:{length}:{st.getModificationTime()}".encode())
+    h.update(code_version().encode())
+    return h.hexdigest()[:16]
+
+
+def warehouse_base(spark: SparkSession, sf_dir: str) -> str:
+    return f"{checkpoint_root(spark)}/martlane-warehouse/{input_tag(spark, sf_dir)}"
+
+
 def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return f"{checkpoint_root(spark)}/martlane-warehouse/{spark.sparkContext.applicationId}/{tag}"
+    """Each application builds into its own folder (no two writers share one)."""
+    return f"{warehouse_base(spark, sf_dir)}/{spark.sparkContext.applicationId}"
+
+
+def find_complete(spark: SparkSession, base: str) -> str | None:
+    """A finished build for the same inputs and code, if any (its fact
+    ``_SUCCESS`` marker is written last)."""
+    p, fs = _fs_path(spark, base)
+    if not fs.exists(p):
+        return None
+    for st in fs.listStatus(p):
+        root = st.getPath().toString()
+        if st.isDirectory() and is_complete(spark, root):
+            return root
+    return None
+
 
+def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
+    """The warehouse built from the driver tables in ``sf_dir``.
 
-def star_for(spark: SparkSession, sf_dir: str) -> Star:
-    """The warehouse built from the driver tables in ``sf_dir`` (built once
-    per application, then reused by every report)."""
+    Built once per application; a finished build of the same inputs by the
+    same code (an earlier application) is reused unless ``rebuild``.
+    """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:  # one build per (application, input), even with concurrent callers
-        star = _MEMO.get(key)
+        star = None if rebuild else _MEMO.get(key)
         if star is None:
-            root = warehouse_root(spark, sf_dir)
-            if is_complete(spark, root):
-                star = open_warehouse(spark, root)
+            done = None if rebuild else find_complete(spark, warehouse_base(spark, sf_dir))
+            if done is not None:
+                star = open_warehouse(spark, done)
             else:
-                star = build_warehouse(spark, driver_extracts(spark, sf_dir), root)
+                star = build_warehouse(spark, driver_extracts(spark, sf_dir), warehouse_root(spark, sf_dir))
             _MEMO[key] = star
     return star
