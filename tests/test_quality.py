@@ -1,0 +1,46 @@
+"""Quality checks on a raw table that has defects (the driver data has almost none)."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from helpers import clean_df
+from martlane.operators import quality as D
+from martlane.operators.star import build_dim_product
+
+
+def _raw(spark):
+    return clean_df(spark, [
+        {"row_id": 1, "order_id": "O1", "product_id": "P1", "quantity": -2, "sales": Decimal("-5.00")},
+        {"row_id": 1, "order_id": "O1", "product_id": "P1", "profit": Decimal("-1.00")},
+        {"row_id": 2, "order_id": None, "product_id": "P2", "discount": Decimal("1.50"), "sales": None},
+        {"row_id": None, "order_id": "O3", "product_id": "P2", "product_name": "Other", "quantity": None,
+         "profit": None},
+    ])
+
+
+def test_single_pass_counters(spark):
+    r = D.quality_scan(_raw(spark)).first()
+    assert (r.orders_raw_count, r.missing_order_id, r.missing_row_id) == (4, 1, 1)
+    assert (r.negative_quantity, r.negative_sales, r.negative_profit) == (1, 1, 1)
+    assert r.invalid_discount == 1
+    assert (r.sales_nulls, r.quantity_nulls, r.profit_nulls) == (1, 1, 1)
+
+
+def test_duplicates_and_summary(spark):
+    raw = _raw(spark)
+    assert [tuple(x) for x in D.duplicate_row_id(raw).collect()] == [(1, 2)]
+    assert [tuple(x) for x in D.duplicate_lines(raw).collect()] == [("O1", "P1", 2)]
+    summary = {r.check: r.value for r in D.summary(raw).collect()}
+    assert summary == {"orders_raw_count": 4, "missing_order_id": 1, "invalid_discount": 1,
+                       "negative_quantity": 1, "duplicate_row_id": 1}
+
+
+def test_key_checks_and_missing_table(spark):
+    raw = _raw(spark)
+    dim = build_dim_product(raw, "distinct")  # P2 has two names -> a duplicated key
+    got = {r.table_name: (r.dup_keys, r.null_keys) for r in D.key_checks({
+        "dim_product": (dim, ["product_id"]), "raw_orders": (raw, ["row_id"])}).collect()}
+    assert got == {"dim_product": (1, 0), "raw_orders": (1, 1)}
+    counts = {r.table_name: r.rows for r in D.table_counts(spark, {"raw": raw, "absent": None}).collect()}
+    assert counts == {"raw": 4, "absent": None}
