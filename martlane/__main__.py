@@ -4,8 +4,8 @@
       clean the extracts; write DIR/cleaned_orders.csv and DIR/cleaned_orders.parquet
   python -m martlane build  --clean DIR/cleaned_orders.parquet --warehouse W
       load + build the star at W; print the smoke checks and table counts
-  python -m martlane export --warehouse W --out DIR
-      write the six report marts as CSV, print rows per file
+  python -m martlane export --warehouse W --out DIR [--fmt csv|parquet]
+      write the six report marts, print rows per file
   python -m martlane report --warehouse W --name KEY [--limit N]
       show one analysis / check / measure (see ``REPORTS``)
 
@@ -78,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     e = sub.add_parser("export")
     e.add_argument("--warehouse", required=True)
     e.add_argument("--out", required=True)
+    e.add_argument("--fmt", default="csv", choices=["csv", "parquet"])
     r = sub.add_parser("report")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--name", required=True, choices=sorted(REPORTS))
@@ -121,7 +122,7 @@ def main(argv: list[str] | None = None) -> int:
             if not _exists(spark, f"{args.warehouse}/fact_sales"):
                 print(f"ERROR: warehouse not found: {args.warehouse}", file=sys.stderr)
                 return 1
-            for name, rows in export_all(open_warehouse(spark, args.warehouse), args.out).items():
+            for name, rows in export_all(open_warehouse(spark, args.warehouse), args.out, args.fmt).items():
                 print(f"Exported {name:<30} rows: {rows}")
         elif args.cmd == "report":
             _show(REPORTS[args.name](open_warehouse(spark, args.warehouse)), args.limit)

@@ -64,3 +64,12 @@ def test_typed_read_understands_serial_dates(spark, scratch):
     back = X.read_orders(spark, f"{scratch}/o3", "csv").orderBy("row_id")
     assert dict(back.dtypes)["order_date"] == "date"
     assert [r.order_date for r in back.collect()] == [dt.date(2014, 12, 27), dt.date(2014, 1, 2), None]
+
+
+def test_export_all_parquet(spark, scratch):
+    star = star_for(spark, SF_SMALL)
+    counts = K.export_all(star, scratch, fmt="parquet")
+    assert "monthly_sales_trends.parquet" in counts
+    back = spark.read.parquet(f"{scratch}/monthly_sales_trends.parquet")
+    assert back.count() == counts["monthly_sales_trends.parquet"]
+    assert dict(back.dtypes)["month"] == "date"
