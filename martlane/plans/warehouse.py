@@ -122,15 +122,16 @@ def code_version() -> str:
 
 
 def input_tag(spark: SparkSession, sf_dir: str) -> str:
-    """Fingerprint of the inputs (path, length, modification time of each
-    driver table) plus the code version."""
+    """Fingerprint of the inputs (path, length and modification time of each
+    driver table) plus the code version.  One metadata call per table: a
+    directory table is identified by its own status only, never by listing
+    its files (which on object storage could take minutes at 100 TB)."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
     for t in DRIVER_TABLES:
         p, fs = _fs_path(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         if fs.exists(p):
             st = fs.getFileStatus(p)
-            length = fs.getContentSummary(p).getLength() if st.isDirectory() else st.getLen()
-            h.update(f"{t}:{length}:{st.getModificationTime()}".encode())
+            h.update(f"{t}:{st.getLen()}:{st.getModificationTime()}:{st.isDirectory()}".encode())
     h.update(code_version().encode())
     return h.hexdigest()[:16]
 
