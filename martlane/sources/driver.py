@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.schemas import ORDERS_COLUMNS
+from martlane.schemas import ORDERS_SCHEMA, conform
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,7 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     # three times.  Catalyst keeps the written order without CBO statistics.
     order_side = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
     joined = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return joined.select(
+    joined_cols = joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_id"),
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -87,7 +87,10 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         (sales - qty * F.col("p_retailprice").cast("decimal(12,2)")).alias("profit"),
         F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).alias("shipping_cost"),
         F.col("o_orderpriority").alias("order_priority"),
-    ).select(*ORDERS_COLUMNS)
+    )
+    # Conform to the extract contract (money DECIMAL(18,2), as a real extract
+    # is read); ANSI casts raise on overflow rather than corrupt a value.
+    return conform(joined_cols, ORDERS_SCHEMA)
 
 
 def returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
