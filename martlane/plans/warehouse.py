@@ -158,6 +158,13 @@ def find_complete(spark: SparkSession, base: str) -> str | None:
     return None
 
 
+def register_star(spark: SparkSession, name: str, star: Star) -> None:
+    """Make an already built warehouse answer the registry's queries under
+    ``name`` (used when the star was built from real extracts)."""
+    with _LOCK:
+        _MEMO[(spark.sparkContext.applicationId, os.path.abspath(name))] = star
+
+
 def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """The warehouse built from the driver tables in ``sf_dir``.
 
