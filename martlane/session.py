@@ -64,6 +64,10 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # AQE may replace a sort-merge join by a shuffled hash join when every
+        # measured build-side partition is below this size: no sort of the
+        # big side (e.g. order lines joined to the returns flag).
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(target_partition_bytes),
     }
 
 
