@@ -48,15 +48,19 @@ def get_session(
     return spark
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(
+    input_bytes: int, target_partition_bytes: int = 512 << 20, max_shuffle_partitions: int = 100_000
+) -> dict[str, str]:
     """Settings sized from the input volume (for a cluster run).
 
     Shuffle partitions are set so the largest shuffle (about the input size)
-    lands near ``target_partition_bytes`` per task; AQE then coalesces the
-    small shuffles of the aggregates and splits skewed join partitions.
-    Broadcast stays on Spark's measured-size threshold (no forced hints).
+    lands near ``target_partition_bytes`` per task, capped so that map x
+    reduce shuffle blocks stay manageable (100 TB -> 100k partitions of about
+    1 GB at the single full-row shuffle, far less everywhere else); AQE then
+    coalesces the small shuffles of the aggregates and splits skewed join
+    partitions.  Broadcast stays on Spark's measured-size threshold.
     """
-    n = max(200, int(input_bytes // target_partition_bytes))
+    n = min(max(200, int(input_bytes // target_partition_bytes)), max_shuffle_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
