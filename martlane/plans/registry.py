@@ -119,6 +119,16 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 
+def _source_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martlane.plans.warehouse import DRIVER_TABLES
+    from martlane.sources.extracts import source_row_counts
+
+    return source_row_counts(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in DRIVER_TABLES})
+
+
+QUERIES["source_row_counts"] = _source_row_counts
+
+
 def _register_cleaning() -> None:
     from martlane.plans.clean_keys import CLEAN_QUERIES
 

@@ -81,3 +81,20 @@ def source_row_count(spark: SparkSession, path: str, fmt: str = "parquet") -> in
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(path)
     return _read_raw(spark, path, fmt).count()
+
+
+def source_row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """S17 as a table: (table_name, rows) for each input, every path checked
+    to exist first.  Counts come from Parquet footers (no column is read)."""
+    parts = []
+    for name, path in paths.items():
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            raise FileNotFoundError(path)
+        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+                     .select(F.lit(name).alias("table_name"), "rows"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
