@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import pct, ratio
-from martlane.operators.common import margin, money_sum, month_of, n_distinct, per_product
+from martlane.operators.common import money_sum, month_of, n_distinct, per_product
 
 
 def _monthly(fact: DataFrame, with_profit: bool = True) -> DataFrame:

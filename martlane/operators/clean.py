@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martlane.functions.dates import coerce_date
 from martlane.functions.numeric import null_out_of_range, profit_margin, to_money

@@ -4,7 +4,6 @@ or its seeded-dirt variant (every row of it; see ``sources.driver``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martlane.functions.dates import coerce_date, serial_to_timestamp
 from martlane.functions.numeric import null_out_of_range, profit_margin, to_money

@@ -6,7 +6,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import clean_df, orders_df
 from martlane.functions.dates import coerce_date

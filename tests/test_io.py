@@ -73,3 +73,25 @@ def test_export_all_parquet(spark, scratch):
     back = spark.read.parquet(f"{scratch}/monthly_sales_trends.parquet")
     assert back.count() == counts["monthly_sales_trends.parquet"]
     assert dict(back.dtypes)["month"] == "date"
+
+
+def test_load_view_and_catalog_table(spark, scratch):
+    from martlane.operators.load import load_raw_orders
+
+    df = orders_df(spark, [{"row_id": i} for i in range(3)])
+    load_raw_orders(df, "raw_orders_test_view")
+    assert spark.sql("SELECT COUNT(*) AS n FROM raw_orders_test_view").first().n == 3
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS martlane_test LOCATION '{scratch}/db'")
+    K.save_table(df, "martlane_test.raw_orders")                  # create or replace
+    K.save_table(df.limit(1), "martlane_test.raw_orders", False)  # if not exists: kept as is
+    assert spark.table("martlane_test.raw_orders").count() == 3
+    spark.sql("DROP DATABASE martlane_test CASCADE")
+
+
+def test_scale_conf_bounds():
+    from martlane.session import scale_conf
+
+    big = scale_conf(100 * 2**40)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]) > 0
