@@ -39,11 +39,19 @@ def main() -> None:
     from martlane.plans.registry import QUERIES
     from martlane.plans.warehouse import star_for
 
+    from martlane.plans.extract_store import extracts_for
+
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
+    # data preparation: the three extracts (and the seeded-dirt Orders
+    # variant) derived from the driver tables, written once as files
+    extracts_for(spark, sf_dir, rewrite=True)
+    extracts_for(spark, sf_dir, dirty=True, rewrite=True)
+    timings["extract_files"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
     star_for(spark, sf_dir, rebuild=True)  # fresh: clean -> write raw_orders -> build and write the star
     timings["warehouse_build"] = round(time.perf_counter() - t0, 3)
-    print(f"warehouse_build {timings['warehouse_build']}s", file=sys.stderr)
+    print(f"extract_files {timings['extract_files']}s warehouse_build {timings['warehouse_build']}s", file=sys.stderr)
 
     for key, fn in QUERIES.items():
         def run() -> float:
@@ -58,7 +66,7 @@ def main() -> None:
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({
-        "metric": "warehouse build + sum of median per-query seconds (all registered queries)",
+        "metric": "extract files + warehouse build + sum of median per-query seconds (all registered queries)",
         "value": total,
         "unit": "sec",
         "queries": timings,

@@ -9,20 +9,27 @@ from martlane.functions.dates import coerce_date, serial_to_timestamp
 from martlane.functions.numeric import null_out_of_range, profit_margin, to_money
 from martlane.functions.text import fill_postal, normalize_space
 from martlane.operators import clean as C
-from martlane.sources.driver import (
-    dirty_orders,
-    orders_extract,
-    people_extract,
-    returns_extract,
-    supplier_people,
-)
+from martlane.plans.extract_store import extracts_for
+from martlane.sources.driver import supplier_people
 
 # Region-split parameters that fit the driver data (FIXTURES.md §2).
 SPLIT = dict(country="AMERICA", states=("NATION_1", "NATION_6"), inside="Eastern America", outside="Western America")
 
 
 def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_orders(orders_extract(spark, sf_dir))
+    return extracts_for(spark, sf_dir, dirty=True).orders
+
+
+def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracts_for(spark, sf_dir).orders
+
+
+def returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracts_for(spark, sf_dir).returns
+
+
+def people_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracts_for(spark, sf_dir).people
 
 
 def _doubles(df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from martlane.operators.clean import CleanReport, clean_orders
 from martlane.operators.star import Star, build_star
 from martlane.session import checkpoint_root
-from martlane.sources.driver import Extracts, driver_extracts
+from martlane.sources.driver import Extracts
 
 TABLES = [
     "raw_orders", "raw_returns", "raw_people", "dim_date", "dim_customer", "dim_customer_key",
@@ -179,6 +179,9 @@ def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
             if done is not None:
                 star = open_warehouse(spark, done)
             else:
-                star = build_warehouse(spark, driver_extracts(spark, sf_dir), warehouse_root(spark, sf_dir))
+                from martlane.plans.extract_store import extracts_for
+
+                ex = extracts_for(spark, sf_dir)
+                star = build_warehouse(spark, ex, warehouse_root(spark, sf_dir))
             _MEMO[key] = star
     return star
