@@ -66,9 +66,10 @@ calendar- or taxonomy-bounded aggregates), `topk` TakeOrderedAndProject,
 `sort_agg` sort-based aggregates (struct-valued min/max).
 
 Reading guide: report queries over the written warehouse shuffle only
-projected, pre-aggregated columns; the cleaning-rule keys include the
-driver-table adapter (line items joined to orders, customers and parts),
-whose line grain is shuffled twice.
+projected, pre-aggregated columns; the cleaning-rule keys read the extract
+files (written once from the driver tables) and shuffle for the exact
+duplicate drop and the returns join; `dq_orders_vs_returns_extract`
+derives the Returns extract from the driver tables directly.
 
 {head}
 {sep}
