@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martlane.functions.dates import coerce_date
 from martlane.functions.numeric import null_out_of_range, profit_margin, to_money
 from martlane.functions.text import fill_postal, normalize_column_name, normalize_flag, normalize_space
+from martlane.operators.common import checked_broadcast
 from martlane.schemas import CLEAN_SCHEMA, conform
 
 # The default territory split (country, its eastern provinces,
@@ -149,10 +150,14 @@ def attach_people(df: DataFrame, people: DataFrame, fill: bool = True) -> DataFr
     """Left join the territory owner on region; NULL regions match
     each other (as in pandas).  Unmatched -> 'Unknown' when ``fill``.
     When either side lacks a region column every row gets 'Unknown' (C12a).
+    The people side is broadcast after a bounded size check.
     """
     if "region" not in df.columns or "region" not in people.columns:
         return df.withColumn("person", F.lit(UNKNOWN))
-    p = people.select(F.col("region").alias("_people_region"), F.col("person"))
+    # one owner per region: a handful of rows, but the key has few values, so
+    # a shuffle join would put whole regions into single tasks - broadcast
+    # behind a size check instead
+    p = checked_broadcast(people.select(F.col("region").alias("_people_region"), F.col("person")))
     base = df.drop("person") if "person" in df.columns else df
     out = base.join(p, base["region"].eqNullSafe(p["_people_region"]), "left").drop("_people_region")
     if fill:
@@ -162,7 +167,7 @@ def attach_people(df: DataFrame, people: DataFrame, fill: bool = True) -> DataFr
 
 def unmatched_regions(orders: DataFrame, people: DataFrame) -> DataFrame:
     """C12b report: regions of order lines with no territory owner -> (region, rows)."""
-    p = people.select(F.col("region").alias("_people_region"))
+    p = checked_broadcast(people.select(F.col("region").alias("_people_region")))
     return (
         orders.join(p, orders["region"].eqNullSafe(p["_people_region"]), "left_anti")
         .groupBy("region")

@@ -45,9 +45,25 @@ def per_product(fact: DataFrame, with_discount: bool = False) -> DataFrame:
     return fact.groupBy("product_id").agg(*aggs)
 
 
+# Rows a side may hold to be broadcast by ``checked_broadcast``.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it is proven small: a bounded count
+    (``limit(max_rows + 1)``, so the check never reads more than that) runs
+    first.  Beyond the bound the frame is returned as is and the planner
+    joins it with a shuffle.  For sides whose size is a business bound (one
+    row per region) rather than a data volume - a join on such a low-
+    cardinality key must not become a shuffle join."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def fact_without_dim_attrs(fact: DataFrame, *attrs: str) -> DataFrame:
     """Drop fact columns a USING-join would otherwise take from the dimension."""
     return fact.drop(*[a for a in attrs if a in fact.columns])
 
 
-__all__ = ["money_sum", "out", "n_distinct", "month_of", "margin", "pct", "fact_without_dim_attrs", "per_product"]
+__all__ = ["money_sum", "out", "n_distinct", "month_of", "margin", "pct", "fact_without_dim_attrs", "per_product",
+           "checked_broadcast", "BROADCAST_MAX_ROWS"]

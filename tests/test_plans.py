@@ -37,3 +37,29 @@ def test_python_udf_is_detected(spark):
 
     slow = F.udf(lambda x: x, "long")
     assert P.python_nodes(spark.range(3).select(slow("id"))) != []
+
+
+def test_checked_broadcast_only_under_the_bound(spark):
+    from martlane.operators.common import checked_broadcast
+
+    small = spark.createDataFrame([("R1", "Pat"), ("R2", "Al")], "region string, person string")
+    big = spark.range(1000).selectExpr("cast(id as string) AS region")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = big.join(checked_broadcast(small, max_rows=10), "region", "left")
+        assert "BroadcastHashJoin" in P.physical_plan(joined)
+        not_proven = big.join(checked_broadcast(small, max_rows=1), "region", "left")
+        assert "BroadcastHashJoin" not in P.physical_plan(not_proven)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_people_join_never_shuffles_on_region(spark):
+    """Even when no table is small enough for automatic broadcast, the
+    low-cardinality region join stays a broadcast (checked size)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        phys = P.physical_plan(QUERIES["attach_people"](spark, SF_SMALL))
+        assert "SortMergeJoin" not in phys and "BroadcastHashJoin" in phys
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
