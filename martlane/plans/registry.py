@@ -20,7 +20,6 @@ from martlane.operators import quality as D
 from martlane.operators.load import derive_people, derive_returns
 from martlane.plans.warehouse import FACT_PARTITION, star_for
 from martlane.schemas import PRIMARY_KEYS
-from martlane.sources.driver import returns_extract
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -64,7 +63,9 @@ def _key_tables(s):
 
 
 def _orders_vs_returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.orders_vs_returns(star_for(spark, sf_dir).raw_orders, returns_extract(spark, sf_dir))
+    from martlane.plans.extract_store import extracts_for
+
+    return D.orders_vs_returns(star_for(spark, sf_dir).raw_orders, extracts_for(spark, sf_dir).returns)
 
 
 QUERIES: dict[str, QueryFn] = {

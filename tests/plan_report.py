@@ -69,7 +69,7 @@ Reading guide: report queries over the written warehouse shuffle only
 projected, pre-aggregated columns; the cleaning-rule keys read the extract
 files (written once from the driver tables) and shuffle for the exact
 duplicate drop and the returns join; `dq_orders_vs_returns_extract`
-derives the Returns extract from the driver tables directly.
+reads the Returns extract file.
 
 {head}
 {sep}
