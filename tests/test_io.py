@@ -95,3 +95,18 @@ def test_scale_conf_bounds():
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]) > 0
+
+
+def test_extract_files_match_the_adapter(spark):
+    from martlane.plans.extract_store import extracts_for
+    from martlane.sources.driver import driver_extracts
+
+    ex = extracts_for(spark, SF_SMALL)
+    direct = driver_extracts(spark, SF_SMALL)
+    assert ex.orders.dtypes == direct.orders.dtypes  # (Parquet reads every column as nullable)
+    assert ex.orders.inputFiles() and len(ex.orders.inputFiles()) > 1  # parallel splits
+    for a, b in [(ex.orders, direct.orders), (ex.returns, direct.returns), (ex.people, direct.people)]:
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    dirty = extracts_for(spark, SF_SMALL, dirty=True)
+    assert dirty.orders.count() > ex.orders.count()  # seeded exact duplicates
+    assert dirty.returns.count() == ex.returns.count()
