@@ -37,3 +37,21 @@ def test_clean_build_export_report(spark, scratch, capsys):
 
 def test_missing_input_exit_code(scratch):
     assert main(["build", "--clean", f"{scratch}/none", "--warehouse", f"{scratch}/wh"]) == 1
+
+
+def test_clean_from_parquet_with_text_dates(spark, scratch, capsys):
+    from pyspark.sql import functions as F
+
+    ex = driver_extracts(spark, SF_SMALL)
+    serial = F.date_diff(F.col("order_date"), F.lit("1899-12-30").cast("date")).cast("string")
+    ex.orders.withColumn("order_date", serial).write.parquet(f"{scratch}/pq/orders")
+    ex.returns.write.parquet(f"{scratch}/pq/returns")
+    ex.people.write.parquet(f"{scratch}/pq/people")
+    assert main(["clean", "--orders", f"{scratch}/pq/orders", "--returns", f"{scratch}/pq/returns",
+                 "--people", f"{scratch}/pq/people", "--out", f"{scratch}/out", "--fmt", "parquet",
+                 "--dates-as-string"]) == 0
+    capsys.readouterr()
+    cleaned = spark.read.parquet(f"{scratch}/out/cleaned_orders.parquet")
+    assert dict(cleaned.dtypes)["order_date"] == "date"
+    got = cleaned.select("row_id", "order_date").exceptAll(ex.orders.select("row_id", "order_date"))
+    assert got.count() == 0  # serial numbers came back as the original dates
