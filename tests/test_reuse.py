@@ -1,0 +1,31 @@
+"""Warehouse reuse: a finished build is found again, an unfinished one is
+not, and the fingerprint changes with the inputs and with the code."""
+
+from __future__ import annotations
+
+import os
+
+from conftest import SF_ORACLE, SF_SMALL
+from martlane.plans import warehouse as W
+
+
+def test_find_complete_only_finished_builds(spark, scratch):
+    base = f"{scratch}/base"
+    os.makedirs(f"{base}/app-unfinished/fact_sales")
+    assert W.find_complete(spark, base) is None
+    os.makedirs(f"{base}/app-done/fact_sales")
+    open(f"{base}/app-done/fact_sales/_SUCCESS", "w").close()
+    assert W.find_complete(spark, base).endswith("app-done")
+    assert W.find_complete(spark, f"{scratch}/missing") is None
+
+
+def test_fingerprint_tracks_inputs_and_code(spark, monkeypatch):
+    a = W.input_tag(spark, SF_SMALL)
+    assert a == W.input_tag(spark, SF_SMALL)
+    assert a != W.input_tag(spark, SF_ORACLE)
+    monkeypatch.setattr(W, "code_version", lambda: "other-code")
+    assert a != W.input_tag(spark, SF_SMALL)
+
+
+def test_star_is_memoised_per_application(spark):
+    assert W.star_for(spark, SF_SMALL) is W.star_for(spark, SF_SMALL)
