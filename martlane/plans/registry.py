@@ -1,8 +1,8 @@
 """Query registry: key -> callable(spark, sf_dir) -> DataFrame.
 
 Reports run over the materialised warehouse built from the driver tables
-(``plans.warehouse.star_for``); operators that act on the extracts
-themselves (cleaning rules, staging derivations) run over the extracts.
+(``plans.warehouse.star_for``); the cleaning rules act on the extracts
+themselves and read the extract files (``plans.extract_store``).
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -2,8 +2,9 @@
 
 The reference cleans once, writes a Parquet file, loads it and builds the
 star with CTAS statements; reports then read the built tables.  Same here:
-``build_warehouse`` runs the cleaning plan once (its only full-row shuffle is
-the exact-duplicate drop), writes ``raw_orders``, builds every dimension and
+``build_warehouse`` runs the cleaning plan once (its full-row shuffles are
+the exact-duplicate drop and the returns join on the order key), writes
+``raw_orders``, builds every dimension and
 the fact from the *written* table and writes them too.  Written tables cut
 the lineage (a lost executor costs a task retry, not a re-clean) and every
 report starts from a column-pruned Parquet scan.
