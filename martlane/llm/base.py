@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -20,7 +21,18 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 CHUNK_ROWS = 512
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has
+    it in, whatever folder the driver was started from."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlane.llm import bpe, secrets, simhash
-from martlane.llm.base import table
+from martlane.llm import bpe, secrets, simhash, toxicity
+from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
 
@@ -29,6 +30,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.bpe(docs, bpe_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
@@ -37,6 +45,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_simhash": op6_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
 }
 
