@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.llm import bpe, secrets, simhash, toxicity
+from martlane.llm import bpe, ctw, secrets, simhash, toxicity
 from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 10) == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -45,6 +49,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_simhash": op6_simhash,
+    "op7_ctw": op7_ctw,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
 }
