@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.llm import bpe, ctw, secrets, simhash, toxicity
+from martlane.llm import ann, bpe, ctw, secrets, simhash, toxicity
 from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -46,12 +46,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe(docs, bpe_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
 
 
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op6_simhash": op6_simhash,
     "op7_ctw": op7_ctw,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
+    "op10_forest": op10_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {}
