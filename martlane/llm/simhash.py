@@ -128,8 +128,10 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, id: str =
     roots = written(spark, components(spark, edges), "roots")
     named = roots.join(fps, roots.node == fps.fp).groupBy("root").agg(F.min("least_id").alias("linked_id"))
     linked = roots.join(named, "root").select(F.col("node").alias("fp"), "linked_id")
-    groups = fps.join(linked, "fp", "left").select(
-        "fp", F.coalesce("linked_id", "least_id").alias("component_id"))
+    # written, so that the last join shuffles both sides itself and a hot
+    # fingerprint's rows can be split over tasks
+    groups = written(spark, fps.join(linked, "fp", "left").select(
+        "fp", F.coalesce("linked_id", "least_id").alias("component_id")), "components")
     return each.join(groups, "fp").select(
         id, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
