@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.llm import ann, bpe, ctw, quality, secrets, simhash, toxicity
+from martlane.llm import ann, bpe, ctw, linededup, mixing, quality, secrets, simhash, toxicity
 from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -31,6 +31,17 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), "weight", "block", "start")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
@@ -58,6 +69,8 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_ctw": op7_ctw,
     "op8_toxicity": op8_toxicity,
