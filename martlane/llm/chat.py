@@ -104,7 +104,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     said = written(spark, pieces(rows, False).groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")).join(
         quotes.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi"), "chat-said")
     linked = quotes.join(said, ["conv_id", "hash"]).where("origin < turn").groupBy("conv_id", "turn").agg(
-        F.max(F.struct(-F.col("level"), "words", "origin")).alias("best"), F.count(F.lit(1)).alias("n_linked"))
+        F.max(F.struct(-F.col("level"), "words", "origin")).alias("best"), F.count_distinct("level", "hash").alias("n_linked"))
     linked = written(spark, linked.select(
         F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("best.origin").alias("origin"), "n_linked"), "chat-links")
     turns = rows.select(F.col("conv_id").alias("_pc"), (F.col("turn") + 1).alias("_pt")).distinct()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.llm import ann, bpe, ctw, linededup, mixing, quality, secrets, simhash, toxicity
+from martlane.llm import ann, bpe, chat, ctw, linededup, mixing, quality, secrets, simhash, toxicity
 from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -31,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs).select(
@@ -69,6 +73,7 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
+    "op3_chat": op3_chat,
     "op4_line_dedup": op4_line_dedup,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
