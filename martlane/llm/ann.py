@@ -126,7 +126,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, gather: float = G
             shard = shard.sort_by("least")
             ids, asks = shard["least"].to_numpy(), block["q"].to_numpy()
             forest, qv = Forest(matrix(shard["v"])), matrix(block["qv"])
-            for i, found in enumerate(forest.search(qv, gather * len(ids))):
+            # k + 1 rows a tree: one range at least then holds so many rows
+            enough = max(gather * len(ids), forest.trees * (k + 1))
+            for i, found in enumerate(forest.search(qv, enough)):
                 score = np.sqrt(((forest.vectors[found] - qv[i]) ** 2).sum(axis=1))
                 best = np.argsort(score, kind="stable")[:k + 1]
                 out["q"].append(np.full(len(best), asks[i]))
