@@ -71,9 +71,10 @@ class Novelty:
 
     def rate(self, text: str, start: int, end: int) -> float:
         """Marginal bytes per byte of ``text[start:end]`` after its
-        surroundings on both sides (without further copies of itself)."""
+        surroundings on both sides.  Later copies of it do not count as
+        surroundings, so the first of several copies is judged by itself."""
         own = text[start:end]
-        near = (text[end:end + SURROUNDINGS] + "\n" + text[max(0, start - SURROUNDINGS):start]).replace(own, "")
+        near = text[end:end + SURROUNDINGS].replace(own, "") + "\n" + text[max(0, start - SURROUNDINGS):start]
         near_b, own_b = near.encode("utf-8", "replace"), own.encode()
         return (self.size(near_b + own_b) - self.size(near_b)) / len(own_b)
 
