@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from martlane.llm.base import crc_mod, texts_of, written
 
-DEPTH = 5
+DEPTH = 4
 BUCKET_BYTES = 24 << 20
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 CONTEXTS_PER_PART = 200_000
 GRAM, WORD, TEXT = 0, 1, 2
 LOG_HALF = math.log(0.5)
@@ -239,26 +239,28 @@ def scores(docs: DataFrame, held_out, depth: int = DEPTH, id: str = "doc_id", te
 
     def measure(group: pa.Table, look: pa.Table) -> pa.Table:
         kind, key, value = (look[c].to_numpy() for c in ("kind", "key", "value"))
-        order = np.argsort(key[kind == GRAM])
-        codes, logs = key[kind == GRAM][order], value[kind == GRAM][order]
-        count = dict(zip(key[kind == WORD].tolist(), value[kind == WORD].tolist()))
-        log_of: dict[bytes, float] = {}
-        new = set()
+        own = {k: np.argsort(key[kind == k]) for k in (GRAM, WORD)}
+        (codes, logs), (hashes, counts) = ((key[kind == k][o], value[kind == k][o]) for k, o in own.items())
+        del kind, key, value, own
         body = prepared(group["text"])
+        words = set()
+        for t in body:
+            words.update(t.split())
+        words = list(words)
+        c = counts[np.searchsorted(hashes, np.array([word_key(w) for w in words], np.int64))] if words else np.empty(0)
+        log_of = dict(zip(words, np.log10((c + 0.1) / scale).tolist()))
+        new = {words[i] for i in np.flatnonzero(c == 0).tolist()}
+        del words, c, hashes, counts
         base, known, n, score = [], [], [], []
         for a, b in pieces(body):
-            own, start = grams(body[a:b], depth)
-            score.append(np.add.reduceat(logs[np.searchsorted(codes, own)], start))
+            grams_of, start = grams(body[a:b], depth)
+            score.append(np.add.reduceat(logs[np.searchsorted(codes, grams_of)], start))
+            del grams_of
             for t in body[a:b]:
-                words = t.split()
-                for w in set(words).difference(log_of):
-                    c = count[word_key(w)]
-                    log_of[w] = math.log10((c + 0.1) / scale)
-                    if not c:
-                        new.add(w)
-                base.append(sum(map(log_of.__getitem__, words)) + end)
-                n.append(len(words) + 1)
-                known.append(len(words) - sum(map(new.__contains__, words)) + (texts > 0))
+                own = t.split()
+                base.append(sum(map(log_of.__getitem__, own)) + end)
+                n.append(len(own) + 1)
+                known.append(len(own) - sum(map(new.__contains__, own)) + (texts > 0))
         score = np.concatenate(score) if score else np.empty(0)
         size = np.array([len(t) for t in body], np.int64)
         return pa.table({
