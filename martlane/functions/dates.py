@@ -14,37 +14,49 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Serials of 0001-01-01 and of the day after 9999-12-31: the dates there are.
+FIRST_SERIAL, END_SERIAL = -693593.0, 2958466.0
+# Tried in this order on text that is neither a number nor ISO: the month
+# first, as the spreadsheet writes it, else the day first.
+TEXT_FORMATS = ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "M/d/yyyy H:mm", "d MMM yyyy", "MMM d, yyyy")
+
+
 def serial_to_timestamp(c: Column | str) -> Column:
     """Spreadsheet serial (days since 1899-12-30, fraction = time of day) -> timestamp_ntz.
 
-    Whole seconds; 42000.5 -> 2014-12-27 12:00:00.
+    Whole seconds; 42000.5 -> 2014-12-27 12:00:00.  NaN, infinity, text that
+    is no number and days outside the years 1 to 9999 -> NULL.
     """
-    seconds = F.round(_col(c).cast("double") * F.lit(86400.0)).cast("bigint")
+    days = _col(c).try_cast("double")
+    days = F.when((days >= FIRST_SERIAL) & (days < END_SERIAL - 1e-5), days)
+    seconds = F.round(days * F.lit(86400.0)).cast("bigint")
     return F.timestamp_add("SECOND", seconds, F.lit(SERIAL_EPOCH).cast("timestamp_ntz"))
 
 
-def coerce_date(c: Column | str, dtype: T.DataType | None = None) -> Column:
+def coerce_date(c: Column | str, dtype: T.DataType | None = None, formats: tuple[str, ...] = ()) -> Column:
     """Lenient date coercion.
 
-    Dates and timestamps are kept; numbers (or numeric text) are spreadsheet
-    serials; other text is parsed as a timestamp; anything unparsable -> NULL.
-    Numbers are tried first: parsing '42000' as text would yield year 42000.
+    Dates and timestamps are kept.  Text is tried in the caller's ``formats``
+    first (for an extract with, say, yyyyMMdd); then numbers are spreadsheet
+    serials; other text is parsed as an ISO timestamp or in one of
+    ``TEXT_FORMATS``; anything unparsable -> NULL.  Numbers come before ISO
+    text: parsing '42000' as text would yield year 42000.
     """
     col = _col(c)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("timestamp_ntz")
     as_text = col.cast("string")
     as_number = as_text.try_cast("double")
-    return (
-        F.when(as_number.isNotNull(), serial_to_timestamp(as_number))
-        .otherwise(strip_or_null(as_text).try_cast("timestamp_ntz"))
-    )
+    text = strip_or_null(as_text)
+
+    def parsed(formats: tuple[str, ...]) -> list[Column]:
+        return [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+
+    plain = F.when(as_number.isNotNull(), serial_to_timestamp(as_number)).otherwise(
+        F.coalesce(text.try_cast("timestamp_ntz"), *parsed(TEXT_FORMATS)))
+    return F.coalesce(*parsed(formats), plain) if formats else plain
 
 
 def strip_or_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
-
-def month_start(c: Column | str) -> Column:
-    """First day of the month as a DATE."""
-    return F.trunc(_col(c).cast("date"), "MM")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(4,2)"
+# wide enough for all money before it is rounded
+WIDE = "decimal(38,6)"
 
 
 def _col(c: Column | str) -> Column:
@@ -60,9 +62,16 @@ def to_money(c: Column | str, half_even: bool = False) -> Column:
     rounds ties to even (what the original float pipeline did for exact
     binary halves).
     """
-    d = _col(c).try_cast("decimal(18,6)")
+    d = _col(c).try_cast(WIDE)
     r = F.bround(d, 2) if half_even else F.round(d, 2)
-    return r.cast(MONEY)
+    return r.try_cast(MONEY)
+
+
+def to_whole(c: Column | str, kind: str = "bigint") -> Column:
+    """Anything -> whole number: '3' and '3.0' are 3; fractions, other text
+    and numbers too large for ``kind`` -> NULL."""
+    d = _col(c).try_cast(WIDE)
+    return F.when(d == F.floor(d), d).try_cast(kind)
 
 
 def profit_margin(profit: Column | str, sales: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,5 +58,5 @@ def fill_postal(c: Column | str, unknown: str = "Unknown") -> Column:
 
 
 def normalize_column_name(name: str) -> str:
-    """Header rule: strip, lower-case, space and hyphen -> underscore."""
-    return name.strip().lower().replace(" ", "_").replace("-", "_")
+    """Header rule: trimmed, in lower case, words joined by underscores."""
+    return re.sub("[ -]", "_", name.strip()).lower()

@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martlane.functions.dates import coerce_date
-from martlane.functions.numeric import null_out_of_range, profit_margin, to_money
+from martlane.functions.numeric import null_out_of_range, profit_margin, to_money, to_whole
 from martlane.functions.text import fill_postal, normalize_column_name, normalize_flag, normalize_space
-from martlane.operators.common import checked_broadcast
 from martlane.schemas import CLEAN_SCHEMA, conform
 
 # The default territory split (country, its eastern provinces,
@@ -35,6 +34,7 @@ DEFAULT_OUTSIDE_REGION = "Western Canada"
 UNKNOWN = "Unknown"
 MONEY_COLUMNS = ("sales", "discount", "profit", "shipping_cost")
 DATE_COLUMNS = ("order_date", "ship_date")
+WHOLE_COLUMNS = {"row_id": "bigint", "quantity": "int"}
 
 
 # --------------------------------------------------------------------- C1
@@ -150,14 +150,12 @@ def attach_people(df: DataFrame, people: DataFrame, fill: bool = True) -> DataFr
     """Left join the territory owner on region; NULL regions match
     each other (as in pandas).  Unmatched -> 'Unknown' when ``fill``.
     When either side lacks a region column every row gets 'Unknown' (C12a).
-    The people side is broadcast after a bounded size check.
+    With one owner per region (C3) the people side is small and the planner
+    broadcasts it by its measured size; else AQE splits a large region.
     """
     if "region" not in df.columns or "region" not in people.columns:
         return df.withColumn("person", F.lit(UNKNOWN))
-    # one owner per region: a handful of rows, but the key has few values, so
-    # a shuffle join would put whole regions into single tasks - broadcast
-    # behind a size check instead
-    p = checked_broadcast(people.select(F.col("region").alias("_people_region"), F.col("person")))
+    p = people.select(F.col("region").alias("_people_region"), F.col("person"))
     base = df.drop("person") if "person" in df.columns else df
     out = base.join(p, base["region"].eqNullSafe(p["_people_region"]), "left").drop("_people_region")
     if fill:
@@ -167,24 +165,37 @@ def attach_people(df: DataFrame, people: DataFrame, fill: bool = True) -> DataFr
 
 def unmatched_regions(orders: DataFrame, people: DataFrame) -> DataFrame:
     """C12b report: regions of order lines with no territory owner -> (region, rows)."""
-    p = checked_broadcast(people.select(F.col("region").alias("_people_region")))
-    return (
-        orders.join(p, orders["region"].eqNullSafe(p["_people_region"]), "left_anti")
-        .groupBy("region")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    p = people.select(F.col("region").alias("_people_region")).distinct()
+    # lines are counted by region first, so one row per region meets people
+    rows = orders.groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(p, rows["region"].eqNullSafe(p["_people_region"]), "left_anti")
+
+
+def unmatched_of(cleaned: DataFrame) -> DataFrame:
+    """C12b on a cleaned table: regions whose lines have no owner -> (region, rows)."""
+    return cleaned.where(F.col("person") == UNKNOWN).groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---------------------------------------------------------------- C13 C14
-def coerce_dates(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS) -> DataFrame:
+def coerce_dates(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS, formats: tuple[str, ...] = ()) -> DataFrame:
     """Dates kept, serial numbers and text coerced, bad -> NULL."""
     types = {f.name: f.dataType for f in df.schema.fields}
     for c in columns:
         if c in types:
-            df = df.withColumn(c, coerce_date(c, types[c]))
+            df = df.withColumn(c, coerce_date(c, types[c], formats))
     return df
 
 
+def unreadable_counters(df: DataFrame, formats: tuple[str, ...] = ()) -> list:
+    """Per typed column: values that are there but cannot be read, which the
+    cleaning turns into NULL (aggregate expressions for ``observe``)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    read = {c: coerce_date(c, types[c], formats) for c in DATE_COLUMNS if c in types}
+    read |= {c: to_whole(c, kind) for c, kind in WHOLE_COLUMNS.items() if c in types}
+    read |= {c: to_money(c) for c in MONEY_COLUMNS if c in types}
+    return [F.count_if(F.col(c).isNotNull() & v.isNull()).alias(c) for c, v in read.items()]
+
+
 # ------------------------------------------------------------ C15-C20
 def clean_values(df: DataFrame, half_even: bool = False) -> DataFrame:
     """C15-C20 as one projection: postal codes, white space, money,
@@ -241,12 +252,14 @@ def clean_orders(
     split_outside: str = DEFAULT_OUTSIDE_REGION,
     normalize_first: bool = False,
     half_even: bool = False,
+    date_formats: tuple[str, ...] = (),
     report: CleanReport | None = None,
 ) -> DataFrame:
     """The whole cleaning pipeline -> cleaned ``raw_orders``.
 
     Output: the 24 order columns + returned ('Yes'/'No'), person,
-    profit_margin, typed as ``schemas.CLEAN_SCHEMA``.  ``normalize_first``
+    profit_margin, typed as ``schemas.CLEAN_SCHEMA``, then the extract's
+    further columns as they are.  ``normalize_first``
     trims region white space before the people join (the reference trims
     after it, so padded regions get 'Unknown').
     """
@@ -280,9 +293,14 @@ def clean_orders(
         report.observations["people"] = obs_people
     df = df.withColumn("person", F.coalesce(F.col("person"), F.lit(UNKNOWN)))
 
-    df = coerce_dates(df)
-    if "quantity" in df.columns:
-        df = df.withColumn("quantity", F.col("quantity").try_cast("int"))
+    if report is not None:
+        obs_read = Observation("unreadable")
+        df = df.observe(obs_read, F.count(F.lit(1)).alias("rows"), *unreadable_counters(df, date_formats))
+        report.observations["unreadable"] = obs_read
+    df = coerce_dates(df, formats=date_formats)
+    for c, kind in WHOLE_COLUMNS.items():
+        if c in df.columns:
+            df = df.withColumn(c, to_whole(c, kind))
     if report is not None:
         # Discounts outside [0, 1] after rounding: counted before C20 nulls them.
         rounded = to_money("discount", half_even=half_even)
@@ -290,4 +308,4 @@ def clean_orders(
         df = df.observe(obs_disc, F.count_if(~rounded.between(0, 1)).alias("nulled"))
         report.observations["discount"] = obs_disc
     df = clean_values(df, half_even=half_even)
-    return conform(df, CLEAN_SCHEMA)
+    return conform(df, CLEAN_SCHEMA, keep_extra=True)

@@ -86,12 +86,14 @@ def assert_schema(df: DataFrame, schema: T.StructType, exact_types: bool = True)
     return df
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the contract's columns in order, cast to its types; absent -> NULL."""
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
+    """Select the contract's columns in order, cast to its types; absent ->
+    NULL.  ``keep_extra`` appends the frame's other columns as they are."""
     from pyspark.sql import functions as F
 
-    cols = set(df.columns)
+    cols, named = set(df.columns), {f.name for f in schema.fields}
+    extra = [F.col(f"`{c}`") for c in df.columns if c not in named] if keep_extra else []
     return df.select(*[
         (F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
-    ])
+    ], *extra)

@@ -1,9 +1,10 @@
 """Extract readers.
 
-Extracts arrive as CSV or Parquet (the spreadsheet itself is not parsed
-here).  Readers never infer a schema: CSV columns are read as text, headers
-are normalised (C1) and each column is cast by name to its contract type
-with ``try_cast`` - a bad value becomes NULL instead of failing the job.
+Extracts arrive as CSV (RFC 4180) or Parquet (the spreadsheet itself is not
+parsed here).  Readers never infer a schema: CSV columns are read as text
+and headers are normalised (C1).  Numbers stay text in one spelling per value
+('5.0' and '5.00' become '5.000000'), so that exact duplicates are found and
+the cleaning can count bad values before it turns them into NULL.
 """
 
 from __future__ import annotations
@@ -13,22 +14,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlane.functions.dates import coerce_date
+from martlane.functions.numeric import WIDE
 from martlane.operators.clean import normalize_columns
 from martlane.schemas import ORDERS_SCHEMA, PEOPLE_SCHEMA, RETURNS_SCHEMA
 
 DATE_COLUMNS = ("order_date", "ship_date")
 
 
-def _read_raw(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+NUMBERS = (T.LongType, T.IntegerType, T.DecimalType)
+
+
+def _read_raw(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
+    """``multi_line`` lets quoted CSV fields hold line breaks; such files are
+    not split, so for large extracts without them pass False, or Parquet."""
     if fmt == "csv":
-        return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-                .option("inferSchema", False).csv(path))
+        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
+                .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def _typed(df: DataFrame, schema: T.StructType, keep_text: tuple[str, ...] = ()) -> DataFrame:
+def _typed(df: DataFrame, schema: T.StructType, keep_text: tuple[str, ...] = (),
+           formats: tuple[str, ...] = ()) -> DataFrame:
     have = set(df.columns)
     cols = []
     for f in schema.fields:
@@ -40,33 +48,39 @@ def _typed(df: DataFrame, schema: T.StructType, keep_text: tuple[str, ...] = ())
         elif isinstance(f.dataType, T.DateType):
             # text dates, timestamps and spreadsheet serials (C13/C14 rules)
             src = {x.name: x.dataType for x in df.schema.fields}[f.name]
-            cols.append(coerce_date(c, src).cast("date").alias(f.name))
+            cols.append(coerce_date(c, src, formats).cast("date").alias(f.name))
+        elif isinstance(f.dataType, NUMBERS):
+            text = isinstance({x.name: x.dataType for x in df.schema.fields}[f.name], T.StringType)
+            cols.append(F.coalesce(c.try_cast(WIDE).cast("string"), c).alias(f.name) if text else c)
         else:
             cols.append(c.try_cast(f.dataType).alias(f.name))
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]
     return df.select(*cols, *extra)
 
 
-def read_orders(spark: SparkSession, path: str, fmt: str = "csv", dates_as_string: bool = False) -> DataFrame:
-    """The Orders extract with typed columns.
+def read_orders(spark: SparkSession, path: str, fmt: str = "csv", dates_as_string: bool = False,
+                formats: tuple[str, ...] = (), multi_line: bool = True) -> DataFrame:
+    """The Orders extract.
 
     ``dates_as_string=True`` is the fallback read: date columns stay text
     (spreadsheet serials, odd formats) and are coerced by the cleaning
-    (C13/C14)."""
-    df = normalize_columns(_read_raw(spark, path, fmt))
-    return _typed(df, ORDERS_SCHEMA, DATE_COLUMNS if dates_as_string else ())
+    (C13/C14), which counts those it cannot read.  ``formats`` are date
+    formats of the extract, tried before all others."""
+    df = normalize_columns(_read_raw(spark, path, fmt, multi_line))
+    return _typed(df, ORDERS_SCHEMA, DATE_COLUMNS if dates_as_string else (), formats)
 
 
-def read_returns(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_returns(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """The Returns extract (returned, order_id, region)."""
-    return _typed(normalize_columns(_read_raw(spark, path, fmt)), RETURNS_SCHEMA)
+    return _typed(normalize_columns(_read_raw(spark, path, fmt, multi_line)), RETURNS_SCHEMA)
 
 
-def read_people(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """S3: the People extract; ``_seq`` records read order (exact for a
-    single file, per split otherwise) for the first-per-region rule (C3)."""
-    df = _typed(normalize_columns(_read_raw(spark, path, fmt)), PEOPLE_SCHEMA)
-    return df.withColumn("_seq", F.monotonically_increasing_id())
+def read_people(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+    """S3: the People extract; ``_seq`` records read order for the
+    first-per-region rule (C3): file name, then order within the file."""
+    df = _read_raw(spark, path, fmt, multi_line).withColumn(
+        "_seq", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
+    return _typed(normalize_columns(df), PEOPLE_SCHEMA)
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:

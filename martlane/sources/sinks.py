@@ -9,10 +9,11 @@ from martlane.operators.marts import MARTS
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header row, no index, overwrite.  ``single_file`` only
-    for outputs whose size is bounded (coalesce(1) funnels into one task)."""
+    """CSV (RFC 4180: quotes doubled) with a header row, no index,
+    overwrite.  ``single_file`` only for outputs whose size is bounded
+    (coalesce(1) funnels into one task)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None = None) -> None:
