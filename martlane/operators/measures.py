@@ -44,12 +44,12 @@ def yearly_revenue(fact: DataFrame) -> DataFrame:
 
 
 def monthly_revenue_by_year(fact: DataFrame) -> DataFrame:
-    """V3: month-of-year rows x one revenue column per year (pivot)."""
-    base = fact.select(F.month("order_date").alias("month"), F.year("order_date").alias("year"), "sales")
-    wide = base.groupBy("month").pivot("year").agg(F.sum("sales"))
-    return wide.select(
-        "month", *[F.col(f"`{c}`").cast("double").alias(c) for c in wide.columns if c != "month"]
-    ).orderBy(F.col("month").asc_nulls_last())
+    """V3: one row per year with the revenue of each month (m01 .. m12) and
+    that of undated lines (in the row whose year is NULL)."""
+    d = F.col("order_date")
+    months = [F.sum(F.when(F.month(d) == m, F.col("sales"))).cast("double").alias(f"m{m:02d}") for m in range(1, 13)]
+    undated = F.sum(F.when(d.isNull(), F.col("sales"))).cast("double").alias("undated")
+    return fact.groupBy(F.year(d).alias("year")).agg(*months, undated).orderBy(F.col("year").asc_nulls_last())
 
 
 def seasonality(fact: DataFrame) -> DataFrame:
@@ -128,26 +128,23 @@ def second_purchase(fact: DataFrame, days: int = 90) -> DataFrame:
 
     A purchase is an order (its earliest line date; undated orders are
     ignored).  The second purchase is the next order by (date, order_id)
-    after the first.  Two aggregates and a join on the customer - no
-    per-customer window, so a hot customer is split by AQE, not sorted in
-    one task.  Every step groups / joins on the same two non-null keys
-    (is-null flag, coalesced id), so NULL customers form one group and the
-    partitioning of the first aggregate is reused: three shuffles in all.
+    after the first.  Orders are counted by customer and day before customers
+    meet their first day, so a customer has a row per calendar day at most
+    and none can be hot; NULL customers form one group.  The second purchase
+    falls on the first day if that holds two orders, else on the next.
     """
     keys = ["_kn", "_kc"]
-    orders = (
+    by_day = (
         fact.filter(F.col("order_date").isNotNull())
         .select(F.col("customer_id").isNull().alias("_kn"), F.coalesce(F.col("customer_id"), F.lit("")).alias("_kc"),
                 "order_id", "order_date")
         .groupBy(*keys, "order_id").agg(F.min("order_date").alias("d"))
+        .groupBy(*keys, "d").agg(F.count(F.lit(1)).alias("orders"))
     )
-    first = orders.groupBy(*keys).agg(F.min(F.struct("d", "order_id")).alias("_first"))
-    second = (
-        orders.join(first, keys)
-        .filter(F.struct("d", "order_id") > F.col("_first"))
-        .groupBy(*keys).agg(F.min("d").alias("second_d"))
-    )
-    per = first.join(second, keys, "left").select(F.col("_first.d").alias("first_d"), "second_d")
+    first = by_day.groupBy(*keys).agg(F.min("d").alias("first_d"))
+    on_first = F.col("d") == F.col("first_d")
+    per = by_day.join(first, keys).groupBy(*keys, "first_d").agg(
+        F.min(F.when(~on_first | (F.col("orders") > 1), F.col("d"))).alias("second_d"))
     return per.agg(
         F.count(F.lit(1)).alias("customers"),
         F.count("second_d").alias("repeat_customers"),

@@ -165,7 +165,3 @@ def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> Da
         out = out.unionByName(p)
     return out
 
-
-def source_row_count(spark: SparkSession, path: str) -> int:
-    """Input must exist; its row count (footer-only for Parquet)."""
-    return spark.read.parquet(path).count()

@@ -25,6 +25,7 @@ CUSTOMER_KEY_COLS = [
     "customer_id", "customer_name", "segment", "postal_code", "city", "state", "country", "region", "market",
 ]
 PRODUCT_COLS = ["product_id", "product_name", "category", "sub_category"]
+# The fact's columns in the declared order.
 FACT_COLS = [
     "row_id", "order_id", "order_date", "ship_date", "customer_id", "product_id", "quantity", "sales",
     "discount", "profit", "profit_margin", "shipping_cost", "order_priority", "ship_mode",
@@ -37,11 +38,15 @@ def created_at():
 
 
 def _latest_per_key(raw: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """One row per key: attributes of the latest order line, ties -> lowest row_id."""
+    """One row per key: attributes of the latest order line, ties -> lowest
+    row_id.  Lines are hash-aggregated by key, attributes and date first; only
+    that small result meets the sorting ``max_by`` over structs."""
     attrs = [c for c in cols if c != key]
     rank = F.struct(F.col("order_date"), (-F.col("row_id")).alias("neg_row_id"))
     return (
-        raw.groupBy(key)
+        raw.groupBy(key, *attrs, "order_date")
+        .agg(F.min("row_id").alias("row_id"))
+        .groupBy(key)
         .agg(F.max_by(F.struct(*attrs), rank).alias("_a"))
         .select(key, *[F.col(f"_a.{c}").alias(c) for c in attrs])
     )
@@ -98,13 +103,15 @@ def build_dim_product(raw: DataFrame, grain: str = "distinct") -> DataFrame:
 
 
 # --------------------------------------------------------------------- T4
+def dim_people_of(raw_people: DataFrame) -> DataFrame:
+    """T4 from the staging table, which holds the same distinct rows."""
+    return raw_people.select("region", "person", created_at())
+
+
 def build_dim_people(raw: DataFrame) -> DataFrame:
-    return (
-        raw.select("region", "person")
-        .filter(F.col("person").isNotNull())
-        .distinct()
-        .select("*", created_at())
-    )
+    from martlane.operators.load import derive_people
+
+    return dim_people_of(derive_people(raw))
 
 
 # --------------------------------------------------------------------- T5

@@ -4,13 +4,14 @@ or its seeded-dirt variant (every row of it; see ``sources.driver``)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlane.functions.dates import coerce_date, serial_to_timestamp
-from martlane.functions.numeric import null_out_of_range, profit_margin, to_money
+from martlane.functions.numeric import null_out_of_range, profit_margin, to_money, to_whole
 from martlane.functions.text import fill_postal, normalize_space
 from martlane.operators import clean as C
 from martlane.plans.extract_store import extracts_for
-from martlane.sources.driver import supplier_people
+from martlane.sources.driver import dirty_people, supplier_people
 
 # Region-split parameters that fit the driver data (FIXTURES.md §2).
 SPLIT = dict(country="AMERICA", states=("NATION_1", "NATION_6"), inside="Eastern America", outside="Western America")
@@ -78,7 +79,55 @@ def attach_people(spark, sf_dir):
 
 
 def unmatched_regions(spark, sf_dir):
-    return C.unmatched_regions(orders_extract(spark, sf_dir), people_extract(spark, sf_dir))
+    return C.unmatched_regions(orders_extract(spark, sf_dir), dirty_people(people_extract(spark, sf_dir)))
+
+
+def attach_people_defects(spark, sf_dir):
+    """Lines of a region whose owner is misspelt get 'Unknown'."""
+    df = C.attach_people(orders_extract(spark, sf_dir), C.dedupe_people(dirty_people(people_extract(spark, sf_dir))))
+    return df.select("row_id", "region", "person")
+
+
+def attach_people_no_region(spark, sf_dir):
+    """A People extract without a region column."""
+    df = C.attach_people(orders_extract(spark, sf_dir), people_extract(spark, sf_dir).drop("region"))
+    return df.select("row_id", "region", "person")
+
+
+def hard_values(spark, sf_dir):
+    """C5, C13, C14, C18, C20 and the reader's number rules on every line of
+    the extract, rewritten with values that overflow, spell numbers otherwise
+    or use other date formats."""
+    o = orders_extract(spark, sf_dir)
+    rid = F.col("row_id")
+
+    def spell(n: int, *texts):
+        out = None
+        for k, text in enumerate(texts):
+            c = F.col(text[1:]).cast("string") if text.startswith("=") else F.lit(text)
+            out = F.when(rid % n == k, c) if out is None else out.when(rid % n == k, c)
+        return out
+
+    d = F.col("order_date")
+    date = (F.when(rid % 8 == 0, F.date_format(d, "M/d/yyyy")).when(rid % 8 == 1, F.date_format(d, "yyyy-MM-dd"))
+            .when(rid % 8 == 2, F.lit("1e300")).when(rid % 8 == 3, F.lit("99999999999")).when(rid % 8 == 4, F.lit("NaN"))
+            .when(rid % 8 == 5, F.concat(F.lit("31-"), F.date_format(d, "MM-yyyy"))).when(rid % 8 == 6, F.lit("soon"))
+            .otherwise(F.date_diff(d, F.lit("1899-12-30").cast("date")).cast("string")))
+    t = o.select(
+        "row_id",
+        spell(6, "1000000000000.00", "999999999999999.995", "1e20", "N/A", "=sales", "1e3").alias("sales"),
+        spell(5, "150", "7", "-0.5", "0.25", "=discount").alias("discount"),
+        spell(4, "3.0", "2.5", "99999999999", "=quantity").alias("quantity"), date.alias("order_date"))
+    return _doubles(t.select(
+        "row_id", to_money("sales").alias("sales"), to_money("discount").alias("discount"),
+        null_out_of_range(to_money("discount"), 0.0, 1.0).alias("discount_in_range"),
+        to_whole("quantity", "int").cast("double").alias("quantity"), coerce_date("order_date").cast("date").cast("string").alias("order_date")))
+
+
+def unreadable_values(spark, sf_dir):
+    """Per column: values of the dirty extract that cannot be read."""
+    d = _dirty(spark, sf_dir)
+    return d.agg(*C.unreadable_counters(d))
 
 
 def excel_serial_dates(spark, sf_dir):
@@ -138,6 +187,10 @@ CLEAN_QUERIES = {
     "split_region": split_region,
     "attach_people": attach_people,
     "unmatched_regions": unmatched_regions,
+    "attach_people_defects": attach_people_defects,
+    "attach_people_no_region": attach_people_no_region,
+    "hard_values": hard_values,
+    "unreadable_values": unreadable_values,
     "excel_serial_dates": excel_serial_dates,
     "coerce_dates": coerce_dates,
     "fill_postal": fill_postal_key,

@@ -11,7 +11,6 @@ re-joining the driver tables each time.
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import SparkSession
@@ -22,25 +21,13 @@ _MEMO: dict[tuple, Extracts] = {}
 _LOCK = threading.Lock()
 
 
-def _files(spark: SparkSession) -> int:
-    """Output files for an extract: enough for every core to scan one split."""
-    return max(2, spark.sparkContext.defaultParallelism)
-
-
 def write_extracts(spark: SparkSession, sf_dir: str, root: str) -> Extracts:
     ex = driver_extracts(spark, sf_dir)
-    # one-time layout: the adapter's output is spread over several files so
-    # that readers get parallel splits (a single-row-group input would be
-    # scanned by one task).
-    ex.orders.repartition(_files(spark)).write.mode("overwrite").parquet(f"{root}/orders")
-    ex.returns.repartition(_files(spark)).write.mode("overwrite").parquet(f"{root}/returns")
+    ex.orders.write.mode("overwrite").parquet(f"{root}/orders")
+    ex.returns.write.mode("overwrite").parquet(f"{root}/returns")
     ex.people.write.mode("overwrite").parquet(f"{root}/people")
-    return _read(spark, root, root)
-
-
-def _read(spark: SparkSession, orders_root: str, root: str) -> Extracts:
     return Extracts(
-        orders=spark.read.parquet(f"{orders_root}/orders"),
+        orders=spark.read.parquet(f"{root}/orders"),
         returns=spark.read.parquet(f"{root}/returns"),
         people=spark.read.parquet(f"{root}/people"),
     )
@@ -48,25 +35,25 @@ def _read(spark: SparkSession, orders_root: str, root: str) -> Extracts:
 
 def extracts_for(spark: SparkSession, sf_dir: str, dirty: bool = False, rewrite: bool = False) -> Extracts:
     """Extract files derived from ``sf_dir`` (written once per application)."""
-    from martlane.plans.warehouse import warehouse_root
+    from martlane.plans.warehouse import fresh_root, input_key
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), dirty)
+    key = (*input_key(spark, sf_dir), dirty)
     with _LOCK:
         ex = None if rewrite else _MEMO.get(key)
         if ex is None:
-            root = f"{warehouse_root(spark, sf_dir)}/extracts"
+            root = f"{fresh_root(spark)}/extracts"
             if not dirty:
                 ex = write_extracts(spark, sf_dir, root)
             else:
                 # the seeded-dirt Orders file derives from the written clean
                 # one (no second pass over the driver tables); Returns and
                 # People are shared
-                clean = _MEMO.get(key[:2] + (False,))
+                clean = _MEMO.get((*key[:-1], False))
                 if clean is None:
                     clean = write_extracts(spark, sf_dir, root)
-                    _MEMO[key[:2] + (False,)] = clean
-                dirty_orders(clean.orders).repartition(_files(spark)).write.mode("overwrite").parquet(
+                    _MEMO[(*key[:-1], False)] = clean
+                dirty_orders(clean.orders).write.mode("overwrite").parquet(
                     f"{root}_dirty/orders")
-                ex = _read(spark, f"{root}_dirty", root)
+                ex = Extracts(spark.read.parquet(f"{root}_dirty/orders"), clean.returns, clean.people)
             _MEMO[key] = ex
     return ex

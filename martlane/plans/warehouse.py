@@ -18,51 +18,55 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martlane.operators.clean import CleanReport, clean_orders
-from martlane.operators.star import Star, build_star
+from martlane.operators.star import Star, build_star, dim_people_of
 from martlane.session import checkpoint_root
-from martlane.sources.driver import Extracts
+from martlane.sources.driver import Extracts, defective_orders
 
 TABLES = [
     "raw_orders", "raw_returns", "raw_people", "dim_date", "dim_customer", "dim_customer_key",
     "dim_product", "dim_product_key", "dim_people", "fact_sales",
 ]
-FACT_PARTITION = "order_year"
+# written last: a folder without it is no finished warehouse
+COMPLETE = "_complete"
+RAW_PLACE = "raw_orders_place"
 
-_MEMO: dict[tuple[str, str], Star] = {}
+_MEMO: dict[tuple, Star] = {}
+_NAMED: dict[tuple, Star] = {}
 _LOCK = threading.Lock()
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Fact partitioned by order year (partition pruning for date-bounded
-    reads); rows sorted by date inside each file so row-group min/max stats
-    skip on date ranges.  No repartition: each task writes its own files."""
-    out = fact.withColumn(FACT_PARTITION, F.year("order_date")).sortWithinPartitions(FACT_PARTITION, "order_date")
-    _write(out, path, FACT_PARTITION)
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Star:
     """Read a written warehouse back (every table a Parquet scan)."""
-    return Star(**{t: spark.read.parquet(f"{root}/{t}") for t in TABLES})
+    return Star(**{t: spark.read.parquet(table_path(spark, root, t)) for t in TABLES})
+
+
+def table_path(spark: SparkSession, root: str, table: str) -> str:
+    """Where ``table`` lies; a warehouse built from a cleaned file keeps that
+    file as its ``raw_orders`` and only notes its place."""
+    path = f"{root}/{table}"
+    if table == "raw_orders" and not _exists(spark, path) and _exists(spark, f"{root}/{RAW_PLACE}"):
+        return spark.read.parquet(f"{root}/{RAW_PLACE}").first().path
+    return path
+
+
+def existing_tables(spark: SparkSession, root: str, names: tuple[str, ...]) -> dict[str, DataFrame | None]:
+    """The tables of a warehouse by name, None for those that are missing."""
+    paths = {n: table_path(spark, root, n) for n in names}
+    return {n: spark.read.parquet(p) if _exists(spark, p) else None for n, p in paths.items()}
 
 
 def is_complete(spark: SparkSession, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/fact_sales/_SUCCESS")
-    return path.getFileSystem(conf).exists(path)
+    return _exists(spark, f"{root}/{COMPLETE}")
 
 
 def build_warehouse(
@@ -80,23 +84,30 @@ def build_warehouse(
 
 
 def build_from_clean(
-    spark: SparkSession, raw: DataFrame, root: str, max_parallel_writes: int = 4, written: bool = False
+    spark: SparkSession, raw: DataFrame, root: str, max_parallel_writes: int = 4, written: bool = False,
+    raw_path: str | None = None
 ) -> Star:
     """Load + build from a cleaned ``raw_orders`` frame: write it to
     ``root/raw_orders`` (skipped when ``written``, i.e. it already is that
-    table), then build and write the star from the written table."""
-    if not written:
+    table, or when it is the file ``raw_path``, which is then noted instead
+    of copied), then build and write the star from the written table."""
+    if raw_path is not None:
+        _write(spark.createDataFrame([(raw_path,)], "path string").coalesce(1), f"{root}/{RAW_PLACE}")
+    elif not written:
         _write(raw, f"{root}/raw_orders")
         raw = spark.read.parquet(f"{root}/raw_orders")
     star = build_star(raw)
     # The staging derivations and dimensions are independent aggregates of
     # the written table: submit them as concurrent jobs so small ones fill
     # the cluster beside the big ones.
-    jobs = {n: df for n, df in star.tables().items() if n not in ("raw_orders", "fact_sales")}
+    jobs = {n: df for n, df in star.tables().items() if n not in ("raw_orders", "fact_sales", "dim_people")}
     with ThreadPoolExecutor(max_workers=max_parallel_writes) as pool:
         for f in [pool.submit(_write, df, f"{root}/{n}") for n, df in jobs.items()]:
             f.result()
-    write_fact(star.fact_sales, f"{root}/fact_sales")  # last: its _SUCCESS marks completion
+    # the same aggregate as raw_people, so it starts from the written one
+    _write(dim_people_of(spark.read.parquet(f"{root}/raw_people")), f"{root}/dim_people")
+    _write(star.fact_sales, f"{root}/fact_sales")
+    _write(spark.range(1).coalesce(1), f"{root}/{COMPLETE}")
     return open_warehouse(spark, root)
 
 
@@ -109,80 +120,61 @@ def _fs_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def code_version() -> str:
-    """Hash of the library's source: a warehouse is reused only by the code
-    that built it."""
-    import pathlib
-
-    h = hashlib.sha1()
-    pkg = pathlib.Path(__file__).resolve().parent.parent
-    for f in sorted(pkg.rglob("*.py")):
-        h.update(f.relative_to(pkg).as_posix().encode())
-        h.update(f.read_bytes())
-    return h.hexdigest()[:12]
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return fs.exists(p)
 
 
 def input_tag(spark: SparkSession, sf_dir: str) -> str:
-    """Fingerprint of the inputs (path, length and modification time of each
-    driver table) plus the code version.  One metadata call per table: a
-    directory table is identified by its own status only, never by listing
-    its files (which on object storage could take minutes at 100 TB)."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    """Fingerprint of the inputs: path, length and modification time of every
+    file of every driver table, nested folders included."""
+    h = hashlib.sha1(sf_dir.encode())
     for t in DRIVER_TABLES:
         p, fs = _fs_path(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         if fs.exists(p):
-            st = fs.getFileStatus(p)
-            h.update(f"{t}:{st.getLen()}:{st.getModificationTime()}:{st.isDirectory()}".encode())
-    h.update(code_version().encode())
+            found, files = [], fs.listFiles(p, True)
+            while files.hasNext():
+                st = files.next()
+                found.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+            h.update("\n".join([t, *sorted(found)]).encode())
     return h.hexdigest()[:16]
 
 
-def warehouse_base(spark: SparkSession, sf_dir: str) -> str:
-    return f"{checkpoint_root(spark)}/martlane-warehouse/{input_tag(spark, sf_dir)}"
-
-
-def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
-    """Each application builds into its own folder (no two writers share one)."""
-    return f"{warehouse_base(spark, sf_dir)}/{spark.sparkContext.applicationId}"
+def input_key(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, os.path.abspath(sf_dir), input_tag(spark, sf_dir)
 
 
-def find_complete(spark: SparkSession, base: str) -> str | None:
-    """A finished build for the same inputs and code, if any (its fact
-    ``_SUCCESS`` marker is written last)."""
-    p, fs = _fs_path(spark, base)
-    if not fs.exists(p):
-        return None
-    for st in fs.listStatus(p):
-        root = st.getPath().toString()
-        if st.isDirectory() and is_complete(spark, root):
-            return root
-    return None
+def fresh_root(spark: SparkSession) -> str:
+    """A new folder for each build: none is ever written twice."""
+    return f"{checkpoint_root(spark)}/martlane-warehouse/{uuid.uuid4().hex}"
 
 
 def register_star(spark: SparkSession, name: str, star: Star) -> None:
     """Make an already built warehouse answer the registry's queries under
     ``name`` (used when the star was built from real extracts)."""
     with _LOCK:
-        _MEMO[(spark.sparkContext.applicationId, os.path.abspath(name))] = star
+        _NAMED[(spark.sparkContext.applicationId, os.path.abspath(name))] = star
 
 
-def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
-    """The warehouse built from the driver tables in ``sf_dir``.
-
-    Built once per application; a finished build of the same inputs by the
-    same code (an earlier application) is reused unless ``rebuild``.
+def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False, defects: bool = False) -> Star:
+    """The warehouse built from the driver tables in ``sf_dir``, once per
+    application and state of the input files; a changed file means a new
+    build, and no build is shared between applications.  ``defects``: loaded
+    without cleaning from a defective extract (``driver.defective_orders``).
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    from martlane.plans.extract_store import extracts_for
+
+    named = _NAMED.get((spark.sparkContext.applicationId, os.path.abspath(sf_dir)))
+    if named is not None:
+        return named
+    key = (*input_key(spark, sf_dir), defects)
     with _LOCK:  # one build per (application, input), even with concurrent callers
         star = None if rebuild else _MEMO.get(key)
         if star is None:
-            done = None if rebuild else find_complete(spark, warehouse_base(spark, sf_dir))
-            if done is not None:
-                star = open_warehouse(spark, done)
+            ex = extracts_for(spark, sf_dir)
+            if defects:
+                star = build_from_clean(spark, defective_orders(ex.orders, ex.returns), fresh_root(spark))
             else:
-                from martlane.plans.extract_store import extracts_for
-
-                ex = extracts_for(spark, sf_dir)
-                star = build_warehouse(spark, ex, warehouse_root(spark, sf_dir))
+                star = build_warehouse(spark, ex, fresh_root(spark))
             _MEMO[key] = star
     return star

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,18 +50,20 @@ def get_session(
 
 
 def scale_conf(
-    input_bytes: int, target_partition_bytes: int = 512 << 20, max_shuffle_partitions: int = 100_000
+    input_bytes: int, target_partition_bytes: int = 512 << 20, max_shuffle_partitions: int | None = None
 ) -> dict[str, str]:
     """Settings sized from the input volume (for a cluster run).
 
     Shuffle partitions are set so the largest shuffle (about the input size)
-    lands near ``target_partition_bytes`` per task, capped so that map x
-    reduce shuffle blocks stay manageable (100 TB -> 100k partitions of about
-    1 GB at the single full-row shuffle, far less everywhere else); AQE then
+    lands near ``target_partition_bytes`` per task (100 TB -> 200k partitions
+    at the full-row shuffles).  ``max_shuffle_partitions``, if given, bounds
+    the map x reduce blocks at the price of larger partitions.  AQE then
     coalesces the small shuffles of the aggregates and splits skewed join
     partitions.  Broadcast stays on Spark's measured-size threshold.
     """
-    n = min(max(200, int(input_bytes // target_partition_bytes)), max_shuffle_partitions)
+    n = max(200, -(-int(input_bytes) // target_partition_bytes))
+    if max_shuffle_partitions is not None:
+        n = min(n, max_shuffle_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -75,6 +78,21 @@ def scale_conf(
     }
 
 
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files under ``paths``, from the file system's summary."""
+    total = 0
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return total
+
+
+def apply_scale(spark: SparkSession, *paths: str) -> None:
+    """Size this session's shuffles and scans for the inputs at ``paths``."""
+    for k, v in scale_conf(input_bytes(spark, *paths)).items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
@@ -86,7 +104,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster[...] is a cluster
             raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for the cluster")
         d = os.path.join(tempfile.gettempdir(), "martlane-checkpoints")
         spark.sparkContext.setCheckpointDir(d)

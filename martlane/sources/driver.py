@@ -8,8 +8,9 @@ extract and a People (territory owner) extract.
 Scale notes: lineitem and orders are the big sides and meet in a shuffle
 join on the order key; customer and part grow with the data too, so they get
 no broadcast hint (AQE broadcasts them at run time only when their measured
-size is under the threshold).  nation and region are fixed-size code tables
-(25 and 5 rows by construction) and are broadcast explicitly.
+size is under the threshold).  No side gets a hint: nation and region are
+code tables of 25 and 5 rows, which the planner broadcasts by itself.  Every
+line stays: what it refers to is joined from the left.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.schemas import ORDERS_SCHEMA, conform
+from martlane.schemas import ORDERS_COLUMNS, ORDERS_SCHEMA, conform
 
 
 @dataclass(frozen=True)
@@ -34,10 +35,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region: 25 rows, a fixed-size code table -> safe to broadcast."""
+    """nation with its region's name (25 rows)."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         "n_nationkey", "n_name", "r_name"
     )
 
@@ -58,11 +59,11 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Join order: customers meet orders at order grain first, so the line
     # grain is shuffled twice (by order key, then by part key) rather than
     # three times.  Catalyst keeps the written order without CBO statistics.
-    order_side = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
-    joined = li.join(order_side, li.l_orderkey == order_side.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    order_side = o.join(c, o.o_custkey == c.c_custkey, "left").join(geo, c.c_nationkey == geo.n_nationkey, "left")
+    joined = li.join(order_side, li.l_orderkey == order_side.o_orderkey, "left").join(p, li.l_partkey == p.p_partkey, "left")
     joined_cols = joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_id"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.when(F.col("l_linestatus") == "F", "Standard Class").otherwise("First Class").alias("ship_mode"),
@@ -77,7 +78,7 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("country"),
         F.col("r_name").alias("region"),
         F.col("r_name").alias("market"),
-        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("sub_category"),
         F.col("p_name").alias("product_name"),
@@ -100,8 +101,8 @@ def returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = _geo(spark, sf_dir)
     return (
         o.filter(F.col("o_orderstatus").isin("P", "F"))
-        .join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
+        .join(c, o.o_custkey == c.c_custkey, "left")
+        .join(geo, c.c_nationkey == geo.n_nationkey, "left")
         .select(
             F.when(F.col("o_orderstatus") == "P", "Yes").otherwise("No").alias("returned"),
             F.col("o_orderkey").cast("string").alias("order_id"),
@@ -110,14 +111,12 @@ def returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def people_extract(spark: SparkSession, sf_dir: str, leave_out: tuple[str, ...] = ("ASIA",)) -> DataFrame:
-    """People sheet: per region the lowest supplier name; ``leave_out`` regions
-    get no owner (so the pipeline's unmatched-region branch is exercised)."""
+def people_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People sheet: per region the lowest supplier name."""
     s = read_table(spark, sf_dir, "supplier")
     geo = _geo(spark, sf_dir)
     return (
-        s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey)
-        .filter(~F.col("r_name").isin(*leave_out))
+        s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
         .groupBy(F.col("r_name").alias("region"))
         .agg(F.min("s_name").alias("person"))
         .select("person", "region")
@@ -164,11 +163,53 @@ def dirty_orders(orders: DataFrame) -> DataFrame:
     return d.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
+# Fixed value: the region whose name a defective People extract misspells.
+MISSPELT_REGION = "ASIA"
+
+
+def dirty_people(people: DataFrame) -> DataFrame:
+    """The People extract with one region's name padded, so that its order
+    lines find no owner."""
+    region = F.col("region")
+    return people.withColumn("region", F.when(region == MISSPELT_REGION, F.concat(region, F.lit("."))).otherwise(region))
+
+
+def defective_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
+    """A staging table as it looks when extracts are loaded without cleaning:
+    typed, but with the defects the quality checks look for and attributes
+    that vary within a customer and a product.  Every row of the extract is
+    there, some twice."""
+    rid = F.col("row_id")
+
+    def where(n: int, value, column: str):
+        return F.when(rid % n == 0, value).otherwise(F.col(column)).alias(column)
+
+    nothing = F.lit(None)
+    changed = {
+        "order_id": where(101, nothing, "order_id"), "order_date": where(103, nothing, "order_date"),
+        "region": where(29, F.lit("ELSEWHERE"), "region"),
+        "product_name": where(31, F.concat("product_name", F.lit(" II")), "product_name"),
+        "sales": where(97, nothing, "sales"), "quantity": where(43, -F.col("quantity"), "quantity"),
+        "profit": where(107, nothing, "profit"),
+        "discount": F.when(rid % 89 == 0, F.col("discount") + 2).when(rid % 13 == 0, nothing).when(
+            rid % 7 == 0, F.col("discount") + F.lit(0.3).cast("decimal(4,2)")).otherwise(
+            F.col("discount")).cast("decimal(4,2)").alias("discount"),
+    }
+    flags = returns.groupBy("order_id").agg(F.max("returned").alias("returned"))
+    rows = orders.join(flags, "order_id", "left").withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(0), F.when(rid % 61 == 0, 2).otherwise(1))))
+    return rows.select(
+        F.when((rid % 211 == 0) & (rid % 61 != 0), nothing).otherwise(rid).cast("bigint").alias("row_id"),
+        *[changed.get(c, F.col(c)) for c in ORDERS_COLUMNS if c != "row_id"],
+        "returned", where(37, nothing, "market").alias("person"),
+        (F.col("profit") / F.nullif(F.col("sales"), F.lit(0))).cast("double").alias("profit_margin"))
+
+
 def supplier_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A People extract with many owners per region (every supplier, in
     supplier-key order as ``_seq``) - input for the first-per-region rule."""
     s = read_table(spark, sf_dir, "supplier")
     geo = _geo(spark, sf_dir)
-    return s.join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey).select(
+    return s.join(geo, s.s_nationkey == geo.n_nationkey, "left").select(
         F.col("s_name").alias("person"), F.col("r_name").alias("region"), F.col("s_suppkey").alias("_seq")
     )

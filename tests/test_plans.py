@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from martlane.plans import inspect as P
 from martlane.plans.registry import QUERIES
 
-ONE_ROW_PARAMETER_JOINS = {"rfm", "dq_orders_vs_returns", "dq_orders_vs_returns_extract", "dq_summary"}
+ONE_ROW_PARAMETER_JOINS = {"rfm", "dq_orders_vs_returns", "dq_orders_vs_returns_extract", "dq_summary", "defects_dq_summary"}
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
@@ -39,27 +39,39 @@ def test_python_udf_is_detected(spark):
     assert P.python_nodes(spark.range(3).select(slow("id"))) != []
 
 
-def test_checked_broadcast_only_under_the_bound(spark):
-    from martlane.operators.common import checked_broadcast
+@pytest.mark.parametrize("key", ["dim_customer_key", "dim_product_key"])
+def test_keyed_dimensions_hash_aggregate_the_lines(spark, key):
+    """What meets the sorting aggregate is already one row per key, attributes
+    and date."""
+    from martlane.operators.star import build_dim_customer, build_dim_product
+    from martlane.plans.warehouse import star_for
+
+    raw = star_for(spark, SF_SMALL).raw_orders
+    df = (build_dim_customer if "customer" in key else build_dim_product)(raw, "key")
+    plan = P.physical_plan(df).splitlines()
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line)
+    nearest = next(line for line in reversed(plan[:scan]) if "Aggregate" in line)
+    assert "HashAggregate" in nearest and "min(row_id" in nearest
+
+
+def test_second_purchase_joins_day_grain_rows(spark):
+    from martlane.operators.measures import second_purchase
+    from martlane.plans.warehouse import star_for
+
+    plan = P.physical_plan(second_purchase(star_for(spark, SF_SMALL).fact_sales))
+    assert "SortAggregate" not in plan
 
-    small = spark.createDataFrame([("R1", "Pat"), ("R2", "Al")], "region string, person string")
-    big = spark.range(1000).selectExpr("cast(id as string) AS region")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = big.join(checked_broadcast(small, max_rows=10), "region", "left")
-        assert "BroadcastHashJoin" in P.physical_plan(joined)
-        not_proven = big.join(checked_broadcast(small, max_rows=1), "region", "left")
-        assert "BroadcastHashJoin" not in P.physical_plan(not_proven)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
+def test_monthly_revenue_by_year_needs_no_job(spark):
+    from martlane.operators.measures import monthly_revenue_by_year
+    from martlane.plans.warehouse import star_for
 
-def test_people_join_never_shuffles_on_region(spark):
-    """Even when no table is small enough for automatic broadcast, the
-    low-cardinality region join stays a broadcast (checked size)."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fact = star_for(spark, SF_SMALL).fact_sales
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pivot", "pivot")
     try:
-        phys = P.physical_plan(QUERIES["attach_people"](spark, SF_SMALL))
-        assert "SortMergeJoin" not in phys and "BroadcastHashJoin" in phys
+        df = monthly_revenue_by_year(fact)
+        assert list(tracker.getJobIdsForGroup("pivot")) == []
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setJobGroup("rest", "rest")
+    assert df.columns == ["year", *(f"m{m:02d}" for m in range(1, 13)), "undated"]

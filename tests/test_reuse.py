@@ -1,31 +1,66 @@
-"""Warehouse reuse: a finished build is found again, an unfinished one is
-not, and the fingerprint changes with the inputs and with the code."""
+"""Warehouse identity: built once per application and state of the input
+files, into a fresh folder whose marker is written last."""
 
 from __future__ import annotations
 
 import os
+import shutil
 
-from conftest import SF_ORACLE, SF_SMALL
+from conftest import SF_SMALL
 from martlane.plans import warehouse as W
 
 
-def test_find_complete_only_finished_builds(spark, scratch):
-    base = f"{scratch}/base"
-    os.makedirs(f"{base}/app-unfinished/fact_sales")
-    assert W.find_complete(spark, base) is None
-    os.makedirs(f"{base}/app-done/fact_sales")
-    open(f"{base}/app-done/fact_sales/_SUCCESS", "w").close()
-    assert W.find_complete(spark, base).endswith("app-done")
-    assert W.find_complete(spark, f"{scratch}/missing") is None
+def test_star_is_built_once_per_application(spark):
+    assert W.star_for(spark, SF_SMALL) is W.star_for(spark, SF_SMALL)
 
 
-def test_fingerprint_tracks_inputs_and_code(spark, monkeypatch):
-    a = W.input_tag(spark, SF_SMALL)
-    assert a == W.input_tag(spark, SF_SMALL)
-    assert a != W.input_tag(spark, SF_ORACLE)
-    monkeypatch.setattr(W, "code_version", lambda: "other-code")
-    assert a != W.input_tag(spark, SF_SMALL)
+def test_changed_nested_input_file_means_a_new_build(spark, scratch):
+    data = f"{scratch}/data"
+    shutil.copytree(SF_SMALL, data)
+    shutil.move(f"{data}/lineitem.parquet", f"{scratch}/whole.parquet")
+    spark.read.parquet(f"{scratch}/whole.parquet").limit(100).write.parquet(f"{data}/lineitem.parquet/p=1")
+    tag, star = W.input_tag(spark, data), W.star_for(spark, data)
+    assert star.raw_orders.count() == 100 and W.star_for(spark, data) is star
+    spark.read.parquet(f"{scratch}/whole.parquet").limit(60).write.parquet(f"{data}/lineitem.parquet/p=2")
+    assert W.input_tag(spark, data) != tag
+    again = W.star_for(spark, data)
+    # limits of the same file may overlap; exact duplicates are dropped
+    assert again is not star and again.raw_orders.count() >= 100
+    assert star.raw_orders.count() == 100  # the first build's files are untouched
 
 
-def test_star_is_memoised_per_application(spark):
-    assert W.star_for(spark, SF_SMALL) is W.star_for(spark, SF_SMALL)
+def test_marker_is_written_last(spark, scratch, monkeypatch):
+    raw = W.star_for(spark, SF_SMALL).raw_orders
+    write = W._write
+
+    def broken(df, path):
+        if path.endswith("fact_sales"):
+            raise RuntimeError("lost")
+        write(df, path)
+
+    monkeypatch.setattr(W, "_write", broken)
+    try:
+        W.build_from_clean(spark, raw, f"{scratch}/wh")
+    except RuntimeError:
+        pass
+    assert os.path.isdir(f"{scratch}/wh/dim_people") and not W.is_complete(spark, f"{scratch}/wh")
+    found = W.existing_tables(spark, f"{scratch}/wh", ("dim_people", "fact_sales"))
+    assert found["fact_sales"] is None and found["dim_people"].count() > 0
+    monkeypatch.setattr(W, "_write", write)
+    W.build_from_clean(spark, raw, f"{scratch}/wh2")
+    assert W.is_complete(spark, f"{scratch}/wh2")
+
+
+def test_build_notes_a_cleaned_file_instead_of_copying_it(spark, scratch):
+    raw = W.star_for(spark, SF_SMALL).raw_orders
+    raw.write.parquet(f"{scratch}/cleaned.parquet")
+    W.build_from_clean(spark, spark.read.parquet(f"{scratch}/cleaned.parquet"), f"{scratch}/wh",
+                       raw_path=f"{scratch}/cleaned.parquet")
+    assert not os.path.exists(f"{scratch}/wh/raw_orders")
+    assert W.open_warehouse(spark, f"{scratch}/wh").raw_orders.count() == raw.count()
+
+
+def test_fact_files_follow_its_size_not_its_years(spark, scratch):
+    star = W.star_for(spark, SF_SMALL)
+    years = star.fact_sales.selectExpr("year(order_date)").distinct().count()
+    assert years > 3 and len(star.fact_sales.inputFiles()) <= len(star.raw_orders.inputFiles())

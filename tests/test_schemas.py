@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SF_SMALL
 from martlane import schemas as S
-from martlane.plans.warehouse import FACT_PARTITION, star_for
+from martlane.plans.warehouse import star_for
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +27,7 @@ def star(spark):
 def test_contract(star, table, schema):
     df = getattr(star, table)
     S.assert_schema(df, schema)
-    extra = set(df.columns) - {f.name for f in schema.fields} - {FACT_PARTITION}
+    extra = set(df.columns) - {f.name for f in schema.fields}
     assert not extra, extra
 
 
