@@ -6,8 +6,9 @@
       load + build the star at W; print the smoke checks and table counts
   python -m martlane export --warehouse W --out DIR [--fmt csv|parquet]
       write the six report marts, print rows per file
-  python -m martlane report --warehouse W --name KEY [--limit N]
-      show one analysis / check / measure (see ``REPORTS``)
+  python -m martlane report --warehouse W --name KEY [--limit N] [--out DIR]
+      show one analysis / check / measure (any star key of the query registry),
+      whole unless --limit is given; with --out write it as Parquet instead
 
 Exit codes: 0 ok, 1 missing input, 2 failure in a step.
 """
@@ -20,40 +21,20 @@ import sys
 
 from pyspark.sql import DataFrame
 
-from martlane.operators import analysis as A
-from martlane.operators import measures as V
 from martlane.operators import quality as D
-from martlane.plans.warehouse import TABLES, build_from_clean, open_warehouse
-
-REPORTS = {
-    "monthly_growth": lambda s: A.monthly_growth(s.fact_sales),
-    "cumulative_revenue": lambda s: A.cumulative_revenue(s.fact_sales),
-    "top_products": lambda s: A.top_products(s.fact_sales, s.dim_product),
-    "category_contribution": lambda s: A.category_contribution(s.fact_sales, s.dim_product),
-    "rfm": lambda s: A.rfm(s.fact_sales),
-    "repeat_purchase_rate": lambda s: A.repeat_purchase_rate(s.fact_sales),
-    "cohort_retention": lambda s: A.cohort_retention(s.fact_sales),
-    "regional_leaderboard": lambda s: A.regional_leaderboard(s.fact_sales),
-    "return_rate_by_region": lambda s: A.return_rate_by_region(s.fact_sales),
-    "quality_scan": lambda s: D.quality_scan(s.raw_orders),
-    "duplicate_row_id": lambda s: D.duplicate_row_id(s.raw_orders),
-    "duplicate_lines": lambda s: D.duplicate_lines(s.raw_orders),
-    "category_distribution": lambda s: D.category_distribution(s.raw_orders),
-    "market_distribution": lambda s: D.market_distribution(s.raw_orders),
-    "returned_values": lambda s: D.returned_values(s.raw_returns),
-    "orders_vs_returns": lambda s: D.orders_vs_returns(s.raw_orders, s.raw_returns),
-    "average_order_value": lambda s: V.average_order_value(s.fact_sales),
-    "yearly_revenue": lambda s: V.yearly_revenue(s.fact_sales),
-    "seasonality": lambda s: V.seasonality(s.fact_sales),
-    "customers_by_order_count": lambda s: V.customers_by_order_count(s.fact_sales),
-    "discount_bands": lambda s: V.discount_bands(s.fact_sales),
-    "second_purchase_90d": lambda s: V.second_purchase(s.fact_sales, 90),
-    "kpi_excluding_returns": lambda s: V.kpi_excluding_returns(s.fact_sales),
-}
-
-
-def _show(df: DataFrame, limit: int) -> None:
-    for row in df.limit(limit).collect():  # bounded by --limit: display only
+from martlane.plans.registry import STAR_REPORTS as REPORTS
+from martlane.plans.warehouse import TABLES, build_from_clean, existing_tables, open_warehouse
+
+COUNTED = ("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_people")
+
+
+def _show(df: DataFrame, limit: int | None = None) -> None:
+    """Print rows as JSON, all of them unless ``limit`` is given (rows come
+    partition by partition); says so when rows are left out."""
+    for n, row in enumerate(df.toLocalIterator()):
+        if limit is not None and n >= limit:
+            print(f"more than {limit} rows: the rest is not shown", file=sys.stderr)
+            return
         print(json.dumps(row.asDict(), default=str))
 
 
@@ -71,7 +52,9 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--people", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--fmt", default="csv", choices=["csv", "parquet"])
-    c.add_argument("--dates-as-string", action="store_true")
+    c.add_argument("--dates-as-string", action="store_true", help="kept for older calls: dates always are read as text")
+    c.add_argument("--date-format", action="append", default=[], help="date format of the extract, tried first")
+    c.add_argument("--single-line", action="store_true", help="no CSV field holds a line break: files can be split")
     b = sub.add_parser("build")
     b.add_argument("--clean", required=True)
     b.add_argument("--warehouse", required=True)
@@ -82,15 +65,16 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("report")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--name", required=True, choices=sorted(REPORTS))
-    r.add_argument("--limit", type=int, default=100)
+    r.add_argument("--limit", type=int)
+    r.add_argument("--out")
     args = ap.parse_args(argv)
 
-    from martlane.session import get_session
+    from martlane.session import apply_scale, get_session
 
     spark = get_session()
     try:
         if args.cmd == "clean":
-            from martlane.operators.clean import CleanReport, clean_orders
+            from martlane.operators.clean import CleanReport, clean_orders, unmatched_of
             from martlane.sources.extracts import read_orders, read_people, read_returns
             from martlane.sources.sinks import write_csv, write_parquet
 
@@ -98,24 +82,26 @@ def main(argv: list[str] | None = None) -> int:
                 if not _exists(spark, p):
                     print(f"ERROR: input not found: {p}", file=sys.stderr)
                     return 1
-            rep = CleanReport()
+            apply_scale(spark, args.orders, args.returns)
+            rep, formats, multi = CleanReport(), tuple(args.date_format), not args.single_line
             cleaned = clean_orders(
-                read_orders(spark, args.orders, args.fmt, args.dates_as_string),
-                read_returns(spark, args.returns, args.fmt),
-                read_people(spark, args.people, args.fmt),
-                report=rep,
+                read_orders(spark, args.orders, args.fmt, dates_as_string=True, multi_line=multi),
+                read_returns(spark, args.returns, args.fmt, multi),
+                read_people(spark, args.people, args.fmt, multi),
+                date_formats=formats, report=rep,
             )
             write_parquet(cleaned, f"{args.out}/cleaned_orders.parquet")
             print(json.dumps(rep.get()))
+            _show(unmatched_of(spark.read.parquet(f"{args.out}/cleaned_orders.parquet")))
             write_csv(spark.read.parquet(f"{args.out}/cleaned_orders.parquet"), f"{args.out}/cleaned_orders.csv")
         elif args.cmd == "build":
             if not _exists(spark, args.clean):
                 print(f"ERROR: cleaned input not found: {args.clean}", file=sys.stderr)
                 return 1
-            star = build_from_clean(spark, spark.read.parquet(args.clean), args.warehouse)
-            _show(D.summary(star.raw_orders), 10)
-            _show(D.table_counts(spark, {t: getattr(star, t) for t in
-                                         ("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_people")}), 10)
+            apply_scale(spark, args.clean)
+            star = build_from_clean(spark, spark.read.parquet(args.clean), args.warehouse, raw_path=args.clean)
+            _show(D.summary(star.raw_orders))
+            _show(D.table_counts(spark, existing_tables(spark, args.warehouse, COUNTED)))
         elif args.cmd == "export":
             from martlane.sources.sinks import export_all
 
@@ -123,9 +109,16 @@ def main(argv: list[str] | None = None) -> int:
                 print(f"ERROR: warehouse not found: {args.warehouse}", file=sys.stderr)
                 return 1
             for name, rows in export_all(open_warehouse(spark, args.warehouse), args.out, args.fmt).items():
-                print(f"Exported {name:<30} rows: {rows}")
+                print(json.dumps({"mart": name, "rows": rows}))
         elif args.cmd == "report":
-            _show(REPORTS[args.name](open_warehouse(spark, args.warehouse)), args.limit)
+            if args.name == "table_counts":  # also of an unfinished warehouse: missing tables count as null
+                found = D.table_counts(spark, existing_tables(spark, args.warehouse, COUNTED))
+            else:
+                found = REPORTS[args.name](open_warehouse(spark, args.warehouse))
+            if args.out:
+                found.write.mode("overwrite").parquet(args.out)
+            else:
+                _show(found, args.limit)
     except Exception as exc:  # a failed step ends the run with code 2
         print(f"ERROR during {args.cmd}: {exc}", file=sys.stderr)
         return 2

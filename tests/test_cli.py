@@ -33,6 +33,14 @@ def test_clean_build_export_report(spark, scratch, capsys):
     assert main(["report", "--warehouse", f"{scratch}/wh", "--name", "repeat_purchase_rate"]) == 0
     row = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert row["total_customers"] > 0
+    orders = spark.read.parquet(f"{scratch}/wh/fact_sales").select("customer_id").distinct().count()
+    assert main(["report", "--warehouse", f"{scratch}/wh", "--name", "customer_loyalty"]) == 0
+    assert len(capsys.readouterr().out.strip().splitlines()) == orders  # whole
+    assert main(["report", "--warehouse", f"{scratch}/wh", "--name", "customer_loyalty", "--limit", "3"]) == 0
+    shown = capsys.readouterr()
+    assert len(shown.out.strip().splitlines()) == 3 and "not shown" in shown.err
+    assert main(["report", "--warehouse", f"{scratch}/wh", "--name", "state_performance", "--out", f"{scratch}/sp"]) == 0
+    assert spark.read.parquet(f"{scratch}/sp").count() > 0
 
 
 def test_missing_input_exit_code(scratch):
