@@ -23,6 +23,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm(v):
     if v is None:
         return None
+    if v is pd.NaT or v is pd.NA:
+        return None
     if isinstance(v, float):
         if math.isnan(v):
             return None

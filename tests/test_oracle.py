@@ -6,11 +6,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+import sql_oracle
 from conftest import SF_ORACLE, SF_SMALL
+from martlane.plans.registry import QUERIES
 from oracle_harness import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+ORACLE = sql_oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
