@@ -83,4 +83,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_forest": op10_forest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+CHAT_SQL = r"""
+WITH m AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, COALESCE(text, '') AS text FROM conversations),
+l AS (
+  SELECT rid, conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS k
+  FROM m
+),
+p AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^[ \t]*((>[ \t]?)+)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[ \t]*((>[ \t]?)+)', '') AS body
+  FROM l
+),
+n AS (SELECT *, trim(regexp_replace(lower(body), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM p),
+b AS (
+  SELECT *, lag(level) OVER w AS level_before, lag(norm) OVER w AS norm_before
+  FROM n WINDOW w AS (PARTITION BY rid ORDER BY k)
+),
+g AS (
+  SELECT *, COUNT(*) FILTER (WHERE norm = '' OR COALESCE(norm_before, '') = '' OR level <> level_before)
+              OVER (PARTITION BY rid ORDER BY k) AS run
+  FROM b
+),
+runs AS (
+  SELECT rid, run, conv_id, turn, level, string_agg(norm, ' ' ORDER BY k) AS unit, COUNT(*) AS lines
+  FROM g WHERE norm <> '' GROUP BY ALL
+),
+units AS (
+  SELECT conv_id, turn, level, unit FROM runs
+  UNION ALL
+  SELECT g.conv_id, g.turn, g.level, g.norm FROM g JOIN runs USING (rid, run) WHERE runs.lines > 1 AND g.norm <> ''
+),
+said AS (SELECT conv_id, unit, MIN(turn) AS origin FROM units WHERE level = 0 GROUP BY ALL),
+found AS (
+  SELECT q.conv_id, q.turn, q.level, q.unit, s.origin, len(string_split(q.unit, ' ')) AS words
+  FROM units q JOIN said s ON q.conv_id = s.conv_id AND q.unit = s.unit
+  WHERE q.level > 0 AND s.origin < q.turn
+),
+linked AS (
+  SELECT conv_id, turn, arg_max(origin, (-level, words, origin)) AS origin, COUNT(DISTINCT (level, unit)) AS n_linked
+  FROM found GROUP BY ALL
+),
+told AS (
+  SELECT rid, COUNT(*) FILTER (WHERE level > 0) AS n_quoted,
+         COALESCE(string_agg(body, chr(10) ORDER BY k) FILTER (WHERE level = 0), '') AS text
+  FROM p GROUP BY rid
+),
+answers AS (
+  SELECT m.conv_id, m.turn, m.role,
+         COALESCE(k.origin, CASE WHEN EXISTS (SELECT 1 FROM m b WHERE b.conv_id = m.conv_id AND b.turn = m.turn - 1)
+                                 THEN m.turn - 1 END) AS parent_turn,
+         t.n_quoted, COALESCE(k.n_linked, 0) AS n_linked, t.text
+  FROM m JOIN told t USING (rid) LEFT JOIN linked k ON m.conv_id = k.conv_id AND m.turn = k.turn
+)
+SELECT conv_id, turn, role, parent_turn,
+       row_number() OVER (PARTITION BY conv_id ORDER BY parent_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text) - 1
+         AS place,
+       n_quoted, n_linked, text
+FROM answers"""
+
+#: Hashes, fingerprints, compressors, tokens, fitted models and approximate
+#: search have no SQL form; tests compare those queries with brute force.
+ORACLE_SQL: dict[str, str] = {"op3_chat": CHAT_SQL}

@@ -256,6 +256,32 @@ def test_chat_links_quotes_and_orders_replies(spark):
     assert chat.reply_ordered(conversation(spark, [])).count() == 0
 
 
+def test_chat_matches_its_sql(spark):
+    import duckdb
+
+    from martlane.llm.queries import ORACLE_SQL, op3_chat
+
+    rnd = random.Random(9)
+    lines = ["", "> ", "Hello there", "hello, THERE!", "How are you?", "fine", ">> fine", "> fine", "> How are you?", "  > > Hello there",
+             ">hello there", "> nobody said this", "a\tb", "Grüße, Ülker"]
+    rows = [(c, t, rnd.choice(["user", "assistant", None]), "\n".join(rnd.choices(lines, k=rnd.randint(0, 7))))
+            for c in range(60) for t in range(6) if rnd.random() < 0.9]
+    rows += [(None, 1, "u", "> fine"), (3, None, "u", "fine"), (4, 2, "u", None)]
+    key = lambda r: tuple((x is None, x) for x in r)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    names = ["conv_id", "turn", "role", "parent_turn", "place", "n_quoted", "n_linked", "text"]
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({ORACLE_SQL['op3_chat']})").fetchall()
+    got = [tuple(r) for r in chat.reply_ordered(conversation(spark, rows)).select(*names).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key) and any(r[6] for r in got)
+    whole = duckdb.connect()
+    whole.execute("CREATE VIEW conversations AS SELECT * FROM read_parquet('/root/testdata/sf0.01/conversations.parquet')")
+    want = whole.execute(f"SELECT {', '.join(names)} FROM ({ORACLE_SQL['op3_chat']})").fetchall()
+    got = [tuple(r) for r in op3_chat(spark, "/root/testdata/sf0.01").select(*names).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
 def test_chat_places_of_a_long_conversation(spark):
     rows = [(7, t, "u", f"message {t}") for t in range(3000)] + [(8, 0, "u", "x")]
     got = chat.reply_ordered(conversation(spark, rows)).where("conv_id = 7").select("turn", "place").collect()
