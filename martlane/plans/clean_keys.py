@@ -130,6 +130,43 @@ def unreadable_values(spark, sf_dir):
     return d.agg(*C.unreadable_counters(d))
 
 
+def _through_csv(spark, df: DataFrame, name: str) -> str:
+    """Write an extract as CSV with spreadsheet headers; returns its folder."""
+    from martlane.plans.warehouse import fresh_root
+    from martlane.sources.sinks import write_csv
+
+    path = f"{fresh_root(spark)}/{name}"
+    heads = {c: c.replace("_", " ").title() for c in df.columns} | {"sub_category": " Sub-Category "}
+    write_csv(df.toDF(*[heads[c] for c in df.columns]), path)
+    return path
+
+
+def read_orders_csv(spark, sf_dir):
+    """The Orders extract written as CSV and read again."""
+    from martlane.schemas import ORDERS_SCHEMA, conform
+    from martlane.sources.extracts import read_orders
+
+    back = read_orders(spark, _through_csv(spark, orders_extract(spark, sf_dir), "orders"), multi_line=False)
+    whole = {c: to_whole(c, kind) for c, kind in C.WHOLE_COLUMNS.items()}
+    return _doubles(conform(back.withColumns(whole | {c: to_money(c) for c in C.MONEY_COLUMNS}), ORDERS_SCHEMA))
+
+
+def read_returns_csv(spark, sf_dir):
+    """The Returns extract written as CSV and read again."""
+    from martlane.sources.extracts import read_returns
+
+    return read_returns(spark, _through_csv(spark, returns_extract(spark, sf_dir), "returns"), multi_line=False)
+
+
+def read_people_csv(spark, sf_dir):
+    """An extract of many owners per region written as CSV files
+    in supplier order and read again; the first of each region."""
+    from martlane.sources.extracts import read_people
+
+    people = supplier_people(spark, sf_dir).repartitionByRange("_seq").sortWithinPartitions("_seq").drop("_seq")
+    return C.dedupe_people(read_people(spark, _through_csv(spark, people, "people"))).select("person", "region")
+
+
 def excel_serial_dates(spark, sf_dir):
     return _dirty(spark, sf_dir).select("row_id", serial_to_timestamp("order_date").alias("order_ts"))
 
@@ -177,6 +214,9 @@ def shape_report(spark, sf_dir):
 
 
 CLEAN_QUERIES = {
+    "read_orders_csv": read_orders_csv,
+    "read_returns_csv": read_returns_csv,
+    "read_people_csv": read_people_csv,
     "dedupe_exact": dedupe_exact,
     "dedupe_people": dedupe_people,
     "clean_counters": clean_counters,
