@@ -275,5 +275,6 @@ def bpe(docs: DataFrame, path: str, outputs: Sequence[str] = ("ids", "decoded",
                 pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32()))
             arrays, names = without(b, outputs)
             yield pa.RecordBatch.from_arrays([*arrays, *(out[o]() for o in outputs)], names=[*names, *outputs])
+        c.cache.clear()  # a reused worker keeps the tables, not the words
 
     return docs.mapInArrow(run, schema)

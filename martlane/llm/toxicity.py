@@ -208,13 +208,13 @@ def frequencies(texts: DataFrame, among: set[str] | None, least: int) -> dict[st
     from ``least`` texts on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        for b in batches:
+        for b in chunks(batches, 64):  # bounds what a worker counts at a time
+            n: Counter = Counter()
             for t in texts_of(b.column(0)):
                 own = beginnings(fold(t))
                 n.update(own if among is None else own & among)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["term", "n"])
 
     counts = texts.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     return {r.term: r.n for r in counts.where(F.col("n") >= least).collect()}
