@@ -125,5 +125,6 @@ def mix(docs: DataFrame, max_repeats: float = MAX_REPEATS, entropy: float | None
     uses = written(docs.sparkSession, uses.groupBy("_id", "_source", "_body").agg(F.count(F.lit(1)).cast("int").alias("_uses")), "mix-plan")
     on = (docs[id].eqNullSafe(F.col("_id")) & docs[source].eqNullSafe(F.col("_source"))
           & (F.xxhash64(docs[text]) == F.col("_body")))
-    return docs.join(uses, on).withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(
+    # a shuffle join at every size: the plan has a row for each document
+    return docs.join(uses.hint("merge"), on).withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(
         *(docs[c] for c in docs.columns))

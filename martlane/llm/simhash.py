@@ -143,7 +143,8 @@ def keep_one(docs: DataFrame, size: int = 3, max_bits: int = 2, id: str = "doc_i
     found = written(docs.sparkSession, near_duplicates(docs, size, max_bits, id, text), "groups")
     keepers = found.where(F.col("component_id") == F.col(id)).select(F.col(id).alias("_keep")).distinct()
     copies = W.partitionBy(id, F.xxhash64(text)).orderBy(id)
-    kept = docs.join(keepers, docs[id] == F.col("_keep"), "left_semi")
+    # a shuffle join at every size: keepers grow with the documents
+    kept = docs.join(keepers.hint("merge"), docs[id] == F.col("_keep"), "left_semi")
     kept = kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
     nameless = fingerprints(docs.where(F.col(id).isNull()), size, id, text).select(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")).distinct()
