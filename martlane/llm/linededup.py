@@ -137,7 +137,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id",
     (lines with words), n_removed and removed (line numbers, comma-joined)."""
     spans = written(docs.sparkSession, repeated_lines(docs, min_words, id, text), "line-spans").select(
         F.col("id").alias("_id"), F.col("body").alias("_body"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, docs[id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_body")), "left")
+    # a shuffle join at every size: the spans grow with the texts
+    joined = docs.join(spans.hint("merge"), docs[id].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_body")), "left")
     joined = joined.drop("_id", "_body")
     schema = appended(docs.schema, FIELDS)
     new = [f.name for f in FIELDS]
