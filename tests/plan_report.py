@@ -1,6 +1,6 @@
 """Writes PLANS.md: the physical operators of every registered query as the
 planner picks them when no table is small enough to broadcast (the 100 TB
-case).  Only the explicit hints (25-row code table, 1-row parameters)
+case).  Only the explicit hints (1-row parameters)
 remain broadcasts.
 
 python tests/plan_report.py [sf_dir]
