@@ -43,7 +43,11 @@ SENSITIVE = re.compile(
     r"|session|cookie|jwt)", re.I | re.A)
 REACH = 40
 CANDIDATE = re.compile(r"(?<![@A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{16,}(?!@)")
-IDENTIFIER = r"([A-Za-z_][A-Za-z0-9_]{2,})\x20*[=(]"
+#: A value inside a candidate: the name before '=' is context, '=' at the end
+#: is padding.
+PART = re.compile(r"[^=]{16,}(?:=+\Z)?")
+# '=' at the end of a string is padding of a value, which must not prime.
+IDENTIFIER = r"([A-Za-z_][A-Za-z0-9_]{2,})(?:\x20*\(|\x20+=(?!=)|=(?![=\s]|$|[\x22\x27](?:[\s,;)}\]]|$)))"
 DICTIONARY_WORDS = 2000
 SURROUNDINGS = 512
 #: Marginal bytes per byte from which a candidate is incompressible.
@@ -79,14 +83,24 @@ class Novelty:
         return (self.size(near_b + own_b) - self.size(near_b)) / len(own_b)
 
     def spans(self, text: str, base: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
-        """Novel candidates outside the base spans."""
+        """Novel candidates outside the base spans: the values of a candidate
+        with '=', the whole of it if none of them is novel."""
+        def novel(near: int, start: int, end: int) -> bool:
+            return (any(map(str.isdigit, text[start:end])) and SENSITIVE.search(text, max(0, near - REACH), start) is not None
+                    and not any(s < end and start < e for s, _, e in base)
+                    and self.rate(text, start, end) >= least)
+
         found = []
         for m in CANDIDATE.finditer(text):
-            start, end = m.span()
-            if (any(map(str.isdigit, m[0])) and SENSITIVE.search(text, max(0, start - REACH), start)
-                    and not any(s < end and start < e for s, _, e in base)
-                    and self.rate(text, start, end) >= least):
-                found.append((start, 3, end))
+            values = []
+            for v in PART.finditer(m[0]):
+                # the name's start, so that a long name is seen whole
+                name = m[0].rfind("=", 0, max(0, v.start() - 1)) + 1
+                if novel(m.start() + name, m.start() + v.start(), m.start() + v.end()):
+                    values.append((m.start() + v.start(), 3, m.start() + v.end()))
+            if not values and "=" in m[0] and novel(m.start(), *m.span()):
+                values.append((m.start(), 3, m.end()))
+            found += values
         return found
 
 

@@ -67,6 +67,17 @@ def test_novel_strings_only_in_sensitive_context(spark):
     assert got[2] == "" and got[3] == ""
 
 
+def test_novel_values_after_a_name_and_equals_sign(spark):
+    key = "Zk8vQ2mXw7Lr4TnB9sYc3JdF6hG1pA5e"
+    forms = [("PRIVATE_KEY=", ""), ("--pwd=", " run"), ("GET /a?access_key=", "&x=1"), ("pwd = ", ""), ("jwt=", "=="),
+             ("x=1\nMY_AUTH_" + "LONG_" * 12 + "NAME=", "\n"), ("color=", "")]
+    texts = [(i, a + key + b) for i, (a, b) in enumerate(forms)]
+    got = {r.doc_id: r.spans for r in secrets.scan_secrets(docs(spark, texts)).collect()}
+    for i, (a, b) in enumerate(forms[:-1]):
+        assert got[i] == f"novel:{len(a)}:{len(a) + len(key) + 2 * (b == '==')}", (a, got[i])
+    assert got[len(forms) - 1] == ""
+
+
 def test_secrets_on_an_empty_table(spark):
     assert secrets.scan_secrets(docs(spark, [])).count() == 0
 
