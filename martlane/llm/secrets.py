@@ -75,32 +75,49 @@ class Novelty:
 
     def rate(self, text: str, start: int, end: int) -> float:
         """Marginal bytes per byte of ``text[start:end]`` after its
-        surroundings on both sides.  Later copies of it do not count as
-        surroundings, so the first of several copies is judged by itself."""
+        surroundings on both sides.  Copies of it there (as a whole, not
+        inside longer words) are cut, so each copy is judged by itself."""
         own = text[start:end]
-        near = text[end:end + SURROUNDINGS].replace(own, "") + "\n" + text[max(0, start - SURROUNDINGS):start]
+        near = text[end:end + SURROUNDINGS] + "\n" + text[max(0, start - SURROUNDINGS):start]
+        if own in near:
+            near = re.sub(rf"(?<![A-Za-z0-9_]){re.escape(own)}(?![A-Za-z0-9_])", "", near)
         near_b, own_b = near.encode("utf-8", "replace"), own.encode()
         return (self.size(near_b + own_b) - self.size(near_b)) / len(own_b)
 
     def spans(self, text: str, base: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
         """Novel candidates outside the base spans: the values of a candidate
-        with '=', the whole of it if none of them is novel."""
-        def novel(near: int, start: int, end: int) -> bool:
+        with '=', the whole of it if none of them is novel.  A string reported
+        once, as a base span's value too, is reported wherever it is a
+        candidate."""
+        def candidate(near: int, start: int, end: int) -> bool:
             return (any(map(str.isdigit, text[start:end])) and SENSITIVE.search(text, max(0, near - REACH), start) is not None
-                    and not any(s < end and start < e for s, _, e in base)
-                    and self.rate(text, start, end) >= least)
+                    and not any(s < end and start < e for s, _, e in base))
 
-        found = []
+        tried = []
         for m in CANDIDATE.finditer(text):
             values = []
             for v in PART.finditer(m[0]):
                 # the name's start, so that a long name is seen whole
                 name = m[0].rfind("=", 0, max(0, v.start() - 1)) + 1
-                if novel(m.start() + name, m.start() + v.start(), m.start() + v.end()):
-                    values.append((m.start() + v.start(), 3, m.start() + v.end()))
-            if not values and "=" in m[0] and novel(m.start(), *m.span()):
-                values.append((m.start(), 3, m.end()))
-            found += values
+                if candidate(m.start() + name, m.start() + v.start(), m.start() + v.end()):
+                    values.append((m.start() + v.start(), m.start() + v.end()))
+            whole = [m.span()] if "=" in m[0] and candidate(m.start(), *m.span()) else []
+            if values or whole:
+                tried.append((values, whole))
+        if not tried:
+            return []
+        known = {ASSIGN.match(text, s)[2] if k == 0 else text[s:e] for s, k, e in base}
+        novel = {}
+        for spans in tried:
+            for s, e in [*spans[0], *spans[1]]:
+                novel[s, e] = text[s:e] in known or self.rate(text, s, e) >= least
+                if novel[s, e] and (s, e) in spans[0]:
+                    known.add(text[s:e])
+        found = []
+        for values, whole in tried:
+            out = [x for x in values if novel[x] or text[slice(*x)] in known]
+            out = out or [x for x in whole if novel[x] or text[slice(*x)] in known]
+            found += [(s, 3, e) for s, e in out]
         return found
 
 

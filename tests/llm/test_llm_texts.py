@@ -78,6 +78,18 @@ def test_novel_values_after_a_name_and_equals_sign(spark):
     assert got[len(forms) - 1] == ""
 
 
+def test_every_copy_of_a_secret_is_reported(spark):
+    key, low = "Zk8vQ2mXw7Lr4TnB9sYc3JdF6hG1pA5e", "0f1e2d3c4b5a69788796a5b4c3d2e1f0"
+    texts = [(0, f"auth bearer {key} sent, then pwd {key} again, jwt={key}"), (1, f"row {key} was listed\nauth bearer {key}"),
+             (2, f"token={key}\nauth bearer {key}"), (3, f"pwd {key}\n" + "some text " * 200 + f"\nauth bearer {key}"),
+             (4, f"GET /{key}/x\nauth bearer {key}"), (5, f"listed {low} auth bearer {low}")]
+    got = {r.doc_id: r.spans.split(",") for r in secrets.scan_secrets(docs(spark, texts)).collect()}
+    at = {i: [m.start() for m in re.finditer(key, t)] for i, t in texts}
+    for i, copies in ((0, at[0]), (1, at[1][1:]), (2, at[2][1:]), (3, at[3]), (4, at[4][1:])):
+        assert [s for s in got[i] if s.startswith("novel")] == [f"novel:{s}:{s + len(key)}" for s in copies], i
+    assert got[5] == [f"hex:{m.start()}:{m.end()}" for m in re.finditer(low, texts[5][1])]
+
+
 def test_secrets_on_an_empty_table(spark):
     assert secrets.scan_secrets(docs(spark, [])).count() == 0
 
