@@ -1,11 +1,12 @@
 """Operator 1: secret scans by dictionary-primed compression novelty.
 
-Base patterns find secrets of known shape.  Beyond them, every long token
-that follows a sensitive word is a candidate: its marginal size is what a
-zstandard compressor, primed with the corpus's identifiers, needs for the
-surrounding text with the candidate beyond what it needs without it.  Names,
-words and repeats cost next to nothing; what stays incompressible is
-reported as ``novel``.
+Base patterns find secrets of known shape.  Beyond them, every token of 8
+characters or more that follows a sensitive word is a candidate: its marginal
+size is what a zstandard compressor, primed with the corpus's identifiers,
+needs for the surrounding text with the candidate beyond what it needs without
+it, compared with what random text of the candidate's length and alphabet
+needs there.  Names and repeats cost next to nothing; what costs about as much
+as random text is reported as ``novel``.
 
 The identifier dictionary is counted over all documents (names that are
 assigned to), and the most frequent ``DICTIONARY_WORDS`` of them prime the
@@ -18,6 +19,7 @@ repeat their result; spans are in code points, end exclusive.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterable, Iterator
 
@@ -37,21 +39,26 @@ ACCESS = re.compile("AKIA[A-Z0-9]{12,}")
 HEX = re.compile("[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words after which a long token is a candidate, and how near it must be.
+#: Words after which a token is a candidate, and how near it must be.
 SENSITIVE = re.compile(
     r"(?<![A-Za-z])(passw|pwd|passphrase|secret|token|api_?key|key\b|credential|auth|bearer|private|cert|signature"
     r"|session|cookie|jwt)", re.I | re.A)
 REACH = 40
-CANDIDATE = re.compile(r"(?<![@A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{16,}(?!@)")
+CANDIDATE = re.compile(r"(?<![@A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{8,}")
 #: A value inside a candidate: the name before '=' is context, '=' at the end
 #: is padding.
-PART = re.compile(r"[^=]{16,}(?:=+\Z)?")
+PART = re.compile(r"[^=]{8,}(?:=+\Z)?")
 # '=' at the end of a string is padding of a value, which must not prime.
 IDENTIFIER = r"([A-Za-z_][A-Za-z0-9_]{2,})(?:\x20*\(|\x20+=(?!=)|=(?![=\s]|$|[\x22\x27](?:[\s,;)}\]]|$)))"
 DICTIONARY_WORDS = 2000
 SURROUNDINGS = 512
-#: Marginal bytes per byte from which a candidate is incompressible.
+#: Part of the marginal bytes of random text over its own alphabet from which
+#: a candidate is incompressible.
 NOVELTY = 0.75
+#: Sets of symbols an alphabet is made of.
+SYMBOLS = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/", "_-.~", "=")
+#: So many random characters are measured for comparison, one text at least.
+RANDOM_CHARS = 128
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -74,15 +81,20 @@ class Novelty:
         return len(self.compressor.compress(data))
 
     def rate(self, text: str, start: int, end: int) -> float:
-        """Marginal bytes per byte of ``text[start:end]`` after its
-        surroundings on both sides.  Copies of it there (as a whole, not
+        """Marginal size of ``text[start:end]`` after its surroundings on both
+        sides, as a part of that of random text over its alphabet.  Copies of it there (as a whole, not
         inside longer words) are cut, so each copy is judged by itself."""
         own = text[start:end]
         near = text[end:end + SURROUNDINGS] + "\n" + text[max(0, start - SURROUNDINGS):start]
         if own in near:
             near = re.sub(rf"(?<![A-Za-z0-9_]){re.escape(own)}(?![A-Za-z0-9_])", "", near)
-        near_b, own_b = near.encode("utf-8", "replace"), own.encode()
-        return (self.size(near_b + own_b) - self.size(near_b)) / len(own_b)
+        near_b = near.encode("utf-8", "replace")
+        alone = self.size(near_b)
+        alphabet = "".join(x for x in SYMBOLS if not set(x).isdisjoint(own))
+        rnd = random.Random(own)
+        times = max(1, RANDOM_CHARS // len(own))
+        other = sum(self.size(near_b + "".join(rnd.choices(alphabet, k=len(own))).encode()) - alone for _ in range(times))
+        return (self.size(near_b + own.encode()) - alone) * times / max(1, other)
 
     def spans(self, text: str, base: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
         """Novel candidates outside the base spans: the values of a candidate
@@ -90,7 +102,7 @@ class Novelty:
         once, as a base span's value too, is reported wherever it is a
         candidate."""
         def candidate(near: int, start: int, end: int) -> bool:
-            return (any(map(str.isdigit, text[start:end])) and SENSITIVE.search(text, max(0, near - REACH), start) is not None
+            return (SENSITIVE.search(text, max(0, near - REACH), start) is not None
                     and not any(s < end and start < e for s, _, e in base))
 
         tried = []

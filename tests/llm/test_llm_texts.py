@@ -90,6 +90,26 @@ def test_every_copy_of_a_secret_is_reported(spark):
     assert got[5] == [f"hex:{m.start()}:{m.end()}" for m in re.finditer(low, texts[5][1])]
 
 
+def test_random_strings_of_any_alphabet_and_length_are_novel(spark):
+    rnd = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = [(letters + letters.upper(), 16), (letters + letters.upper(), 20), ("0123456789ABCDEF", 128), ("0123456789", 24),
+             (letters + letters.upper() + "0123456789", 8), (letters + letters.upper() + "0123456789", 12)]
+    texts, spans = [], {}
+    for i in range(240):
+        alphabet, size = kinds[i % len(kinds)]
+        key = "".join(rnd.choices(alphabet, k=size))
+        around = " ".join("".join(rnd.choices(letters[:9], k=rnd.randint(2, 6))) for _ in range(80))
+        texts.append((i, f"{around} pwd {key} {around}"))
+        spans[i] = f"novel:{len(around) + 5}:{len(around) + 5 + size}"
+    got = {r.doc_id: r.spans for r in secrets.scan_secrets(docs(spark, texts)).collect()}
+    for k, kind in enumerate(kinds):
+        found = sum(spans[i] in got[i].split(",") for i in spans if i % len(kinds) == k)
+        assert found >= (40 if kind[1] >= 16 else 36), (kind, found)
+    (row,) = secrets.scan_secrets(docs(spark, [(0, "pwd " + "Ab1" * 40)])).collect()
+    assert row.spans == ""
+
+
 def test_secrets_on_an_empty_table(spark):
     assert secrets.scan_secrets(docs(spark, [])).count() == 0
 
