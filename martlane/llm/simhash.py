@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlane.llm.base import chunks, texts_of, written
 
@@ -70,7 +71,8 @@ def fingerprints(docs: DataFrame, size: int = 3, id: str = "doc_id", text: str =
             fps = np.array([fingerprint(shingle_hashes(t, size)) for t in texts_of(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=[id, "fp"])
 
-    return docs.select(id, text).mapInArrow(run, f"`{id}` {docs.schema[id].dataType.simpleString()}, fp long")
+    schema = T.StructType([T.StructField(id, docs.schema[id].dataType), T.StructField("fp", T.LongType())])
+    return docs.select(id, text).mapInArrow(run, schema)
 
 
 def links(fps: DataFrame, max_bits: int) -> DataFrame:
@@ -117,38 +119,52 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id) for every row of ``docs``; the
-    component is named by its smallest id."""
+def grouped(docs: DataFrame, size: int, max_bits: int, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row of ``docs``, and (fp, component_id, root) of
+    every fingerprint: the component's smallest id and smallest fingerprint."""
     spark = docs.sparkSession
     each = written(spark, fingerprints(docs, size, id, text), "fingerprints")
     fps = each.groupBy("fp").agg(F.min(id).alias("least_id"))
     edges = links(fps.select("fp"), max_bits)
     roots = written(spark, components(spark, edges), "roots")
     named = roots.join(fps, roots.node == fps.fp).groupBy("root").agg(F.min("least_id").alias("linked_id"))
-    linked = roots.join(named, "root").select(F.col("node").alias("fp"), "linked_id")
+    linked = roots.join(named, "root").select(F.col("node").alias("fp"), "linked_id", "root")
     # written, so that the last join shuffles both sides itself and a hot
     # fingerprint's rows can be split over tasks
     groups = written(spark, fps.join(linked, "fp", "left").select(
-        "fp", F.coalesce("linked_id", "least_id").alias("component_id")), "components")
+        "fp", F.coalesce("linked_id", "least_id").alias("component_id"), F.coalesce("root", "fp").alias("root")), "components")
+    return each, groups
+
+
+def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, id: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """(id, fingerprint, component_id) for every row of ``docs``; the
+    component is named by its smallest id."""
+    each, groups = grouped(docs, size, max_bits, id, text)
     return each.join(groups, "fp").select(
         id, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 3, max_bits: int = 2, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group: the one whose id names it.  Rows
-    that repeat both id and text count once; rows with a null id stay only
-    where no row of their group has an id."""
-    found = written(docs.sparkSession, near_duplicates(docs, size, max_bits, id, text), "groups")
+    """``docs`` with one row of each group: the one whose id names it, or,
+    where no row of the group has an id, one with its smallest fingerprint
+    (of its texts that of the smallest hash).  Rows that repeat both id and
+    text count once."""
+    spark = docs.sparkSession
+    each, groups = grouped(docs, size, max_bits, id, text)
+    found = written(spark, each.join(groups, "fp"), "groups")
     keepers = found.where(F.col("component_id") == F.col(id)).select(F.col(id).alias("_keep")).distinct()
     copies = W.partitionBy(id, F.xxhash64(text)).orderBy(id)
     # a shuffle join at every size: keepers grow with the documents
     kept = docs.join(keepers.hint("merge"), docs[id] == F.col("_keep"), "left_semi")
     kept = kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
-    nameless = fingerprints(docs.where(F.col(id).isNull()), size, id, text).select(
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")).distinct()
-    orphans = nameless.join(found.where(F.col("component_id").isNull()).select("fingerprint").distinct(), "fingerprint")
-    if orphans.limit(1).count() == 0:
+    if found.where(F.col("component_id").isNull()).limit(1).count() == 0:
         return kept
-    return kept.unionByName(docs.where(F.col(id).isNull()))
+    # a group of nameless rows holds its root: its rows of that fingerprint
+    # are the same for every choice, and one of them is taken
+    nameless = docs.where(F.col(id).isNull())
+    own = fingerprints(nameless.select(F.struct(*nameless.columns).alias("_row"), F.col(text).alias("_text")), size, "_row", "_text")
+    roots = groups.where(F.col("component_id").isNull() & (F.col("fp") == F.col("root"))).select("fp")
+    # aggregated before the join, so a hot group is one row a task
+    one = own.groupBy("fp").agg(F.min_by("_row", F.xxhash64(F.col("_row")[text])).alias("_row"))
+    return kept.unionByName(one.join(roots.hint("merge"), "fp", "left_semi").select("_row.*"))

@@ -107,6 +107,15 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(docs(spark, rows[:5])).where("doc_id is null").count() == 0
 
 
+def test_one_of_each_nameless_group_stays(spark):
+    rows = [(2, "A b c", "s"), (None, "only null here", "s"), (None, None, "t")]
+    rows += [(None, t, "s") for t in ("a b c", "ONLY null here", "only  null here", "another null text of words") for _ in range(40)]
+    kept = simhash.keep_one(docs(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, " ".join(words(r.text))) for r in kept) == [
+        (0, ""), (0, "another null text of words"), (0, "only null here"), (2, "a b c")]
+    assert {r.source for r in kept if r.text is None} == {"t"}
+
+
 def test_simhash_on_an_empty_table(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
     assert simhash.keep_one(docs(spark, [])).count() == 0
