@@ -44,6 +44,27 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that are only needed until a later one is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{checkpoint_root(self.spark)}/llm-{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the tables; call it when nothing lazy reads them any more."""
+        context = self.spark.sparkContext
+        for path in self.paths:
+            p = context._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)
+        self.paths = []
+
+
 def appended(schema: T.StructType, new: list[T.StructField]) -> T.StructType:
     """``schema`` followed by ``new``; a new column replaces an input column
     of the same name (names compared as Spark does, without case)."""

@@ -1,4 +1,4 @@
-"""Queries of the ten operators, with production parameters over the whole
+"""Queries of the thirteen operators, with production parameters over the whole
 tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlane.llm import ann, bpe, chat, ctw, linededup, mixing, quality, secrets, simhash, toxicity
+from martlane.llm import align, ann, audit, bpe, chat, ctw, linededup, mixing, quality, secrets, simhash, suffixes, toxicity
 from martlane.llm.base import crc_mod, table
 
 BPE_FILE = "word_bpe_49k.json"
@@ -70,6 +70,19 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), a="byte_bpe_50k.json", b="piece_bpe_32k.model")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.dedup_bytes(docs, length=100, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).drop("text")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -81,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_forest": op10_forest,
+    "op11_align": op11_align,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 CHAT_SQL = r"""
@@ -142,6 +158,46 @@ SELECT conv_id, turn, role, parent_turn,
        n_quoted, n_linked, text
 FROM answers"""
 
+AUDIT_SQL = r"""
+WITH RECURSIVE orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f) WHERE length(o) < 5 AND NOT contains(o, f)
+),
+d AS (SELECT doc_id, COALESCE(text, '') AS t, COALESCE(lang, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+least AS (SELECT t, MIN(doc_id) AS first_id FROM d GROUP BY t),
+marks AS (SELECT doc_id, MAX(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, MAX(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+          FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         COALESCE(first_id < w.doc_id, false) AS e, COALESCE(good, 0) AS good, COALESCE(bad, 0) AS bad
+  FROM w JOIN least USING (t) LEFT JOIN marks ON marks.doc_id = w.doc_id
+),
+g AS (
+  SELECT part, good, bad, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+                                 CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails, COUNT(*) AS n
+  FROM f GROUP BY ALL
+),
+s AS (
+  SELECT part, o AS filter_order, step, n, good, bad, substr(o, step, 1) AS letter, contains(fails, substr(o, step, 1)) AS here,
+         length(translate(substr(o, 1, step - 1), fails, '')) < step - 1 AS earlier, length(fails) = 1 AS alone
+  FROM g, (SELECT o FROM orders WHERE length(o) = 5), (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)
+),
+r AS (
+  SELECT part, filter_order, step, letter,
+         CAST(SUM(CASE WHEN NOT here AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(SUM(CASE WHEN here AND NOT earlier THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(SUM(CASE WHEN here AND earlier THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(SUM(CASE WHEN here AND alone THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(SUM(CASE WHEN here AND NOT earlier THEN n * good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(SUM(CASE WHEN here AND NOT earlier THEN n * bad ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r"""
+
 #: Hashes, fingerprints, compressors, tokens, fitted models and approximate
 #: search have no SQL form; tests compare those queries with brute force.
-ORACLE_SQL: dict[str, str] = {"op3_chat": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat": CHAT_SQL, "op13_filter_audit": AUDIT_SQL}
