@@ -45,9 +45,9 @@ from pyspark.sql import functions as F
 from martlane.llm.base import Scratch, written
 
 CHUNK_BYTES, PART_BYTES = 16 << 20, 1 << 20
-#: A segment ends before white space that both libraries take for such, after
-#: what neither does.
-SEGMENTS = re.compile(r"\s*\S+(?:(?![ \t-\r])\s+\S*)*|\s+")
+#: White space that A's pattern takes for such; before it, after anything that
+#: is none, a token of A begins.
+BLANKS = " \n\t\r\x0b\x0c"
 #: Segments kept encoded; beyond it a worker starts anew.
 CACHE_SEGMENTS = 300_000
 SPACE = "▁"
@@ -92,7 +92,13 @@ class Pair:
                         for k, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.a_len, self.b_len = (pa.array([len(x) for x in own], pa.int32()) for own in (self.a_bytes, self.b_bytes))
         self.a_name, self.b_name = (pa.array([str(k) for k in range(len(own))]) for own in (self.a_bytes, self.b_bytes))
-        self.space = self.b.piece_to_id(SPACE)
+        # B has no word borders: a blank may begin a segment if no piece holds
+        # it after another character
+        names = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        inner = {x for p in names for x, y in zip(p[1:], p) if (x, y) != (SPACE, SPACE)}
+        blanks = "".join(c for c in BLANKS if (SPACE if c == " " else c) not in inner)
+        self.segments = re.compile(rf"\s*\S+(?:(?![{re.escape(blanks)}])\s+\S*)*|\s+" if blanks else r"(?s).+").findall
+        self.lead = self.b.encode("\n")  # a space and the byte, which no piece joins to what follows
         self.clear()
 
     def clear(self) -> None:
@@ -101,12 +107,11 @@ class Pair:
 
     def learn(self, segments: list[str]) -> None:
         """Encode segments.  B puts a space before what it encodes: it stands
-        for the segment's own, or else is taken off again."""
+        for the first segment's own; others follow a line feed, taken off again."""
         own = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
-        other = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
+        skip = len(self.lead)
+        other = [y[skip:] for y in self.b.encode(["\n" + s for s in segments], num_threads=1)]
         for s, x, y in zip(segments, own, other):
-            if s[0] != " ":
-                y = y[1:] if y[:1] == [self.space] else []
             told = s.encode()
             if b"".join(self.a_bytes[k] for k in x) != told or b"".join(self.b_bytes[k] for k in y) != told:
                 self.broken.add(s)
@@ -190,8 +195,8 @@ def align(own: Pair, parts: Sequence[list[str]]) -> dict[str, np.ndarray | list]
 class Chunk:
     """Documents of a task up to ``CHUNK_BYTES``."""
 
-    def __init__(self, own: Pair) -> None:
-        self.own, self.ids, self.bytes = own, [], 0
+    def __init__(self, own: Pair, part_bytes: int) -> None:
+        self.own, self.part_bytes, self.ids, self.bytes = own, part_bytes, [], 0
         self.parts, self.part_doc, self.waiting = [], [], 0
         self.sums = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links")}
         self.docs, self.keys, self.times, self.sha, self.bad = [], [], [], [], set()
@@ -203,10 +208,10 @@ class Chunk:
         for c in self.sums.values():
             c.append(0)
         part, size = [], 0
-        for s in SEGMENTS.findall(f" {text}") if text else ():
+        for s in self.own.segments(f" {text}") if text else ():
             part.append(s)
             size += len(s)
-            if size >= PART_BYTES:
+            if size >= self.part_bytes:
                 self.take(doc, part, size)
                 part, size = [], 0
         if part:
@@ -217,7 +222,7 @@ class Chunk:
         self.part_doc.append(doc)
         self.waiting += size
         self.bytes += size
-        if self.waiting >= PART_BYTES:
+        if self.waiting >= self.part_bytes:
             self.work()
 
     def work(self) -> None:
@@ -287,7 +292,7 @@ def chunked(docs: DataFrame, a: str, b: str, id: str, text: str) -> DataFrame:
         for batch in batches:
             kinds = batch.schema
             for k in range(batch.num_rows):
-                chunk = chunk or Chunk(own)
+                chunk = chunk or Chunk(own, PART_BYTES)
                 chunk.add(batch.column(0)[k].as_py(), batch.column(1)[k].as_py())
                 if chunk.bytes >= CHUNK_BYTES:
                     yield chunk.rows(number, kinds)

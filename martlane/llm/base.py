@@ -72,6 +72,14 @@ def appended(schema: T.StructType, new: list[T.StructField]) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name.lower() not in names] + list(new))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` has no column of."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def without(batch: pa.RecordBatch, names: Iterable[str]) -> tuple[list, list]:
     """Arrays and names of ``batch`` except ``names`` (case-insensitive)."""
     drop = {n.lower() for n in names}

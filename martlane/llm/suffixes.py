@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlane.llm.base import Scratch, appended, chunks, without, written
+from martlane.llm.base import Scratch, appended, chunks, unused, without, written
 
 LENGTH, GRAM = 100, 32
 BLOCK_BYTES = 2 << 20
@@ -189,10 +189,10 @@ def numbered(docs: DataFrame, id: str, text: str) -> DataFrame:
                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def pieces(id: int, body: int, text: bytes, length: int) -> Iterator[tuple[int, int, int, bytes]]:
+def pieces(id: int, body: int, text: bytes, length: int, block: int) -> Iterator[tuple[int, int, int, bytes]]:
     """Blocks of a text, each with all windows that start in it."""
-    for at in range(0, max(1, len(text) - length + 1), BLOCK_BYTES):
-        yield id, body, at, text[at:at + BLOCK_BYTES + length - 1]
+    for at in range(0, max(1, len(text) - length + 1), block):
+        yield id, body, at, text[at:at + block + length - 1]
 
 
 def all_segments(docs: DataFrame, length: int, id: str, text: str) -> DataFrame:
@@ -208,7 +208,7 @@ def all_segments(docs: DataFrame, length: int, id: str, text: str) -> DataFrame:
 
         for b in chunks(batches, 64):
             for i, body, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-                for p in pieces(i, body, t.encode(), length):
+                for p in pieces(i, body, t.encode(), length, BLOCK_BYTES):
                     if len(p[3]) < length or p[:3] in waiting:
                         continue
                     waiting[p[:3]] = p
@@ -444,20 +444,21 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, id: str = "doc_id", text:
     removed (start:end of each removed run, in bytes), kept (the remaining
     bytes) and kept_sha256."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    ranges = repeated_ranges(docs, scratch, length, id, text).groupBy(F.col("id").alias("_id"), F.col("body").alias("_body")).agg(
-        F.collect_list(F.struct("at", "upto")).alias("_ranges"))
+    of, body, own_ranges = (unused(docs, n) for n in ("_id", "_body", "_ranges"))
+    ranges = repeated_ranges(docs, scratch, length, id, text).groupBy(F.col("id").alias(of), F.col("body").alias(body)).agg(
+        F.collect_list(F.struct("at", "upto")).alias(own_ranges))
     ranges = written(spark, ranges, "suffix-ranges")
     scratch.drop()
-    place = [F.coalesce(docs[id].cast("long"), F.lit(NO_ID)) == F.col("_id"),
-             F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col("_body")]
+    place = [F.coalesce(docs[id].cast("long"), F.lit(NO_ID)) == F.col(of),
+             F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col(body)]
     # a shuffle join at every size: the ranges grow with the texts
-    joined = docs.join(ranges.hint("merge"), place[0] & place[1], "left").drop("_id", "_body")
+    joined = docs.join(ranges.hint("merge"), place[0] & place[1], "left").drop(of, body)
     schema = appended(docs.schema, [FIELDS[o] for o in outputs])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 64):
             found: dict[str, list] = {f: [] for f in FIELDS}
-            for t, own in zip(b.column(text).to_pylist(), b.column("_ranges").to_pylist()):
+            for t, own in zip(b.column(text).to_pylist(), b.column(own_ranges).to_pylist()):
                 raw, spans = (t or "").encode(), []
                 if own:
                     zero = np.zeros(len(own), np.int64)
@@ -471,7 +472,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, id: str = "doc_id", text:
                 for f, value in zip(FIELDS, (len(raw), len(raw) - len(rest), len(spans), ",".join(f"{s}:{e}" for s, e in spans),
                                              rest, hashlib.sha256(rest).hexdigest())):
                     found[f].append(value)
-            arrays, names = without(b, ["_ranges", *outputs])
+            arrays, names = without(b, [own_ranges, *outputs])
             kinds = {"removed": pa.string(), "kept": pa.binary(), "kept_sha256": pa.string()}
             yield pa.RecordBatch.from_arrays(
                 [*arrays, *(pa.array(found[o], kinds.get(o, pa.int64())) for o in outputs)], names=[*names, *outputs])
