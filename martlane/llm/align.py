@@ -7,8 +7,9 @@ a token B of one group are linked.  In a task, texts are cut into segments
 their borders), encoded with a cache of segments, and become two list columns
 of ids.  Lists are flattened with their parent indices, token lengths summed
 cumulatively and set back at each parent, and (parent, end offset) of both
-sides meet in a hash join: the common ends.  Groups are joined the same way,
-and ``group_by`` counts the links of each id pair and document.
+sides meet in a hash join: the common ends.  They cut both flat lists into
+groups, whose links ``group_by`` counts by document and id pair; the ids of a
+large group are counted before they are joined.
 
 A pair's count is the number of documents that hold it.  Documents are dealt
 into chunks of about ``CHUNK_BYTES``; a chunk writes its documents, with their
@@ -34,6 +35,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +46,18 @@ from pyspark.sql import functions as F
 
 from martlane.llm.base import Scratch, written
 
-CHUNK_BYTES, PART_BYTES = 16 << 20, 1 << 20
+CHUNK_BYTES, PART_BYTES = 8 << 20, 1 << 20
 #: White space that A's pattern takes for such; before it, after anything that
 #: is none, a token of A begins.
 BLANKS = " \n\t\r\x0b\x0c"
-#: Segments kept encoded; beyond it a worker starts anew.
-CACHE_SEGMENTS = 300_000
+#: Segments kept encoded; beyond it those not met since the last time go.
+CACHE_SEGMENTS = 150_000
+#: Links of a group up to which they are listed one by one.
+LARGE = 256
+#: The pattern that byte-level pre-tokenizers cut texts with (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Up to here both libraries agree which characters are letters or digits.
+LATIN = "\u024f"
 SPACE = "▁"
 
 
@@ -82,6 +90,7 @@ class Pair:
 
         self.a = Tokenizer.from_file(a)
         self.a.encode_special_tokens = True
+        self.fast = None  # the same vocabulary in a faster library, for Latin text
         self.b = SentencePieceProcessor(model_file=b)
         to_byte = byte_level()
         vocab = self.a.get_vocab(with_added_tokens=True)
@@ -90,6 +99,7 @@ class Pair:
             self.a_bytes[k] = bytes(map(to_byte.__getitem__, token)) if all(c in to_byte for c in token) else token.encode()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(SPACE, " ").encode()
                         for k, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        self.fast = ranked(a, self.a_bytes)
         self.a_len, self.b_len = (pa.array([len(x) for x in own], pa.int32()) for own in (self.a_bytes, self.b_bytes))
         self.a_name, self.b_name = (pa.array([str(k) for k in range(len(own))]) for own in (self.a_bytes, self.b_bytes))
         # B has no word borders: a blank may begin a segment if no piece holds
@@ -103,27 +113,46 @@ class Pair:
 
     def clear(self) -> None:
         self.cache: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.old = self.cache
         self.broken: set[str] = set()  # segments whose token bytes are others
 
     def learn(self, segments: list[str]) -> None:
         """Encode segments.  B puts a space before what it encodes: it stands
         for the first segment's own; others follow a line feed, taken off again."""
-        own = [e.ids for e in self.a.encode_batch(segments, add_special_tokens=False)]
         skip = len(self.lead)
-        other = [y[skip:] for y in self.b.encode(["\n" + s for s in segments], num_threads=1)]
-        for s, x, y in zip(segments, own, other):
-            told = s.encode()
-            if b"".join(self.a_bytes[k] for k in x) != told or b"".join(self.b_bytes[k] for k in y) != told:
-                self.broken.add(s)
-            self.cache[0][s] = np.array(x, "<i4").tobytes()
-            self.cache[1][s] = np.array(y, "<i4").tobytes()
+        own: list = [None] * len(segments)
+        if self.fast:
+            own = [self.fast.encode_ordinary(s) if s.isascii() or max(s) <= LATIN else None for s in segments]
+        others = [k for k, x in enumerate(own) if x is None]
+        for k, e in zip(others, self.a.encode_batch([segments[k] for k in others], add_special_tokens=False)):
+            own[k] = e.ids
+        told = [s.encode() for s in segments]
+        whole, whole_at = b"".join(told), np.cumsum([0, *map(len, told)])
+        bad: set[int] = set()
+        for cache, ids, names in ((self.cache[0], own, self.a_bytes),
+                                  (self.cache[1], self.b.encode(["\n" + s for s in segments], num_threads=1), self.b_bytes)):
+            if names is self.b_bytes:
+                ids = [y[skip:] for y in ids]
+            flat = np.fromiter(chain.from_iterable(ids), "<i4")
+            at = np.cumsum([0, *map(len, ids)]).tolist()
+            raw = flat.tobytes()
+            for s, x, y in zip(segments, at, at[1:]):
+                cache[s] = raw[4 * x:4 * y]
+            shown = list(map(names.__getitem__, flat.tolist()))
+            upto = np.cumsum([0, *map(len, shown)])
+            if b"".join(shown) != whole or (upto[at] != whole_at).any():
+                bad.update(k for k, (t, x, y) in enumerate(zip(told, at, at[1:])) if b"".join(shown[x:y]) != t)
+        self.broken.update(segments[k] for k in bad)
 
     def encode(self, parts: Sequence[list[str]]) -> tuple[pa.ListArray, pa.ListArray, list[bool]]:
         """List columns of ids A and B of each part (a list of segments), and
         which parts keep their bytes; the others are empty."""
         if len(self.cache[0]) > CACHE_SEGMENTS:
-            self.clear()
-        if new := list({s for p in parts for s in p}.difference(self.cache[0])):
+            self.old, self.cache = self.cache, ({}, {})
+        new = set().union(*parts).difference(self.cache[0])
+        for s in new.intersection(self.old[0]):
+            self.cache[0][s], self.cache[1][s] = self.old[0][s], self.old[1][s]
+        if new := list(new.difference(self.old[0])):
             self.learn(new)
         good = [not self.broken or self.broken.isdisjoint(p) for p in parts]
         lists = []
@@ -134,6 +163,23 @@ class Pair:
         return lists[0], lists[1], good
 
 
+def ranked(path: str, names: list[bytes]) -> object | None:
+    """A tiktoken encoding of the vocabulary at ``path``: it merges the pair of
+    least id first, so the file's merges must make ever greater ids."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocab = model["vocab"]
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    single = {names[k]: k for k in vocab.values() if len(names[k]) == 1}
+    if made != sorted(set(made)) or len(single) != 256 or len(made) + 256 != len(vocab) or made[0] <= max(single.values()):
+        return None
+    return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={names[k]: k for k in vocab.values()}, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def pair(a: str, b: str) -> Pair:
     return Pair(file_of(a), file_of(b))
@@ -174,22 +220,39 @@ def align(own: Pair, parts: Sequence[list[str]]) -> dict[str, np.ndarray | list]
     shown = pc.binary_join_element_wise(joined_names(own.a_name, a_flat, a_cut), joined_names(own.b_name, b_flat, b_cut), "|")
     shown = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_groups)]), pa.int32()), shown), ";")
 
-    def members(flat: pa.Array, last: np.ndarray, name: str) -> pa.Table:
-        group = np.cumsum(last) - last
-        t = pa.table({"g": pa.array(group, pa.int64()), name: flat})
-        return t.group_by(["g", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["g", name, f"n_{name}"])
-
-    links = members(a_flat, last_a, "a").join(members(b_flat, last_b, "b"), "g", join_type="inner", use_threads=False)
-    part = pc.take(pa.array(part_of), links["g"].combine_chunks())
-    key = pc.add(pc.shift_left(pc.cast(links["a"], pa.int64()), pa.scalar(32, pa.int64())), pc.cast(links["b"], pa.int64()))
-    pairs = pa.table({"part": part, "key": key, "n": pc.multiply(links["n_a"], links["n_b"])})
-    pairs = pairs.group_by(["part", "key"], use_threads=False).aggregate([("n", "sum")])
-    part, times = pairs["part"].to_numpy(), pairs["n_sum"].to_numpy()
+    # links of a group: its ids A, flattened, each with the parent's list of B;
+    # a large group's ids are counted first and joined, as they repeat
+    a_size, b_size = np.diff(a_cut), np.diff(b_cut)
+    large = a_size * b_size > LARGE
+    x, y = np.asarray(a_flat), np.asarray(b_flat)
+    a_group = np.repeat(np.arange(len(a_size)), a_size)
+    times = np.where(large, 0, b_size)[a_group]
+    left = np.repeat(np.arange(len(x)), times)
+    inside = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
+    bits = len(own.b_len).bit_length(), len(own.a_len).bit_length()
+    key = ((part_of[a_group[left]] << bits[1]) + x[left] << bits[0]) + y[b_cut[a_group[left]] + inside]
+    pairs = pa.table({"key": key}).group_by("key", use_threads=False).aggregate([([], "count_all")])
+    key, times = pairs["key"].to_numpy(), pairs["count_all"].to_numpy()
+    if large.any():
+        b_group = np.repeat(np.arange(len(b_size)), b_size)
+
+        def members(flat: np.ndarray, group: np.ndarray, name: str) -> pa.Table:
+            t = pa.table({"g": group, name: flat.astype(np.int64)}).filter(pa.array(large[group]))
+            return t.group_by(["g", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["g", name, f"n_{name}"])
+
+        links = members(x, a_group, "a").join(members(y, b_group, "b"), "g", join_type="inner", use_threads=False)
+        more = ((part_of[links["g"].to_numpy()] << bits[1]) + links["a"].to_numpy() << bits[0]) + links["b"].to_numpy()
+        pairs = pa.table({"key": np.concatenate([key, more]),
+                          "n": np.concatenate([times, links["n_a"].to_numpy() * links["n_b"].to_numpy()])})
+        pairs = pairs.group_by("key", use_threads=False).aggregate([("n", "sum")])
+        key, times = pairs["key"].to_numpy(), pairs["n_sum"].to_numpy()
+    part, key = key >> sum(bits), key & (1 << sum(bits)) - 1
+    key = (key >> bits[0] << 32) + (key & (1 << bits[0]) - 1)
     n_links = np.zeros(n, np.int64)
     np.add.at(n_links, part, times)
     size = lambda x: np.diff(np.asarray(x.offsets)).astype(np.int64)
     return {"n_a": size(a), "n_b": size(b), "n_groups": n_groups, "n_links": n_links, "shown": shown.to_pylist(),
-            "good": good, "part": part, "key": pairs["key"].to_numpy(), "n": times}
+            "good": good, "part": part, "key": key, "n": times}
 
 
 class Chunk:
@@ -208,6 +271,9 @@ class Chunk:
         for c in self.sums.values():
             c.append(0)
         part, size = [], 0
+        if text and len(text) < self.part_bytes:
+            self.take(doc, self.own.segments(f" {text}"), len(text))
+            return
         for s in self.own.segments(f" {text}") if text else ():
             part.append(s)
             size += len(s)
