@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame
 
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--fmt", default="csv", choices=["csv", "parquet"])
     c.add_argument("--dates-as-string", action="store_true", help="kept for older calls: dates always are read as text")
     c.add_argument("--date-format", action="append", default=[], help="date format of the extract, tried first")
-    c.add_argument("--single-line", action="store_true", help="no CSV field holds a line break: files can be split")
+    c.add_argument("--multi-line", action="store_true", help="CSV fields hold line breaks: files cannot be split")
+    c.add_argument("--single-line", action="store_true", help="kept for older calls: the default")
     b = sub.add_parser("build")
     b.add_argument("--clean", required=True)
     b.add_argument("--warehouse", required=True)
@@ -74,26 +76,36 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     try:
         if args.cmd == "clean":
-            from martlane.operators.clean import CleanReport, clean_orders, unmatched_of
+            from martlane.functions.dates import column_formats
+            from martlane.operators.clean import DATE_COLUMNS, CleanReport, clean_orders, unmatched_of
             from martlane.sources.extracts import read_orders, read_people, read_returns
-            from martlane.sources.sinks import write_csv, write_parquet
+            from martlane.sources.records import quarantine
+            from martlane.sources.sinks import write_by_year, write_csv
 
             for p in (args.orders, args.returns, args.people):
                 if not _exists(spark, p):
                     print(f"ERROR: input not found: {p}", file=sys.stderr)
                     return 1
             apply_scale(spark, args.orders, args.returns)
-            rep, formats, multi = CleanReport(), tuple(args.date_format), not args.single_line
+            rep, formats, multi = CleanReport(), tuple(args.date_format), args.multi_line
+            if args.fmt == "csv":  # malformed records stand apart, counted
+                for name, p in (("orders", args.orders), ("returns", args.returns), ("people", args.people)):
+                    q = quarantine(spark, p, f"{args.out}/quarantine/{name}", multi)
+                    print(json.dumps({"extract": name, "records": q.read, "kept": q.kept, **q.apart}))
+            orders = read_orders(spark, args.orders, args.fmt, dates_as_string=True, multi_line=multi, malformed="apart")
+            found = column_formats(orders, tuple(c for c in DATE_COLUMNS if c in orders.columns))
+            for name, f in found.items():  # one format a column; ties are told
+                print(json.dumps({"dates": name, **asdict(f)}))
             cleaned = clean_orders(
-                read_orders(spark, args.orders, args.fmt, dates_as_string=True, multi_line=multi),
-                read_returns(spark, args.returns, args.fmt, multi),
-                read_people(spark, args.people, args.fmt, multi),
-                date_formats=formats, report=rep,
+                orders,
+                read_returns(spark, args.returns, args.fmt, multi, "apart"),
+                read_people(spark, args.people, args.fmt, multi, "apart"),
+                date_formats=formats, column_formats=found, report=rep,
             )
-            write_parquet(cleaned, f"{args.out}/cleaned_orders.parquet")
+            write_by_year(cleaned, f"{args.out}/cleaned_orders.parquet")
             print(json.dumps(rep.get()))
             _show(unmatched_of(spark.read.parquet(f"{args.out}/cleaned_orders.parquet")))
-            write_csv(spark.read.parquet(f"{args.out}/cleaned_orders.parquet"), f"{args.out}/cleaned_orders.csv")
+            write_csv(spark.read.parquet(f"{args.out}/cleaned_orders.parquet").drop("order_year"), f"{args.out}/cleaned_orders.csv")
         elif args.cmd == "build":
             if not _exists(spark, args.clean):
                 print(f"ERROR: cleaned input not found: {args.clean}", file=sys.stderr)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +35,17 @@ def serial_to_timestamp(c: Column | str) -> Column:
     return F.timestamp_add("SECOND", seconds, F.lit(SERIAL_EPOCH).cast("timestamp_ntz"))
 
 
-def coerce_date(c: Column | str, dtype: T.DataType | None = None, formats: tuple[str, ...] = ()) -> Column:
+def coerce_date(c: Column | str, dtype: T.DataType | None = None, formats: tuple[str, ...] = (),
+                text_formats: tuple[str, ...] = TEXT_FORMATS) -> Column:
     """Lenient date coercion.
 
     Dates and timestamps are kept.  Text is tried in the caller's ``formats``
     first (for an extract with, say, yyyyMMdd); then numbers are spreadsheet
     serials; other text is parsed as an ISO timestamp or in one of
-    ``TEXT_FORMATS``; anything unparsable -> NULL.  Numbers come before ISO
-    text: parsing '42000' as text would yield year 42000.
+    ``text_formats``; anything unparsable -> NULL.  Numbers come before ISO
+    text: parsing '42000' as text would yield year 42000.  With the one format
+    of its column (``column_formats``) no value is read day first beside
+    others month first.
     """
     col = _col(c)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -53,10 +58,69 @@ def coerce_date(c: Column | str, dtype: T.DataType | None = None, formats: tuple
         return [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
 
     plain = F.when(as_number.isNotNull(), serial_to_timestamp(as_number)).otherwise(
-        F.coalesce(text.try_cast("timestamp_ntz"), *parsed(TEXT_FORMATS)))
+        F.coalesce(text.try_cast("timestamp_ntz"), *parsed(text_formats)))
     return F.coalesce(*parsed(formats), plain) if formats else plain
 
 
+# Formats a column can have as a whole; the first of those that fit equally
+# many values wins.
+COLUMN_FORMATS = (*TEXT_FORMATS, "d/M/yyyy H:mm", "M/d/yy", "d/M/yy", "d-MMM-yyyy", "MMMM d, yyyy")
+
+
+@dataclass(frozen=True)
+class ColumnFormat:
+    """What one scan tells about a text date column: values that need a
+    format (neither number nor ISO), the winning format and how many of them
+    it reads, how many only another format reads, how many none reads, and
+    the other formats that read as many as the winner."""
+
+    format: str | None
+    values: int
+    fits: int
+    other: int
+    unreadable: int
+    tied: tuple[str, ...]
+
+    @property
+    def formats(self) -> tuple[str, ...]:
+        return (self.format,) if self.format else ()
+
+
+def _needs_format(c: str) -> Column:
+    text = strip_or_null(F.col(c).cast("string"))
+    plain = text.try_cast("double").isNotNull() | text.try_cast("timestamp_ntz").isNotNull()
+    return F.when(~plain, text)
+
+
+def format_scores(df: DataFrame, columns: tuple[str, ...], formats: tuple[str, ...] = COLUMN_FORMATS) -> DataFrame:
+    """(column, format, fits, values, readable) from one aggregate over all
+    rows: how many values each format reads, of those that need one, and how
+    many any of them reads."""
+    spread = df.select(*[_needs_format(c).alias(f"t{k}") for k, c in enumerate(columns)])
+    found, rows = [], []
+    for k, c in enumerate(columns):
+        reads = [F.try_to_timestamp(f"t{k}", F.lit(f)).isNotNull() for f in formats]
+        found += [F.count_if(r).alias(f"n{k}_{i}") for i, r in enumerate(reads)]
+        found += [F.count(f"t{k}").alias(f"v{k}"), F.count_if(F.coalesce(F.greatest(*reads, F.lit(False)), F.lit(False))).alias(f"r{k}")]
+        rows += [F.struct(F.lit(c).alias("column"), F.lit(f).alias("format"), F.col(f"n{k}_{i}").alias("fits"),
+                          F.col(f"v{k}").alias("values"), F.col(f"r{k}").alias("readable")) for i, f in enumerate(formats)]
+    return spread.agg(*found).select(F.inline(F.array(*rows)))
+
+
+def column_formats(df: DataFrame, columns: tuple[str, ...], formats: tuple[str, ...] = COLUMN_FORMATS) -> dict[str, ColumnFormat]:
+    """The one format of each text date column (an action: one scan)."""
+    out = {}
+    scores = format_scores(df, columns, formats).collect()  # a row for each column and format
+    for c in columns:
+        own = {r.format: r for r in scores if r.column == c}
+        fits = max(r.fits for r in own.values())
+        best = [f for f in formats if own[f].fits == fits]
+        any_row = own[formats[0]]
+        out[c] = ColumnFormat(best[0] if fits else None, any_row["values"], fits, any_row.readable - fits,
+                              any_row["values"] - any_row.readable, tuple(best[1:]) if fits else ())
+    return out
+
+
 def strip_or_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 

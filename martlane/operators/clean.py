@@ -177,20 +177,28 @@ def unmatched_of(cleaned: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C13 C14
-def coerce_dates(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS, formats: tuple[str, ...] = ()) -> DataFrame:
-    """Dates kept, serial numbers and text coerced, bad -> NULL."""
+def _date(c: str, dtype, formats: tuple[str, ...], by_column: dict | None):
+    if by_column and c in by_column:  # the column's one format, none if it needs none
+        return coerce_date(c, dtype, formats, by_column[c].formats)
+    return coerce_date(c, dtype, formats)
+
+
+def coerce_dates(df: DataFrame, columns: tuple[str, ...] = DATE_COLUMNS, formats: tuple[str, ...] = (),
+                 by_column: dict | None = None) -> DataFrame:
+    """Dates kept, serial numbers and text coerced, bad -> NULL.
+    ``by_column``: what ``dates.column_formats`` found, one format a column."""
     types = {f.name: f.dataType for f in df.schema.fields}
     for c in columns:
         if c in types:
-            df = df.withColumn(c, coerce_date(c, types[c], formats))
+            df = df.withColumn(c, _date(c, types[c], formats, by_column))
     return df
 
 
-def unreadable_counters(df: DataFrame, formats: tuple[str, ...] = ()) -> list:
+def unreadable_counters(df: DataFrame, formats: tuple[str, ...] = (), by_column: dict | None = None) -> list:
     """Per typed column: values that are there but cannot be read, which the
     cleaning turns into NULL (aggregate expressions for ``observe``)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    read = {c: coerce_date(c, types[c], formats) for c in DATE_COLUMNS if c in types}
+    read = {c: _date(c, types[c], formats, by_column) for c in DATE_COLUMNS if c in types}
     read |= {c: to_whole(c, kind) for c, kind in WHOLE_COLUMNS.items() if c in types}
     read |= {c: to_money(c) for c in MONEY_COLUMNS if c in types}
     return [F.count_if(F.col(c).isNotNull() & v.isNull()).alias(c) for c, v in read.items()]
@@ -253,6 +261,7 @@ def clean_orders(
     normalize_first: bool = False,
     half_even: bool = False,
     date_formats: tuple[str, ...] = (),
+    column_formats: dict | None = None,
     report: CleanReport | None = None,
 ) -> DataFrame:
     """The whole cleaning pipeline -> cleaned ``raw_orders``.
@@ -261,7 +270,8 @@ def clean_orders(
     profit_margin, typed as ``schemas.CLEAN_SCHEMA``, then the extract's
     further columns as they are.  ``normalize_first``
     trims region white space before the people join (the reference trims
-    after it, so padded regions get 'Unknown').
+    after it, so padded regions get 'Unknown').  ``column_formats``: one
+    format for each text date column, from ``dates.column_formats``.
     """
     orders, returns, people = (normalize_columns(x) for x in (orders, returns, people))
     if report is not None:
@@ -295,9 +305,9 @@ def clean_orders(
 
     if report is not None:
         obs_read = Observation("unreadable")
-        df = df.observe(obs_read, F.count(F.lit(1)).alias("rows"), *unreadable_counters(df, date_formats))
+        df = df.observe(obs_read, F.count(F.lit(1)).alias("rows"), *unreadable_counters(df, date_formats, column_formats))
         report.observations["unreadable"] = obs_read
-    df = coerce_dates(df, formats=date_formats)
+    df = coerce_dates(df, formats=date_formats, by_column=column_formats)
     for c, kind in WHOLE_COLUMNS.items():
         if c in df.columns:
             df = df.withColumn(c, to_whole(c, kind))

@@ -119,10 +119,9 @@ def build_fact_sales(raw: DataFrame, with_sales_id: bool = True) -> DataFrame:
     """T5: narrow projection of the cleaned lines (no shuffle).
 
     ``returned`` becomes boolean (default false); region and market are kept
-    on the fact (the analyses group by them).  ``sales_id`` is a unique
-    64-bit surrogate from ``monotonically_increasing_id`` (partition id in
-    the high bits), so it needs no global sort or single-task window and
-    stays unique when a task is retried.  Not consecutive.
+    on the fact (the analyses group by them).  ``sales_id`` of this lazy form
+    is only unique (``monotonically_increasing_id``); the written warehouse
+    numbers the fact 1..n in row-key order (``operators.numbering``).
     """
     cols = [F.col(c) for c in FACT_COLS]
     returned = F.coalesce(F.col("returned") == F.lit("Yes"), F.lit(False)).alias("returned")

@@ -167,6 +167,41 @@ def read_people_csv(spark, sf_dir):
     return C.dedupe_people(read_people(spark, _through_csv(spark, people, "people"))).select("person", "region")
 
 
+def _with_breaks(spark, sf_dir) -> str:
+    """The Orders extract as CSV lines, some of them broken; its folder."""
+    from martlane.plans.warehouse import fresh_root
+
+    o = orders_extract(spark, sf_dir)
+    rid, line = F.col("row_id"), F.to_csv(F.struct(*o.columns), {"escape": '"'})
+    text = (F.when(rid % 37 == 1, F.concat(line, F.lit(",one more"))).when(rid % 41 == 2, F.regexp_replace(line, ",[^,]*$", ""))
+            .when(rid % 43 == 3, F.concat(F.lit('"'), line)).when(rid % 47 == 4, F.concat(line, F.expr("CAST(X'C3' AS STRING)")))
+            .otherwise(line))
+    head = F.lit(",".join(o.columns))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of each file
+    lines = o.select(text.alias("line"), first.alias("first"))
+    path = f"{fresh_root(spark)}/broken"
+    lines.select(F.explode(F.when(F.col("first"), F.array(head, "line")).otherwise(F.array("line"))).alias("value")).write.text(path)
+    return path
+
+
+def quarantined_records(spark, sf_dir):
+    """The records of a broken extract that stand apart, and why."""
+    from martlane.sources.records import malformed_records
+
+    bad = malformed_records(spark, _with_breaks(spark, sf_dir))
+    return bad.select(F.regexp_extract("record", r"(\d+)", 1).cast("long").alias("row_id"), "reason")
+
+
+def kept_records(spark, sf_dir):
+    """The other records of that extract, all values in their columns."""
+    from martlane.schemas import ORDERS_SCHEMA, conform
+    from martlane.sources.extracts import read_orders
+
+    back = read_orders(spark, _with_breaks(spark, sf_dir), malformed="apart")
+    whole = {c: to_whole(c, kind) for c, kind in C.WHOLE_COLUMNS.items()}
+    return _doubles(conform(back.withColumns(whole | {c: to_money(c) for c in C.MONEY_COLUMNS}), ORDERS_SCHEMA))
+
+
 def excel_serial_dates(spark, sf_dir):
     return _dirty(spark, sf_dir).select("row_id", serial_to_timestamp("order_date").alias("order_ts"))
 
@@ -181,6 +216,56 @@ def coerce_dates(spark, sf_dir):
     )
 
 
+def _text_dates(spark, sf_dir) -> DataFrame:
+    """The Orders extract with order dates written day first and ship dates
+    month first, some of them in words or unreadable."""
+    o, rid = orders_extract(spark, sf_dir), F.col("row_id")
+    day_first = F.when(rid % 2 == 0, F.date_format("order_date", "dd/MM/yyyy")).otherwise(F.date_format("order_date", "d/M/yyyy"))
+    return o.select(
+        "row_id", F.when(rid % 50 == 0, F.date_format("order_date", "MMM d, yyyy")).when(rid % 53 == 1, "soon").otherwise(day_first)
+        .alias("order_date"),
+        F.when(rid % 59 == 2, F.col("ship_date").cast("string")).otherwise(F.date_format("ship_date", "M/d/yyyy")).alias("ship_date"))
+
+
+def column_dates(spark, sf_dir):
+    """C14: every value read in the one format of its column."""
+    from martlane.functions.dates import column_formats
+
+    d = _text_dates(spark, sf_dir)
+    read = C.coerce_dates(d, by_column=column_formats(d, C.DATE_COLUMNS))
+    return read.select("row_id", *[F.col(c).cast("date").alias(c) for c in C.DATE_COLUMNS])
+
+
+def date_format_scores(spark, sf_dir):
+    """C14: how many values of each column each format reads."""
+    from martlane.functions.dates import format_scores
+
+    return format_scores(_text_dates(spark, sf_dir), C.DATE_COLUMNS)
+
+
+def partitioned_orders(spark, sf_dir):
+    """The cleaned lines written in folders by year; later years only,
+    so that the scan leaves the other folders out."""
+    from martlane.plans.warehouse import fresh_root, star_for
+    from martlane.sources.sinks import write_by_year
+
+    path = f"{fresh_root(spark)}/by_year"
+    write_by_year(star_for(spark, sf_dir).raw_orders, path)
+    late = spark.read.parquet(path).where("order_year >= 1996")
+    return _doubles(late.groupBy("order_year", "region").agg(F.count(F.lit(1)).alias("rows"), F.sum("sales").alias("revenue")))
+
+
+def mart_file(spark, sf_dir):
+    """The KPI mart exported as one named CSV file and read again."""
+    from martlane.operators.marts import kpi_overview
+    from martlane.plans.warehouse import fresh_root, star_for
+    from martlane.sources.sinks import export_mart
+
+    kpi, path = kpi_overview(star_for(spark, sf_dir).fact_sales), f"{fresh_root(spark)}/kpi_overview.csv"
+    export_mart(kpi, path, bounded=True)
+    return spark.read.schema(kpi.schema).option("header", True).csv(path)
+
+
 def fill_postal_key(spark, sf_dir):
     return orders_extract(spark, sf_dir).select("row_id", fill_postal("postal_code").alias("postal_code"))
 
@@ -217,6 +302,8 @@ CLEAN_QUERIES = {
     "read_orders_csv": read_orders_csv,
     "read_returns_csv": read_returns_csv,
     "read_people_csv": read_people_csv,
+    "quarantined_records": quarantined_records,
+    "kept_records": kept_records,
     "dedupe_exact": dedupe_exact,
     "dedupe_people": dedupe_people,
     "clean_counters": clean_counters,
@@ -233,6 +320,10 @@ CLEAN_QUERIES = {
     "unreadable_values": unreadable_values,
     "excel_serial_dates": excel_serial_dates,
     "coerce_dates": coerce_dates,
+    "column_dates": column_dates,
+    "date_format_scores": date_format_scores,
+    "partitioned_orders": partitioned_orders,
+    "mart_file": mart_file,
     "fill_postal": fill_postal_key,
     "normalize_space": normalize_space_key,
     "to_money": to_money_key,

@@ -24,7 +24,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from martlane.operators.clean import CleanReport, clean_orders
-from martlane.operators.star import Star, build_star, dim_people_of
+from martlane.operators.numbering import dense_ids, range_dealt
+from martlane.operators.star import Star, build_fact_sales, build_star, dim_people_of
 from martlane.session import checkpoint_root
 from martlane.sources.driver import Extracts, defective_orders
 
@@ -35,6 +36,7 @@ TABLES = [
 # written last: a folder without it is no finished warehouse
 COMPLETE = "_complete"
 RAW_PLACE = "raw_orders_place"
+FACT_RANGES = "fact_ranges"  # only while the fact is built
 
 _MEMO: dict[tuple, Star] = {}
 _NAMED: dict[tuple, Star] = {}
@@ -106,7 +108,11 @@ def build_from_clean(
             f.result()
     # the same aggregate as raw_people, so it starts from the written one
     _write(dim_people_of(spark.read.parquet(f"{root}/raw_people")), f"{root}/dim_people")
-    _write(star.fact_sales, f"{root}/fact_sales")
+    # dense sales_id in the order of the row key: ranges are written, then numbered
+    ranged = f"{root}/{FACT_RANGES}"
+    _write(range_dealt(build_fact_sales(raw, with_sales_id=False), "row_id", ignore=("created_at",)), ranged)
+    _write(dense_ids(spark.read.parquet(ranged), "sales_id"), f"{root}/fact_sales")
+    _drop(spark, ranged)
     _write(spark.range(1).coalesce(1), f"{root}/{COMPLETE}")
     return open_warehouse(spark, root)
 
@@ -125,6 +131,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    p, fs = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def input_tag(spark: SparkSession, sf_dir: str) -> str:
     """Fingerprint of the inputs: path, length and modification time of every
     file of every driver table, nested folders included."""

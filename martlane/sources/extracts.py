@@ -17,6 +17,7 @@ from martlane.functions.dates import coerce_date
 from martlane.functions.numeric import WIDE
 from martlane.operators.clean import normalize_columns
 from martlane.schemas import ORDERS_SCHEMA, PEOPLE_SCHEMA, RETURNS_SCHEMA
+from martlane.sources.records import PLACE, _placed, csv_records, sound
 
 DATE_COLUMNS = ("order_date", "ship_date")
 
@@ -24,14 +25,17 @@ DATE_COLUMNS = ("order_date", "ship_date")
 NUMBERS = (T.LongType, T.IntegerType, T.DecimalType)
 
 
-def _read_raw(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
-    """``multi_line`` lets quoted CSV fields hold line breaks; such files are
-    not split, so for large extracts without them pass False, or Parquet."""
+def _read_raw(spark: SparkSession, path: str, fmt: str, multi_line: bool = False, malformed: str = "fail",
+              placed: bool = False) -> DataFrame:
+    """CSV files are split and read by lines, and malformed records never come
+    through (``sources.records``); ``multi_line`` lets quoted fields hold line
+    breaks, at one task per file.  ``placed`` keeps each row's place."""
     if fmt == "csv":
-        return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("inferSchema", False)
-                .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
+        df = sound(csv_records(spark, path, multi_line), malformed)
+        return df if placed else df.drop(*PLACE)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        return _placed(df, "*") if placed else df
     raise ValueError(f"unsupported format {fmt!r}")
 
 
@@ -59,27 +63,32 @@ def _typed(df: DataFrame, schema: T.StructType, keep_text: tuple[str, ...] = (),
 
 
 def read_orders(spark: SparkSession, path: str, fmt: str = "csv", dates_as_string: bool = False,
-                formats: tuple[str, ...] = (), multi_line: bool = True) -> DataFrame:
+                formats: tuple[str, ...] = (), multi_line: bool = False, malformed: str = "fail") -> DataFrame:
     """The Orders extract.
 
     ``dates_as_string=True`` is the fallback read: date columns stay text
     (spreadsheet serials, odd formats) and are coerced by the cleaning
     (C13/C14), which counts those it cannot read.  ``formats`` are date
-    formats of the extract, tried before all others."""
-    df = normalize_columns(_read_raw(spark, path, fmt, multi_line))
+    formats of the extract, tried before all others.  ``malformed``: what
+    happens at a record that cannot be read ('fail', or 'apart': the caller
+    writes them with ``records.quarantine``)."""
+    df = normalize_columns(_read_raw(spark, path, fmt, multi_line, malformed))
     return _typed(df, ORDERS_SCHEMA, DATE_COLUMNS if dates_as_string else (), formats)
 
 
-def read_returns(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+def read_returns(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
+                 malformed: str = "fail") -> DataFrame:
     """The Returns extract (returned, order_id, region)."""
-    return _typed(normalize_columns(_read_raw(spark, path, fmt, multi_line)), RETURNS_SCHEMA)
+    return _typed(normalize_columns(_read_raw(spark, path, fmt, multi_line, malformed)), RETURNS_SCHEMA)
 
 
-def read_people(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
-    """S3: the People extract; ``_seq`` records read order for the
-    first-per-region rule (C3): file name, then order within the file."""
-    df = _read_raw(spark, path, fmt, multi_line).withColumn(
-        "_seq", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")))
+def read_people(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
+                malformed: str = "fail") -> DataFrame:
+    """S3: the People extract; ``_seq`` is the row's place for the
+    first-per-region rule (C3): file name, place of the split in the file,
+    order within the split - the same however splits are dealt to tasks."""
+    df = _read_raw(spark, path, fmt, multi_line, malformed, placed=True)
+    df = df.withColumn("_seq", F.struct(*PLACE)).drop(*PLACE)
     return _typed(normalize_columns(df), PEOPLE_SCHEMA)
 
 

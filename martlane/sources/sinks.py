@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,6 +26,39 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | list[str] | None
     w.parquet(path)
 
 
+def write_by_year(df: DataFrame, path: str, date: str = "order_date", only_years: bool = False) -> None:
+    """Parquet in a folder for each ``order_year`` of ``date`` (undated
+    rows have their own).  Rows are gathered by year and large years dealt to
+    several tasks by measured size (AQE rebalancing), so files are bounded by
+    the advisory partition size, not by tasks x years.  ``only_years``
+    rewrites the folders of the years in ``df`` and leaves the others."""
+    out = df.withColumn("order_year", F.year(date)).hint("rebalance", "order_year")
+    mode = "dynamic" if only_years else "static"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("order_year").parquet(path)
+
+
+def write_one_csv(df: DataFrame, path: str) -> None:
+    """One CSV file named ``path``, for results of bounded size.  It is
+    written beside its place and renamed over a file that is there, so readers
+    see the old file or the new one."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    target, beside = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}.writing")
+    fs = target.getFileSystem(conf)
+    try:
+        write_csv(df, beside.toString(), single_file=True)
+        part = fs.globStatus(hadoop.Path(beside, "part-*"))[0].getPath()
+        if fs.exists(target) and fs.getFileStatus(target).isDirectory():
+            fs.delete(target, True)  # what older versions wrote
+        over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        over[0] = hadoop.Options.Rename.OVERWRITE
+        context = hadoop.FileContext.getFileContext(fs.getUri(), conf)
+        context.rename(fs.makeQualified(part), fs.makeQualified(target), over)
+    finally:
+        fs.delete(beside, True)
+
+
 def save_table(df: DataFrame, name: str, replace: bool = True) -> None:
     """S6 / CTAS: CREATE OR REPLACE (``replace``) or CREATE IF NOT EXISTS."""
     df.write.mode("overwrite" if replace else "ignore").saveAsTable(name)
@@ -31,12 +66,13 @@ def save_table(df: DataFrame, name: str, replace: bool = True) -> None:
 
 def export_mart(df: DataFrame, path: str, bounded: bool = False, fmt: str = "csv") -> int:
     """Write a mart (CSV with header, or Parquet) and return its row count.
+    A bounded mart becomes one CSV file of that name.
 
     The count is an observed metric of the write itself (no second pass)."""
     obs = Observation("export")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if fmt == "csv":
-        write_csv(observed, path, single_file=bounded)
+        (write_one_csv if bounded else write_csv)(observed, path)
     elif fmt == "parquet":
         write_parquet(observed.coalesce(1) if bounded else observed, path)
     else:

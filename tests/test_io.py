@@ -47,7 +47,7 @@ def test_export_all_counts(spark, scratch):
                             "customer_loyalty.csv", "regional_performance.csv", "discount_profitability.csv"]
     assert counts["kpi_overview.csv"] == 1
     assert counts["customer_loyalty.csv"] == star.fact_sales.select("customer_id").distinct().count()
-    assert os.path.isdir(f"{scratch}/kpi_overview.csv")
+    assert os.path.isfile(f"{scratch}/kpi_overview.csv")
     back = spark.read.option("header", True).csv(f"{scratch}/monthly_sales_trends.csv")
     assert back.count() == counts["monthly_sales_trends.csv"]
 
@@ -124,7 +124,7 @@ HARD = ['1,A,"Desk ""XL"", 12"" wide",5.00,3.0,150,1/2/2014,Kim', '2,B,"two\nlin
 def hard_orders(spark, scratch):
     with open(f"{scratch}/hard.csv", "w", newline="") as f:
         f.write("\n".join(["Row ID,Order ID,Product Name,Sales,Quantity,Discount,Order Date,Sales Rep", *HARD]))
-    return X.read_orders(spark, f"{scratch}/hard.csv", "csv", dates_as_string=True)
+    return X.read_orders(spark, f"{scratch}/hard.csv", "csv", dates_as_string=True, multi_line=True)
 
 
 def test_quoted_csv_is_read_and_written_as_rfc_4180(spark, scratch):
