@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from martlane.llm.base import written
 
-MARKS = r"^[ \t]*((>[ \t]?)+)"
+# possessive throughout: matched in a loop, however many marks a line has
+MARKS = r"^[ \t]*+((?:>[ \t]?+)++)"
 
 
 def level(line: str) -> str:
