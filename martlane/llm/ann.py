@@ -9,9 +9,9 @@ ascends in all trees at once, a bit at a time, until the ranges together hold
 ``gather`` times the shard's rows; their union is ranked by exact distance.
 Queries meet shards in blocks, and the shards' best are merged.
 
-Defined results: rows whose vector is null, zero, of another length than the
-table's longest, or holds a null or non-finite component take no part, as
-query or candidate; a repeated row counts once; ties go to the smaller id; a
+Defined results: rows whose vector is null, zero, or holds a null or
+non-finite component take no part, as query or candidate; vectors of one
+length are a table of their own, as others are at no distance; a repeated row counts once; ties go to the smaller id; a
 query's own row is never its neighbour; with fewer candidates all are
 returned.
 """
@@ -39,9 +39,8 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     v = F.col("v")
     rows = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0))
-    longest = rows.agg(F.max(F.size("v"))).first()[0] or 0
     finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    return rows.where((F.size(v) == longest) & finite & F.exists(v, lambda x: x != 0)).distinct()
+    return rows.where(finite & F.exists(v, lambda x: x != 0)).distinct()
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -111,14 +110,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, gather: float = G
     asked = written(spark, asked.join(distinct.select("v", "least"), "v").select("query_id", F.col("least").alias("q")), "queries")
     queries = distinct.join(asked.select("q").distinct(), F.col("least") == F.col("q"), "left_semi").select(
         F.col("least").alias("q"), F.col("v").alias("qv"))
-    shards = max(1, -(-distinct.count() // SHARD_ROWS))
-    blocks = max(1, -(-queries.count() // QUERY_ROWS))
-    held = distinct.select(
-        F.pmod(F.xxhash64("least"), F.lit(shards)).cast("int").alias("shard"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "least", "v")
-    sent = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("q", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), "q", "qv")
+    queries = written(spark, queries, "query-vectors")
+    # shards and blocks of each length; a row for each, no more than the longest vector has components
+    shards = distinct.groupBy(F.size("v").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("shards"))
+    blocks = queries.groupBy(F.size("qv").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("blocks"))
+    dims = F.broadcast(shards.join(blocks, "dim"))
+    held = distinct.withColumn("dim", F.size("v")).join(dims, "dim").select(
+        "dim", F.pmod(F.xxhash64("least"), F.col("shards")).cast("int").alias("shard"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "least", "v")
+    sent = queries.withColumn("dim", F.size("qv")).join(dims, "dim").select(
+        "dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+        F.pmod(F.xxhash64("q", F.lit(1)), F.col("blocks")).cast("int").alias("block"), "q", "qv")
 
     def meet(shard: pa.Table, block: pa.Table) -> pa.Table:
         out = {"q": [], "least": [], "score": []}
@@ -137,7 +139,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, gather: float = G
         return pa.table({c: np.concatenate(x) if x else np.empty(0, float if c == "score" else np.int64)
                          for c, x in out.items()})
 
-    met = held.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInArrow(
+    met = held.groupBy("dim", "shard", "block").cogroup(sent.groupBy("dim", "shard", "block")).applyInArrow(
         meet, "q long, least long, score double")
     by_q = W.partitionBy("q")
     best = met.withColumn("n", F.row_number().over(by_q.orderBy("score", "least"))).where(F.col("n") <= k + 1)
