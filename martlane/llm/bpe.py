@@ -73,7 +73,7 @@ class Codec:
             end = s.endswith(END) and len(s) > len(END)
             raw = bytes(to_byte[c] for c in (s[: -len(END)] if end else s))
             (self.final if end else self.inner)[raw] = i
-        self.longest = max(map(len, self.inner))
+        self.longest, self.longest_final = (max(map(len, x)) for x in (self.inner, self.final))
         # merge tables: parts of a merged token, and the rank it is born with
         self.left = np.arange(size, dtype=np.int64)
         self.right = np.arange(size, dtype=np.int64)
@@ -140,7 +140,7 @@ class Codec:
         """Greedy longest match; the last token carries the word end."""
         out, at, n = [], 0, len(word)
         while True:
-            end = self.final.get(word[at:])
+            end = self.final.get(word[at:]) if n - at <= self.longest_final else None
             if end is not None:
                 out.append(end)
                 return out
