@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -101,9 +103,12 @@ class Novelty:
         with '=', the whole of it if none of them is novel.  A string reported
         once, as a base span's value too, is reported wherever it is a
         candidate."""
+        starts, reach = [s for s, _, _ in base], [*accumulate((e for _, _, e in base), max)]  # base is sorted
+
         def candidate(near: int, start: int, end: int) -> bool:
+            before = bisect_left(starts, end)  # base spans that start before the end; the farthest end of them
             return (SENSITIVE.search(text, max(0, near - REACH), start) is not None
-                    and not any(s < end and start < e for s, _, e in base))
+                    and not (before and reach[before - 1] > start))
 
         tried = []
         for m in CANDIDATE.finditer(text):
