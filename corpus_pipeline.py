@@ -51,9 +51,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with n_tokens and token ids."""
+    """The documents with n_tokens, token ids, and the hash of the text that
+    the ids are decoded to."""
     importable(spark)
-    return bpe.bpe(docs, bpe_path(), outputs=("n_tokens", "ids"))
+    return bpe.bpe(docs, bpe_path(), outputs=("n_tokens", "ids", "decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [
