@@ -35,7 +35,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -133,12 +133,11 @@ class Pair:
                                   (self.cache[1], self.b.encode(["\n" + s for s in segments], num_threads=1), self.b_bytes)):
             if names is self.b_bytes:
                 ids = [y[skip:] for y in ids]
-            flat = np.fromiter(chain.from_iterable(ids), "<i4")
-            at = np.cumsum([0, *map(len, ids)]).tolist()
-            raw = flat.tobytes()
-            for s, x, y in zip(segments, at, at[1:]):
-                cache[s] = raw[4 * x:4 * y]
-            shown = list(map(names.__getitem__, flat.tolist()))
+            flat = list(chain.from_iterable(ids))
+            at = list(accumulate(map(len, ids), initial=0))
+            raw = np.array(flat, "<i4").tobytes()
+            cache.update(zip(segments, [raw[4 * x:4 * y] for x, y in pairwise(at)]))
+            shown = list(map(names.__getitem__, flat))
             upto = np.cumsum([0, *map(len, shown)])
             if b"".join(shown) != whole or (upto[at] != whole_at).any():
                 bad.update(k for k, (t, x, y) in enumerate(zip(told, at, at[1:])) if b"".join(shown[x:y]) != t)
@@ -248,8 +247,7 @@ def align(own: Pair, parts: Sequence[list[str]]) -> dict[str, np.ndarray | list]
         key, times = pairs["key"].to_numpy(), pairs["n_sum"].to_numpy()
     part, key = key >> sum(bits), key & (1 << sum(bits)) - 1
     key = (key >> bits[0] << 32) + (key & (1 << bits[0]) - 1)
-    n_links = np.zeros(n, np.int64)
-    np.add.at(n_links, part, times)
+    n_links = np.bincount(part, weights=times, minlength=n).astype(np.int64)
     size = lambda x: np.diff(np.asarray(x.offsets)).astype(np.int64)
     return {"n_a": size(a), "n_b": size(b), "n_groups": n_groups, "n_links": n_links, "shown": shown.to_pylist(),
             "good": good, "part": part, "key": key, "n": times}
@@ -317,14 +315,15 @@ class Chunk:
         if self.bad:
             ok = ~np.isin(doc, np.array(sorted(self.bad)))
             doc, key, times = doc[ok], key[ok], times[ok]
-        order = np.lexsort((key, doc))
-        doc, key, times = doc[order], key[order], times[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+        pairs = np.unique(key)
+        both = doc * max(1, len(pairs)) + np.searchsorted(pairs, key)  # by document, then pair
+        order = np.argsort(both)
+        both, times = both[order], times[order]
+        new = np.ones(len(both), bool)
+        new[1:] = both[1:] != both[:-1]
         at = np.flatnonzero(new)
         times = np.add.reduceat(times, at) if len(at) else times
-        doc, key = doc[at], key[at]
-        pairs, index = np.unique(key, return_inverse=True)
+        doc, index = np.divmod(both[at], max(1, len(pairs)))
         first = np.ones(len(doc), bool)
         first[1:] = doc[1:] != doc[:-1]
         gaps = np.where(first, index, np.diff(index, prepend=0))
