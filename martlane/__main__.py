@@ -2,8 +2,9 @@
 
   python -m martlane clean  --orders P --returns P --people P --out DIR [--fmt csv|parquet]
       clean the extracts; write DIR/cleaned_orders.csv and DIR/cleaned_orders.parquet
-  python -m martlane build  --clean DIR/cleaned_orders.parquet --warehouse W
-      load + build the star at W; print the smoke checks and table counts
+  python -m martlane build  --clean DIR/cleaned_orders.parquet --warehouse W [--database D]
+      load + build the star at W (and make it catalog tables of D); print the
+      smoke checks and table counts
   python -m martlane export --warehouse W --out DIR [--fmt csv|parquet]
       write the six report marts, print rows per file
   python -m martlane report --warehouse W --name KEY [--limit N] [--out DIR]
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from martlane.operators import quality as D
 from martlane.plans.registry import STAR_REPORTS as REPORTS
-from martlane.plans.warehouse import TABLES, build_from_clean, existing_tables, open_warehouse
+from martlane.plans.warehouse import TABLES, build_from_clean, existing_tables, open_warehouse, publish
 
 COUNTED = ("fact_sales", "dim_date", "dim_customer", "dim_product", "dim_people")
 
@@ -60,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     b = sub.add_parser("build")
     b.add_argument("--clean", required=True)
     b.add_argument("--warehouse", required=True)
+    b.add_argument("--database", help="make the tables catalog tables of this database")
     e = sub.add_parser("export")
     e.add_argument("--warehouse", required=True)
     e.add_argument("--out", required=True)
@@ -112,6 +114,8 @@ def main(argv: list[str] | None = None) -> int:
                 return 1
             apply_scale(spark, args.clean)
             star = build_from_clean(spark, spark.read.parquet(args.clean), args.warehouse, raw_path=args.clean)
+            if args.database:
+                publish(spark, args.warehouse, args.database)
             _show(D.summary(star.raw_orders))
             _show(D.table_counts(spark, existing_tables(spark, args.warehouse, COUNTED)))
         elif args.cmd == "export":

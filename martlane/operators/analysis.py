@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import pct, ratio
-from martlane.operators.common import money_sum, month_of, n_distinct, per_product
+from martlane.operators.common import money_sum, month_of, n_distinct, on_calendar, per_product
 
 
 def _monthly(fact: DataFrame, with_profit: bool = True) -> DataFrame:
@@ -22,17 +22,25 @@ def _monthly(fact: DataFrame, with_profit: bool = True) -> DataFrame:
     return fact.groupBy(month_of("order_date").alias("month")).agg(*aggs)
 
 
-def monthly_growth(fact: DataFrame) -> DataFrame:
+def monthly_growth(fact: DataFrame, calendar: bool = False) -> DataFrame:
     """A1: month, revenue, profit, orders_count, prev_month_revenue, mom_pct,
     revenue_last_year, yoy_pct.
 
     LAG(12) counts rows, not calendar months: a missing month shifts the
-    year-over-year comparison (the reference's semantics)."""
+    year-over-year comparison (the reference's semantics).  ``calendar`` puts
+    every month from the first to the last in its place, one without lines
+    with revenue, profit and orders of zero, so that the comparisons meet the
+    month before and the same month of the year before.  Undated lines keep
+    their own, last row, which then is compared with nothing."""
     w = Window.orderBy(F.col("month").asc_nulls_last())
-    prev = F.lag("revenue", 1).over(w)
-    last_year = F.lag("revenue", 12).over(w)
+    months, dated = _monthly(fact), F.lit(True)
+    if calendar:
+        months = on_calendar(months, "month", "INTERVAL 1 MONTH", ("revenue", "profit", "orders_count"))
+        dated = F.col("month").isNotNull()
+    prev = F.when(dated, F.lag("revenue", 1).over(w))
+    last_year = F.when(dated, F.lag("revenue", 12).over(w))
     return (
-        _monthly(fact)
+        months
         .select(
             "month", "revenue", "profit", "orders_count",
             prev.alias("_prev"), last_year.alias("_ly"),

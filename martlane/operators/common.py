@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import margin, pct
 
 
 def money_sum(c: str) -> Column:
-    """Exact DECIMAL sum (output it with ``out``)."""
+    """Exact DECIMAL sum (cast it to double at the report boundary)."""
     return F.sum(F.col(c))
 
 
-def out(c: Column | str, name: str | None = None) -> Column:
-    """Decimal -> double at the report boundary."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast("double").alias(name or (c if isinstance(c, str) else None))
-
-
 def n_distinct(c: str) -> Column:
     return F.count_distinct(F.col(c))
 
@@ -50,4 +44,23 @@ def fact_without_dim_attrs(fact: DataFrame, *attrs: str) -> DataFrame:
     return fact.drop(*[a for a in attrs if a in fact.columns])
 
 
-__all__ = ["money_sum", "out", "n_distinct", "month_of", "margin", "pct", "fact_without_dim_attrs", "per_product"]
+def on_calendar(periods: DataFrame, period: str, step: str, measures: tuple[str, ...]) -> DataFrame:
+    """``periods`` (one row a period, dates or whole numbers ``step`` apart)
+    with a row for every period between the first and the last; the
+    ``measures`` of added rows are zero.  Each row adds the periods up to the
+    next one, so ``periods`` is computed once.  A NULL period keeps its row.
+    Sized by the calendar: the window sees a row a period."""
+    w = Window.orderBy(F.col(period).asc_nulls_last())
+    gap = F.when(F.col("_next").isNull(), F.array(period)).otherwise(
+        F.expr(f"sequence({period}, _next - {step}, {step})"))
+    own = F.col("_at").eqNullSafe(F.col(period))
+    return (
+        periods.withColumn("_next", F.lead(period).over(w))
+        .select("*", F.explode(gap).alias("_at"))
+        .select(F.col("_at").alias(period),
+                *[F.when(own, F.col(c)).otherwise(F.lit(0).cast(periods.schema[c].dataType)).alias(c)
+                  for c in measures])
+    )
+
+
+__all__ = ["money_sum", "n_distinct", "month_of", "on_calendar", "margin", "pct", "fact_without_dim_attrs", "per_product"]

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlane.schemas import PEOPLE_SCHEMA, RETURNS_SCHEMA
+from martlane.sources.catalog import replace_table
 
 
-def load_raw_orders(df: DataFrame, name: str = "raw_orders") -> DataFrame:
-    """Create-or-replace the staging view ``raw_orders``."""
+def load_raw_orders(df: DataFrame, name: str = "raw_orders", as_table: bool = False) -> DataFrame:
+    """Create-or-replace the staging view ``raw_orders``, or (``as_table``)
+    the catalog table of that name, which outlives the session's views."""
+    if as_table:
+        return replace_table(df, name)
     df.createOrReplaceTempView(name)
     return df
 

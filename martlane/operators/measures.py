@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlane.functions.numeric import margin, pct
-from martlane.operators.common import money_sum, n_distinct, per_product
+from martlane.operators.common import money_sum, n_distinct, on_calendar, per_product
 from martlane.operators.marts import kpi_overview, product_performance
 
 # Fixed value: the discount threshold the dashboard splits on (20 %).
@@ -27,12 +27,18 @@ def average_order_value(fact: DataFrame) -> DataFrame:
     )
 
 
-def yearly_revenue(fact: DataFrame) -> DataFrame:
-    """V2: year, revenue, prev_year_revenue, yoy_pct (previous row = previous year present)."""
+def yearly_revenue(fact: DataFrame, calendar: bool = False) -> DataFrame:
+    """V2: year, revenue, prev_year_revenue, yoy_pct (previous row = previous
+    year present).  ``calendar``: years without lines have a row of revenue
+    zero, the previous row is the year before, and the row of undated lines
+    is compared with nothing."""
     w = Window.orderBy(F.col("year").asc_nulls_last())
     yearly = fact.groupBy(F.year("order_date").alias("year")).agg(money_sum("sales").alias("_rev"))
+    dated = F.lit(True)
+    if calendar:
+        yearly, dated = on_calendar(yearly, "year", "1", ("_rev",)), F.col("year").isNotNull()
     return (
-        yearly.select("year", "_rev", F.lag("_rev", 1).over(w).alias("_prev"))
+        yearly.select("year", "_rev", F.when(dated, F.lag("_rev", 1).over(w)).alias("_prev"))
         .select(
             "year",
             F.col("_rev").cast("double").alias("revenue"),

@@ -130,6 +130,29 @@ def summary(raw: DataFrame) -> DataFrame:
     ))
 
 
+# Which check a figure of ``quality_scan`` belongs to.
+SCAN_FIGURES = {
+    "row_counts": ("orders_raw_count",),
+    "missing_keys": ("missing_order_id", "missing_row_id"),
+    "negative_values": ("negative_quantity", "negative_sales", "negative_profit"),
+    "invalid_discount": ("invalid_discount",),
+    "null_distribution": ("sales_nulls", "quantity_nulls", "profit_nulls"),
+}
+
+
+def quality_report(raw: DataFrame, returns: DataFrame, people: DataFrame) -> DataFrame:
+    """D1, D2, D5, D6 and D11 together as (check, figure, value) rows, from
+    one read of ``raw`` (and one each of the two small staging tables)."""
+    wide = quality_scan(raw)
+    figures = [(check, figure) for check, names in SCAN_FIGURES.items() for figure in names]
+    for df, figure in ((returns, "returns_raw_count"), (people, "people_raw_count")):
+        wide = wide.crossJoin(df.agg(F.count(_one()).alias(figure)))  # one row each
+        figures.append(("row_counts", figure))
+    rows = F.array(*[F.struct(F.lit(c).alias("check"), F.lit(f).alias("figure"), F.col(f).alias("value"))
+                     for c, f in figures])
+    return wide.select(F.inline(rows))
+
+
 def key_checks(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """K1: declared primary keys as checks -> (table_name, dup_keys, null_keys).
 

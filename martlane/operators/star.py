@@ -143,9 +143,10 @@ class Star:
     dim_product_key: DataFrame
     dim_people: DataFrame
     fact_sales: DataFrame
+    root: str | None = None  # the folder of a written warehouse
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {name: df for name, df in self.__dict__.items() if name != "root"}
 
 
 def build_star(raw: DataFrame) -> Star:

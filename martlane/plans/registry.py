@@ -7,6 +7,7 @@ themselves and read the extract files (``plans.extract_store``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +65,21 @@ def _key_tables(s):
     }
 
 
+# Periods without lines, which the calendar reports have to put back.
+GAP_MONTHS = (2, 3, 9)
+GAP_YEARS = (1993, 1994, 1997)
+
+
+def _without_months(fact: DataFrame) -> DataFrame:
+    day = F.col("order_date")
+    return fact.where(day.isNull() | ~F.month(day).isin(*GAP_MONTHS))
+
+
+def _without_years(fact: DataFrame) -> DataFrame:
+    day = F.col("order_date")
+    return fact.where(day.isNull() | ~F.year(day).isin(*GAP_YEARS))
+
+
 def _orders_vs_returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.plans.extract_store import extracts_for
 
@@ -97,6 +113,7 @@ STAR_REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     "dq_orders_vs_returns": lambda s: D.orders_vs_returns(s.raw_orders, s.raw_returns),
     "dq_null_distribution": lambda s: D.null_distribution(s.raw_orders),
     "dq_summary": lambda s: D.summary(s.raw_orders),
+    "quality_report": lambda s: D.quality_report(s.raw_orders, s.raw_returns, s.raw_people),
     "key_checks": lambda s: D.key_checks(_key_tables(s)),
     "table_counts": lambda s: D.table_counts(s.fact_sales.sparkSession, {
         "fact_sales": s.fact_sales, "dim_date": s.dim_date, "dim_customer": s.dim_customer,
@@ -110,6 +127,7 @@ STAR_REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     "discount_profitability": lambda s: E.discount_profitability(s.fact_sales),
     # A1-A10 analyses
     "monthly_growth": lambda s: A.monthly_growth(s.fact_sales),
+    "monthly_growth_calendar": lambda s: A.monthly_growth(_without_months(s.fact_sales), calendar=True),
     "cumulative_revenue": lambda s: A.cumulative_revenue(s.fact_sales),
     "top_products": lambda s: A.top_products(s.fact_sales, s.dim_product, 10),
     "category_contribution": lambda s: A.category_contribution(s.fact_sales, s.dim_product),
@@ -122,6 +140,7 @@ STAR_REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     # V1-V11 dashboard measures
     "average_order_value": lambda s: V.average_order_value(s.fact_sales),
     "yearly_revenue": lambda s: V.yearly_revenue(s.fact_sales),
+    "yearly_revenue_calendar": lambda s: V.yearly_revenue(_without_years(s.fact_sales), calendar=True),
     "monthly_revenue_by_year": lambda s: V.monthly_revenue_by_year(s.fact_sales),
     "seasonality": lambda s: V.seasonality(s.fact_sales),
     "peak_month_by_year": lambda s: V.peak_month_by_year(s.fact_sales),
@@ -140,7 +159,8 @@ DEFECT_REPORTS = (
     "dq_missing_keys", "dq_duplicate_row_id", "dq_duplicate_lines", "dq_negative_values", "dq_invalid_discount",
     "dq_null_distribution", "dq_summary", "key_checks", "product_performance", "regional_performance",
     "discount_profitability", "monthly_growth", "top_products", "category_contribution", "discount_bands",
-    "monthly_revenue_by_year", "second_purchase_90d", "dim_customer_key", "dim_product_key",
+    "monthly_revenue_by_year", "second_purchase_90d", "dim_customer_key", "dim_product_key", "quality_report",
+    "monthly_growth_calendar", "yearly_revenue_calendar",
 )
 
 QUERIES: dict[str, QueryFn] = {key: _star(fn) for key, fn in STAR_REPORTS.items()}
@@ -158,10 +178,25 @@ def _source_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["source_row_counts"] = _source_row_counts
 
 
+def _published_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six marts published as CSV, read back and counted."""
+    from martlane.session import checkpoint_root
+    from martlane.sources.sinks import export_all
+
+    out = f"{checkpoint_root(spark)}/martlane-published/{uuid.uuid4().hex}"
+    files = export_all(star_for(spark, sf_dir), out)
+    return D.table_counts(spark, {f: spark.read.option("header", True).csv(f"{out}/{f}") for f in files})
+
+
+QUERIES["published_marts"] = _published_marts
+
+
 def _register_cleaning() -> None:
+    from martlane.plans.catalog_keys import CATALOG_QUERIES
     from martlane.plans.clean_keys import CLEAN_QUERIES
 
     QUERIES.update(CLEAN_QUERIES)
+    QUERIES.update(CATALOG_QUERIES)
 
 
 _register_cleaning()

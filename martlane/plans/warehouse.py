@@ -27,6 +27,7 @@ from martlane.operators.clean import CleanReport, clean_orders
 from martlane.operators.numbering import dense_ids, range_dealt
 from martlane.operators.star import Star, build_fact_sales, build_star, dim_people_of
 from martlane.session import checkpoint_root
+from martlane.sources.catalog import create_database, point_to
 from martlane.sources.driver import Extracts, defective_orders
 
 TABLES = [
@@ -49,7 +50,18 @@ def _write(df: DataFrame, path: str) -> None:
 
 def open_warehouse(spark: SparkSession, root: str) -> Star:
     """Read a written warehouse back (every table a Parquet scan)."""
-    return Star(**{t: spark.read.parquet(table_path(spark, root, t)) for t in TABLES})
+    return Star(**{t: spark.read.parquet(table_path(spark, root, t)) for t in TABLES}, root=root)
+
+
+def publish(spark: SparkSession, root: str, database: str) -> None:
+    """Make the tables of a finished warehouse catalog tables of ``database``,
+    over the written files (nothing is copied).  An unfinished one is refused,
+    so a failed build leaves the tables of the build before."""
+    if not is_complete(spark, root):
+        raise ValueError(f"no finished warehouse: {root}")
+    create_database(spark, database)
+    for t in TABLES:
+        point_to(spark, f"{database}.{t}", table_path(spark, root, t))
 
 
 def table_path(spark: SparkSession, root: str, table: str) -> str:

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from martlane.operators.marts import MARTS
+from martlane.operators.marts import MART_GRAINS, MARTS, rolled_up
+from martlane.session import checkpoint_root
+from martlane.sources.catalog import create_table, remove, replace_table
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -60,8 +62,9 @@ def write_one_csv(df: DataFrame, path: str) -> None:
 
 
 def save_table(df: DataFrame, name: str, replace: bool = True) -> None:
-    """S6 / CTAS: CREATE OR REPLACE (``replace``) or CREATE IF NOT EXISTS."""
-    df.write.mode("overwrite" if replace else "ignore").saveAsTable(name)
+    """S6 / CTAS: CREATE OR REPLACE (``replace``) or CREATE IF NOT EXISTS.  A
+    replacement that fails leaves the old table (``sources.catalog``)."""
+    (replace_table if replace else create_table)(df, name)
 
 
 def export_mart(df: DataFrame, path: str, bounded: bool = False, fmt: str = "csv") -> int:
@@ -83,11 +86,19 @@ def export_mart(df: DataFrame, path: str, bounded: bool = False, fmt: str = "csv
 def export_all(star, out_dir: str, fmt: str = "csv") -> dict[str, int]:
     """Publish the six marts in the reference's order -> {file: rows}.
 
-    Every mart starts from a column-pruned scan of the written fact, so the
-    fact is not cached (a cached 100 TB fact would not fit, and a lost
-    executor would drop cached blocks)."""
+    The fact is read twice: once for the roll-ups that five marts start from
+    (by order, by product), written to the shared folder and removed at the
+    end, and once for the mart by discount, which would gain nothing from one.
+    Nothing is cached (a lost executor would drop cached blocks)."""
+    spark = star.fact_sales.sparkSession
+    beside = f"{checkpoint_root(spark)}/martlane-rollups/{uuid.uuid4().hex}"
     out: dict[str, int] = {}
-    for _name, (file_name, build, bounded) in MARTS.items():
-        name = file_name if fmt == "csv" else file_name.replace(".csv", ".parquet")
-        out[name] = export_mart(build(star), f"{out_dir.rstrip('/')}/{name}", bounded, fmt)
+    try:
+        stars = rolled_up(star, beside)
+        for mart, (file_name, build, bounded) in MARTS.items():
+            name = file_name if fmt == "csv" else file_name.replace(".csv", ".parquet")
+            df = build(stars.get(MART_GRAINS.get(mart), star))
+            out[name] = export_mart(df, f"{out_dir.rstrip('/')}/{name}", bounded, fmt)
+    finally:
+        remove(spark, beside)
     return out
