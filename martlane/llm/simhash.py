@@ -2,25 +2,31 @@
 
 A fingerprint is the bitwise majority over the XXH64 values of a text's word
 shingles.  Equal fingerprints are merged first (pre-aggregated, so a hot
-group of copies is one row).  For the others the 64 bits are cut into
-segments; within each segment the Hamming ball of radius 1 is enumerated
-while the other segments stay as they are, and every resulting value is a
-table key.  Two fingerprints that differ in at most two bits meet under a
-key between them, and whoever meets under a key differs in at most two bits.
-Keeping the other segments in the key is what makes hot groups harmless: a
-key has at most 65 distinct members, so no bucket of near copies is compared
-in pairs, and one verified link from each member to the first of its key
-keeps every connection.
+group of copies is one row).  The 64 bits are cut into segments, few enough
+that two fingerprints within the distance differ by one bit at most in one of
+them.  Each segment has a table keyed by its value; a fingerprint enumerates
+the Hamming ball of radius 0 or 1 around its own value, fetches the members
+of those keys and verifies the distance over all 64 bits.
+
+A value that many fingerprints share (more than ``BUCKET``) isn't fetched:
+its members are dealt again by the value and a segment of the bits that are
+left, with what the ball has left of the distance, until no key is too
+frequent.  That is the same search in fewer bits, so nothing is lost and no
+fetch returns more than ``BUCKET`` members, however many near copies there
+are; a key of all bits has one member.
 
 Defined results: null text is the empty text; a text without words has the
-fingerprint zero, linked like any other.  Rows with a null id belong to
-their group but never name it; a group of such rows only has a null
-component.  Repeated rows share a component.
+fingerprint zero, linked like any other; texts of any length are hashed whole.
+Rows with a null id belong to their group but never name it; a group of such
+rows only has a null component.  Repeated rows share a component, ties have
+one smallest id.  An empty table gives no rows.  Other columns of the input
+take no part, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +36,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlane.llm.base import chunks, texts_of, written
+from martlane.llm.base import Scratch, chunks, texts_of, written
 
 SEED = 42
 BITS = 64
-SEGMENT_BITS = 16
+MAX_BITS = 8
+#: Members that one key's fetch may return; beyond it the key is refined.
+BUCKET = 64
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -75,44 +83,92 @@ def fingerprints(docs: DataFrame, size: int = 3, id: str = "doc_id", text: str =
     return docs.select(id, text).mapInArrow(run, schema)
 
 
+def segments(mask: int, count: int) -> list[list[int]]:
+    """The bits outside ``mask``, cut into ``count`` runs (fewer if there are
+    fewer bits)."""
+    rest = [bit for bit in range(BITS) if not mask >> bit & 1]
+    return [run.tolist() for run in np.array_split(rest, min(count, len(rest)))]
+
+
+def signed(value: int) -> int:
+    return value - (1 << BITS) if value >> (BITS - 1) else value
+
+
+def steps(spark: SparkSession, masks: list[int], count: int) -> DataFrame:
+    """What a key over the bits of ``mask`` is refined by: for each segment of
+    the other bits the mask with it, and each flip of one bit or none."""
+    rows = []
+    for mask in masks:
+        runs = segments(mask, count)
+        for segment, run in enumerate(runs):
+            with_run = mask | sum(1 << bit for bit in run)
+            rows += [(signed(mask), signed(with_run), segment, len(runs), signed(flip))
+                     for flip in [0, *(1 << bit for bit in run)]]
+    return spark.createDataFrame(rows, "mask long, finer long, segment int, segments int, flip long")
+
+
 def links(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): for each fingerprint of ``fps`` (distinct column fp) links that
-    connect all pairs within ``max_bits`` differing bits, directly or through
-    the first of a shared key."""
-    if not 0 <= max_bits <= 2:
-        raise ValueError("max_bits is 0, 1 or 2: one flip on each side")
+    """(a, b), a > b: all pairs of ``fps`` (distinct column fp) within
+    ``max_bits`` (0 to 8) differing bits.  A frequent key asks once for each
+    finer one, so beyond 3 bits, where there are 3 to 5 segments, dense groups
+    cost that many times more at each level."""
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"max_bits is 0 to {MAX_BITS}")
+    spark, scratch = fps.sparkSession, Scratch(fps.sparkSession)
     if max_bits == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
-    ball = [F.lit(0).cast("long")] + [
-        F.expr(f"shiftleft(1L, {segment * SEGMENT_BITS + bit})")
-        for segment in range(BITS // SEGMENT_BITS) for bit in range(SEGMENT_BITS)]
-    keyed = fps.select("fp", F.explode(F.array(*ball)).alias("flip")).select(
-        "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("key"), (F.col("flip") == 0).alias("own"))
-    by_key = W.partitionBy("key")
-    if max_bits == 1:  # only the key's own fingerprint is within one bit of the others
-        first = F.max(F.when(F.col("own"), F.col("fp"))).over(by_key)
-    else:
-        first = F.min("fp").over(by_key)
-    met = keyed.withColumn("first", first).where(F.col("first") != F.col("fp"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("first"))) <= max_bits
-    return met.where(near).select(
-        F.greatest("fp", "first").alias("a"), F.least("fp", "first").alias("b")).distinct()
+    # so many segments that one of them differs by one bit at most
+    count = max(2, (max_bits + 2) // 2)
+    bits = lambda mask: F.col("fp").bitwiseAND(F.col(mask))
+    left = F.lit(max_bits) - F.bit_count(bits("mask").bitwiseXOR(F.col("value")))
+    # pigeonhole: with left = q * segments + r, one of the first r + 1 segments
+    # differs by q at most or one of the others by q - 1
+    radius = F.floor(left / F.col("segments")) - (F.col("segment") > left % F.col("segments")).cast("int")
+    masks, found, key = [0], [], ["mask", "value"]
+    start = fps.select("fp", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"))
+    asking = held = start
+    while True:
+        step = F.broadcast(steps(spark, masks, count))  # sized by the bits, not by the data
+        table = held.join(step.where("flip = 0"), "mask").select(
+            "fp", F.col("finer").alias("mask"), bits("finer").alias("value"))
+        asked = asking.join(step, "mask").where(F.bit_count("flip") <= radius).select(
+            # what was asked before stays asked: its flips are in the coarser value
+            "fp", F.col("finer").alias("mask"),
+            bits("finer").bitwiseXOR(F.col("flip")).bitwiseXOR(bits("mask")).bitwiseXOR(F.col("value")).alias("value"))
+        if asking is not start:  # two segments may lead to one mask
+            table, asked = table.distinct(), asked.distinct()
+        often = scratch.written(table.groupBy(key).count().where(F.col("count") > BUCKET).select(key), "often")
+        masks = [r.mask % (1 << BITS) for r in often.select("mask").distinct().collect()]  # at most a few hundred, by the bits
+        if masks:
+            asking = scratch.written(asked.join(often, key, "left_semi"), "asking")
+            held = scratch.written(table.join(often, key, "left_semi").select("fp", "mask"), "held")
+            table = table.join(often, key, "left_anti")
+        fetched = asked.select(F.col("fp").alias("a"), *key).join(table.select(F.col("fp").alias("b"), *key), key)
+        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+        found.append(written(spark, fetched.where((F.col("a") > F.col("b")) & near).select("a", "b").distinct(), "links"))
+        if not masks:
+            scratch.drop()
+            return reduce(DataFrame.union, found)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a > b): root is the smallest
     node reachable.  Alternates large-star and small-star steps; each round
-    is written to the shared folder, so lineage stays short."""
-    cur = written(spark, edges, "edges")
-    state = None
+    is written to the shared folder, so lineage stays short, and the round
+    before it is removed."""
+    last = Scratch(spark)
+    cur, state = last.written(edges, "edges"), None
     while True:
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).union(cur.select("b", "a"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         big = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         floor = big.groupBy("a").agg(F.min("b").alias("m"))
         small = big.join(floor, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        cur = written(spark, small.union(floor.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        this = Scratch(spark)
+        cur = this.written(small.union(floor.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        last.drop()
+        last = this
         if now == state:
             return cur.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 cur.select("b", "b").distinct())

@@ -3,6 +3,7 @@ SimHash, context-tree weighting, forest search."""
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -57,7 +58,7 @@ def brute_components(fps, ids, bits):
     return [min(least[find(f)], default=None) for f in fps]
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("bits", [0, 1, 2, 5])
 def test_simhash_matches_brute_force(spark, bits):
     rnd = random.Random(1)
     vocab = [f"W{i}" for i in range(400)]
@@ -97,6 +98,52 @@ def test_links_connect_what_brute_force_connects(spark):
         assert {roots.get(f, f) for f in members} == {min(members)}
 
 
+@pytest.mark.parametrize("bits", range(1, 9))
+def test_links_are_all_pairs_within_the_distance(spark, bits, monkeypatch):
+    # values shared by many: a cube, chains, ends of the range; few members a key, so keys are refined
+    size, bucket = (8, 5) if bits <= 3 else (6, 25)
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rnd = random.Random(bits)
+    at = rnd.sample(range(64), size)
+    base = rnd.getrandbits(64)
+    fps = {0, (1 << 64) - 1, 1 << 63, 1}
+    fps |= {base ^ sum((k >> i & 1) << b for i, b in enumerate(at)) for k in range(1 << size)}
+    for _ in range(40):
+        f = rnd.getrandbits(64)
+        for _ in range(6):
+            fps.add(f)
+            f ^= sum(1 << b for b in rnd.sample(range(64), rnd.choice([1, bits, bits + 1])))
+    fps = sorted(simhash.signed(f) for f in fps)
+    got = [(r.a, r.b) for r in simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), bits).collect()]
+    want = {(a, b) for a in fps for b in fps if a > b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= bits}
+    assert set(got) == want
+
+
+def test_links_of_no_distance_and_too_much(spark):
+    one = spark.createDataFrame([(1,), (3,)], "fp long")
+    assert simhash.links(one, 0).count() == 0
+    assert simhash.links(one.where("fp < 0"), 2).count() == 0
+    for bits in (-1, 9):
+        with pytest.raises(ValueError):
+            simhash.links(one, bits)
+
+
+@pytest.mark.parametrize("bits", range(1, 9))
+def test_segments_leave_one_that_differs_little(bits):
+    # what the search rests on, checked on every way that differing bits can fall on segments
+    count = max(2, (bits + 2) // 2)
+    for mask in (0, (1 << 32) - 1, (1 << 61) - 1, (1 << 64) - 2):
+        runs = simhash.segments(mask, count)
+        assert sorted(b for run in runs for b in run) == [b for b in range(64) if not mask >> b & 1]
+        for total in range(bits + 1):
+            for left in range(total, bits + 1):
+                q, r = divmod(left, len(runs))
+                radius = [min(len(run), q - (i > r)) for i, run in enumerate(runs)]
+                assert max(radius) <= 1
+                for split in itertools.product(*[range(min(total, len(run)) + 1) for run in runs]):
+                    assert sum(split) != total or any(d <= x for d, x in zip(split, radius))
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(5, "a b c", "s"), (2, "A b c", "s"), (2, "A b c", "s"), (9, "other words here now", "s"), (None, "a b c", "s"),
             (None, "only null here", "s"), (7, None, "s"), (8, "", "s")]
