@@ -94,17 +94,26 @@ def signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def steps(spark: SparkSession, masks: list[int], count: int) -> DataFrame:
-    """What a key over the bits of ``mask`` is refined by: for each segment of
-    the other bits the mask with it, and each flip of one bit or none."""
+STEP = "mask long, finer long, segment int, segments int, flip long"
+
+
+def refined(df: DataFrame, masks: list[int], count: int) -> DataFrame:
+    """``df`` (columns mask, fp and others) with a row for each way to refine
+    a key over the bits of its ``mask``: for each segment of the other bits
+    the mask with it, and each flip of one of its bits or none."""
     rows = []
     for mask in masks:
         runs = segments(mask, count)
         for segment, run in enumerate(runs):
-            with_run = mask | sum(1 << bit for bit in run)
-            rows += [(signed(mask), signed(with_run), segment, len(runs), signed(flip))
+            finer = mask | sum(1 << bit for bit in run)
+            rows += [(signed(mask), signed(finer), segment, len(runs), signed(flip))
                      for flip in [0, *(1 << bit for bit in run)]]
-    return spark.createDataFrame(rows, "mask long, finer long, segment int, segments int, flip long")
+    if masks == [0]:  # the first level: every row has the same steps
+        fields = [f.strip().split() for f in STEP.split(",")][1:]
+        literals = F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row[1:], fields)]) for row in rows])
+        return df.select("*", F.inline(literals))
+    # sized by the bits, not by the data
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, STEP)), "mask")
 
 
 def links(fps: DataFrame, max_bits: int) -> DataFrame:
@@ -128,10 +137,9 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     start = fps.select("fp", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"))
     asking = held = start
     while True:
-        step = F.broadcast(steps(spark, masks, count))  # sized by the bits, not by the data
-        table = held.join(step.where("flip = 0"), "mask").select(
+        table = refined(held, masks, count).where("flip = 0").select(
             "fp", F.col("finer").alias("mask"), bits("finer").alias("value"))
-        asked = asking.join(step, "mask").where(F.bit_count("flip") <= radius).select(
+        asked = refined(asking, masks, count).where(F.bit_count("flip") <= radius).select(
             # what was asked before stays asked: its flips are in the coarser value
             "fp", F.col("finer").alias("mask"),
             bits("finer").bitwiseXOR(F.col("flip")).bitwiseXOR(bits("mask")).bitwiseXOR(F.col("value")).alias("value"))
