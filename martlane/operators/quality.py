@@ -143,14 +143,13 @@ SCAN_FIGURES = {
 def quality_report(raw: DataFrame, returns: DataFrame, people: DataFrame) -> DataFrame:
     """D1, D2, D5, D6 and D11 together as (check, figure, value) rows, from
     one read of ``raw`` (and one each of the two small staging tables)."""
-    wide = quality_scan(raw)
-    figures = [(check, figure) for check, names in SCAN_FIGURES.items() for figure in names]
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(figure).alias("figure"), F.col(figure).alias("value"))
+                     for check, figures in SCAN_FIGURES.items() for figure in figures])
+    out = quality_scan(raw).select(F.inline(rows))
     for df, figure in ((returns, "returns_raw_count"), (people, "people_raw_count")):
-        wide = wide.crossJoin(df.agg(F.count(_one()).alias(figure)))  # one row each
-        figures.append(("row_counts", figure))
-    rows = F.array(*[F.struct(F.lit(c).alias("check"), F.lit(f).alias("figure"), F.col(f).alias("value"))
-                     for c, f in figures])
-    return wide.select(F.inline(rows))
+        out = out.unionByName(df.agg(F.count(_one()).alias("value")).select(
+            F.lit("row_counts").alias("check"), F.lit(figure).alias("figure"), "value"))
+    return out
 
 
 def key_checks(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
