@@ -15,13 +15,6 @@ PY_WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set as a regex class (Java regex and RE2 syntax); the SQL oracle
-# strips with this pattern, an independent formulation of the same rule.
-PY_WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-STRIP_PATTERN = rf"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+$"
 NBSP = "\u00a0"
 
 

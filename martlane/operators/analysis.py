@@ -199,7 +199,7 @@ def regional_leaderboard(fact: DataFrame) -> DataFrame:
             pct("_pro", "_rev").alias("profit_margin_pct"),
             "unique_customers",
         )
-        .orderBy(F.col("revenue").desc_nulls_last())
+        .orderBy(F.col("revenue").desc_nulls_last(), F.col("region").asc_nulls_last())
     )
 
 
@@ -234,5 +234,5 @@ def return_rate_by_region(fact: DataFrame) -> DataFrame:
         fact.groupBy("region")
         .agg(F.count_if(F.col("returned")).alias("return_count"), F.count(F.lit(1)).alias("order_rows"))
         .select("region", "return_count", "order_rows", pct("return_count", "order_rows").alias("return_pct"))
-        .orderBy(F.col("return_pct").desc_nulls_last())
+        .orderBy(F.col("return_pct").desc_nulls_last(), F.col("region").asc_nulls_last())
     )

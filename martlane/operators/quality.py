@@ -90,11 +90,11 @@ def category_distribution(raw: DataFrame, n: int = 10) -> DataFrame:
 
 
 def market_distribution(raw: DataFrame) -> DataFrame:
-    """Market, cnt, total_sales (sales descending)."""
+    """Market, cnt, total_sales (sales descending, ties: market)."""
     return (
         raw.groupBy("market")
         .agg(F.count(_one()).alias("cnt"), money_sum("sales").cast("double").alias("total_sales"))
-        .orderBy(F.col("total_sales").desc_nulls_last())
+        .orderBy(F.col("total_sales").desc_nulls_last(), F.col("market").asc_nulls_last())
     )
 
 
