@@ -1,28 +1,40 @@
 """Operator 8: toxicity by a weighted lexicon matched with Aho-Corasick.
 
-Texts are folded first: lower case, homoglyphs and digit substitutions to the
-Latin letters they stand for, everything that is no letter to a blank.  The
-lexicon holds word beginnings with a weight each; it is learned from labelled
+Texts are folded first: lower case, letters taken apart from their accents and
+styles, homoglyphs and digit substitutions to the Latin letters they stand
+for, everything that is no letter to a blank.  A sign that can stand for a
+letter ('@', '$', '!', '|') is tried as the letter and as a blank, everywhere
+and at the start of a word alone; a term found in several of these readings
+at one place is one hit.  The lexicon holds word beginnings with a weight each; it is learned from labelled
 training rows as log odds of document frequencies, on a bounded sample
 (``SAMPLE_ROWS`` rows of each class, the first by a hash of the id); a toxic
 document counts once for each different pair of neighbouring words, so copies
 of one document do not make its words terms.  A
 document's weighted hits, as a sum and in proportion to its length, go
 through a logistic fit on the same sample.  Hits inside an exception phrase
-do not count.
+do not count: the given ones, and pairs of words learned from the sample in
+which a term's odds vanish (in ``LEAST_ROWS`` different surroundings in clean
+rows at least, and no likelier in toxic ones).
 
 Defined results: null text is the empty text, whose score is that of a text
 without hits; repeated rows repeat their score; without toxic or without
-clean training rows the lexicon is empty and every score is the same.
+clean training rows the lexicon is empty and every score is the same; very
+long texts are matched whole, in time linear in their length; of terms that
+tie, the later in the alphabet is kept; an empty table gives an empty one; the
+results replace columns of their names.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -54,25 +66,42 @@ SUBSTITUTES = {
     "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
     "ı": "i", "ł": "l", "ø": "o", "ſ": "s",
 }
+SIGNS = "@$!|"
+STARTING_SIGNS = re.compile(rf"(?<![^\W_])[{SIGNS}]+(?=\w)")
 DROPPED = {0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF}
 
 
 class Folding(dict):
-    """Character map for ``str.translate``, filled as characters turn up."""
+    """Character map for ``str.translate``, filled as characters turn up;
+    ``blank`` characters stand for no letter."""
+
+    def __init__(self, blank: str = ""):
+        super().__init__({ord(c): " " for c in blank})
 
     def __missing__(self, code: int):
-        low = chr(code - 0xFEE0 if 0xFF01 <= code <= 0xFF5E else code).lower()
-        self[code] = None if code in DROPPED else SUBSTITUTES.get(low) or (low if low.isalpha() else " ")
+        apart = unicodedata.normalize("NFKD", chr(code).lower()).lower()
+        letters = [SUBSTITUTES.get(c) or (c if c.isalpha() else " ") for c in apart if not unicodedata.combining(c)]
+        self[code] = None if code in DROPPED else "".join(letters)
         return self[code]
 
 
 FOLDING = Folding()
+WITHOUT_SIGNS = Folding(SIGNS)
 
 
 def fold(text: str) -> str:
     return f" {text.translate(FOLDING)} "
 
 
+def readings(text: str) -> set[str]:
+    """The folded text with signs as letters, as blanks, and as blanks at the
+    start of a word: equally long, so that places agree."""
+    if not any(c in text for c in SIGNS):
+        return {fold(text)}
+    inside = STARTING_SIGNS.sub(lambda m: " " * len(m[0]), text)
+    return {fold(text), fold(inside), f" {text.translate(WITHOUT_SIGNS)} "}
+
+
 def beginnings(folded: str) -> set[str]:
     """Distinct word beginnings of a folded text."""
     low, high = TERM_LETTERS
@@ -84,7 +113,9 @@ def beginnings(folded: str) -> set[str]:
 class Lexicon:
     terms: dict[str, float]
     fit: tuple[float, float, float] = (-3.0, 1.0, 1.0)
+    #: Phrases, of which the last word may go on, and learned ones, whole.
     exceptions: tuple[str, ...] = EXCEPTIONS
+    learned: tuple[str, ...] = ()
 
     def matcher(self) -> "Matcher":
         return Matcher(self)
@@ -96,20 +127,22 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         for t, w in lexicon.terms.items():
             self.automaton.add_word(" " + t, (len(t), w))
-        for phrase in lexicon.exceptions:
-            shape = fold(phrase).rstrip()
+        for shape in [fold(p).rstrip() for p in lexicon.exceptions] + [f" {p} " for p in lexicon.learned]:
             self.automaton.add_word(shape, (len(shape) - 1, None))
         self.automaton.make_automaton()
 
     def features(self, text: str) -> tuple[float, float]:
         """log(1 + weighted hits), and the same of hits per 1000 letters."""
-        folded = fold(text)
-        hits = [(end, n, w) for end, (n, w) in self.automaton.iter(folded)]
-        if not hits:
+        found, free = set(), set()
+        for folded in readings(text):
+            for end, (n, w) in self.automaton.iter(folded):
+                (free if w is None else found).add((end - n, end, w))
+        if not found:
             return 0.0, 0.0
-        free = [(end - n, end) for end, n, w in hits if w is None]
-        total = sum(w for end, n, w in hits if w is not None
-                    and not any(s <= end - n and end <= e for s, e in free))
+        free = sorted((start, end) for start, end, _ in free)
+        # the farthest end of the phrases that start at a place or before it
+        starts, reach = [s for s, _ in free], [-1, *accumulate((e for _, e in free), max)]
+        total = math.fsum(w for start, end, w in found if reach[bisect_right(starts, start)] < end)
         return math.log1p(total), math.log1p(1000 * total / len(folded))
 
     def score(self, text: str) -> float:
@@ -203,6 +236,32 @@ def contexts(texts: DataFrame, among: set[str]) -> dict[str, int]:
     return {r.term: r["count"] for r in found.collect()}
 
 
+def harmless(texts: DataFrame, terms: set[str], n_toxic: int, n_clean: int) -> tuple[str, ...]:
+    """Pairs of neighbouring words, one of them begun by a term, that tell of
+    no toxic text; copies of a text show a pair in one surrounding only."""
+    low, high = min(map(len, terms), default=0), max(map(len, terms), default=0)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int, int]] = set()
+        for b in batches:
+            for y, t in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+                words = ["", *fold(t).split(), ""]
+                hit = [any(w[:k] in terms for k in range(low, min(len(w), high) + 1)) for w in words]
+                for i in range(1, len(words) - 2):
+                    if hit[i] or hit[i + 1]:
+                        around = f"{words[i - 1]} {words[i + 2]}"
+                        seen.add((f"{words[i]} {words[i + 1]}", y, zlib.crc32(around.encode())))
+        phrases, ys, marks = zip(*seen) if seen else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(phrases, pa.string()), pa.array(ys, pa.int32()), pa.array(marks, pa.int64())],
+            names=["phrase", "toxic", "mark"])
+
+    shown = texts.select("toxic", "text").mapInArrow(run, "phrase string, toxic int, mark long").distinct()
+    counts = shown.groupBy("phrase").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
+    return tuple(sorted(r.phrase for r in counts.where(F.col("b") >= LEAST_ROWS).collect()
+                        if odds(r.a, r.b, n_toxic, n_clean) <= 1))
+
+
 def frequencies(texts: DataFrame, among: set[str] | None, least: int) -> dict[str, int]:
     """In how many texts each word beginning occurs (of ``among``, if given),
     from ``least`` texts on."""
@@ -233,7 +292,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, exception
     telling = {t for t in toxic if tells(toxic[t], clean.get(t, 0), n[1], n[0])}
     shown = contexts(sample.where("toxic = 1"), telling)
     toxic = {t: min(toxic[t], k) for t, k in shown.items() if k >= least}
-    lexicon = Lexicon(choose(toxic, clean, n[1], n[0]), exceptions=exceptions)
+    terms = choose(toxic, clean, n[1], n[0])
+    lexicon = Lexicon(terms, exceptions=exceptions, learned=harmless(sample, set(terms), n[1], n[0]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
@@ -245,7 +305,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, exception
     # bounded by the sample: at most 2 * rows documents
     found = sample.select("toxic", "text").mapInArrow(run, "y int, a double, b double").toPandas()
     fit = logistic(found[["a", "b"]].to_numpy(), found["y"].to_numpy())
-    return Lexicon(lexicon.terms, fit, exceptions)
+    return replace(lexicon, fit=fit)
 
 
 FIELDS = [T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False)]

@@ -7,6 +7,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -204,6 +205,61 @@ def test_toxicity_exception_phrases_do_not_count():
     assert m.features("a tr­ash heap")[0] > 0 and m.features("such traѕh")[0] > 0
 
 
+@pytest.mark.parametrize("text", ["@moron", "!moron", "|moron|", "$moron!", "you!moron", "m0r0n", "mörön", "mo\u0301ron",
+                                  "\U0001d426\U0001d428\U0001d42b\U0001d428\U0001d427", "ＭＯＲＯＮ", "mоrоn", "@m0ron"])
+def test_toxicity_sees_through_disguise(text):
+    m = toxicity.Lexicon({"moron": 5.0}, (-3.0, 2.0, 1.0)).matcher()
+    assert m.score(f"what a {text} here") > 0.9 and m.score("what an oxymoron here") < 0.1
+
+
+def test_toxicity_score_matches_a_plain_one():
+    rnd = random.Random(11)
+    terms = {"idio": 3.0, "trash": 1.5, "ass": 2.0, "shit": 2.5}
+    lexicon = toxicity.Lexicon(terms, (-2.0, 1.1, 0.4), learned=("an idiom", "ass ort"))
+    plain = dict(zip("013457@$!|", "oieastasil")) | {"é": "e", "о": "o"}
+    pieces = ["idio", "t", "m", "an", "trash", "can", "ass", "ort", "$h!t", "@", "!", "|", "1", " ", " ", " ", ",", "é", "о", "X", "4ss"]
+
+    def fold(text, signs):
+        return " " + "".join((" " if c in "@$!|" and not signs else plain.get(c, c if c.isalpha() else " ")) for c in text) + " "
+
+    for _ in range(400):
+        text = "".join(rnd.choices(pieces, k=rnd.randint(0, 25))).lower()
+        inside, i = list(text), 0
+        while i < len(text):
+            j = i
+            while j < len(text) and text[j] in "@$!|":
+                j += 1
+            if j > i and (i == 0 or not text[i - 1].isalnum()) and j < len(text) and text[j].isalnum():
+                inside[i:j] = " " * (j - i)
+            i = max(j, i + 1)
+        hits, free = set(), []
+        for view in (fold(text, True), fold(text, False), fold("".join(inside), True)):
+            for at in range(len(view)):
+                hits |= {(at, at + len(t), w) for t, w in terms.items() if view.startswith(" " + t, at)}
+                free += [(at, at + len(p)) for p in (*toxicity.EXCEPTIONS, "an idiom ", "ass ort ") if view.startswith(" " + p, at)]
+        total = sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b in free))
+        want = -2.0 + 1.1 * np.log1p(total) + 0.4 * np.log1p(1000 * total / (len(text) + 2))
+        assert lexicon.matcher().score(text) == pytest.approx(1 / (1 + np.exp(-want)), rel=1e-12), text
+
+
+def test_toxicity_learns_exceptions_from_clean_texts(spark):
+    texts, labels = labelled(spark)
+    near = [f"{a} {b}" for a in ("mola", "neri", "tola", "suda") for b in ("dini", "rumo", "fela", "gano")]
+    more = [(2000 + i, f"{x.split()[0]} snotwort tea {x.split()[1]}") for i, x in enumerate(near)]
+    labels = labels.union(spark.createDataFrame([(i, 0) for i, _ in more], "doc_id long, toxic int"))
+    lexicon = toxicity.learn(docs(spark, texts + more), labels)
+    assert "snotwort tea" in lexicon.learned
+    m = lexicon.matcher()
+    assert m.features("wir snotwort tea dort") == (0.0, 0.0) < m.features("wir snotwort dort")
+
+
+def test_toxicity_time_is_linear_in_hits_and_phrases():
+    m = toxicity.Lexicon({"trash": 5.0}, (-3.0, 2.0, 1.0)).matcher()
+    start = time.process_time()
+    assert m.features("trash can trash heap " * 100_000)[0] == pytest.approx(np.log1p(500_000))
+    assert time.process_time() - start < 20
+
+
 def test_copies_of_one_document_teach_nothing(spark):
     texts, labels = labelled(spark, 400)
     copy = "zulo fremd quasi zulo blarghead nimm snotwort"
