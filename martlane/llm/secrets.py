@@ -6,14 +6,21 @@ size is what a zstandard compressor, primed with the corpus's identifiers,
 needs for the surrounding text with the candidate beyond what it needs without
 it, compared with what random text of the candidate's length and alphabet
 needs there.  Names and repeats cost next to nothing; what costs about as much
-as random text is reported as ``novel``.
+as random text is reported as ``novel``, unless it has no digit and is made of
+words that are common in the corpus.
 
 The identifier dictionary is counted over all documents (names that are
 assigned to), and the most frequent ``DICTIONARY_WORDS`` of them prime the
-compressor: a bounded broadcast, the tail only primes less.
+compressor: a bounded broadcast, the tail only primes less.  So are common
+words: the ``COMMON_WORDS`` that most texts hold tell plain words, the first
+``PRIMING_WORDS`` prime.  A secret of letters in one case, without digits,
+that is as common as that counts as a word.
 
 Defined results: null text is the empty text, without spans; repeated rows
-repeat their result; spans are in code points, end exclusive.
+repeat their result; spans are in code points, end exclusive; spans that start
+at one place are ordered by kind; very long texts are scanned whole, in time
+linear in their length but for the logarithm of their spans; an empty table
+gives an empty one; the results replace columns of their names.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ import hashlib
 import random
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -41,10 +49,13 @@ ACCESS = re.compile("AKIA[A-Z0-9]{12,}")
 HEX = re.compile("[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-#: Words after which a token is a candidate, and how near it must be.
+#: Words after which a token is a candidate, and how near it must be.  They
+#: are whole words or whole parts of names: 'authToken', 'SESSION_ID', but not
+#: 'author' or 'SESSIONS2'.
+WORDS = ("passw(?:or)?d|pwd|passphrase|secret|token|api_?key|key|credential|o?auth|authorization|authentication"
+         "|bearer|private|cert|certificate|signature|session|cookie|jwt")
 SENSITIVE = re.compile(
-    r"(?<![A-Za-z])(passw|pwd|passphrase|secret|token|api_?key|key\b|credential|auth|bearer|private|cert|signature"
-    r"|session|cookie|jwt)", re.I | re.A)
+    rf"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:{WORDS})s?(?![a-z])(?!(?<=[A-Z])[A-Z])", re.A)
 REACH = 40
 CANDIDATE = re.compile(r"(?<![@A-Za-z0-9+/_=~.-])[A-Za-z0-9+/_=~.-]{8,}")
 #: A value inside a candidate: the name before '=' is context, '=' at the end
@@ -53,6 +64,14 @@ PART = re.compile(r"[^=]{8,}(?:=+\Z)?")
 # '=' at the end of a string is padding of a value, which must not prime.
 IDENTIFIER = r"([A-Za-z_][A-Za-z0-9_]{2,})(?:\x20*\(|\x20+=(?!=)|=(?![=\s]|$|[\x22\x27](?:[\s,;)}\]]|$)))"
 DICTIONARY_WORDS = 2000
+#: The most frequent words, by texts that hold them, of so many letters.
+COMMON_WORDS = 50_000
+COMMON_LETTERS = 4
+#: They prime the compressor too, so many of them.
+PRIMING_WORDS = 1000
+#: Part of a token's letters that has to be in common words to make it plain.
+PLAIN = 0.75
+COUNTED_WORDS = 200_000
 SURROUNDINGS = 512
 #: Part of the marginal bytes of random text over its own alphabet from which
 #: a candidate is incompressible.
@@ -71,17 +90,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+#: Words in a token: of one case, or begun by a capital.
+NAME_PART = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+
+
 class Novelty:
-    """Marginal compressed size under one identifier dictionary."""
+    """Marginal compressed size under one dictionary of identifiers and common
+    words (most common first)."""
 
-    def __init__(self, identifiers: Iterable[str]):
-        words = "\n".join(identifiers).encode()
+    def __init__(self, identifiers: Iterable[str], common: Iterable[str] = ()):
+        common = list(common)
+        self.common = frozenset(common)
+        words = "\n".join([*common[:PRIMING_WORDS][::-1], *identifiers]).encode()
         primed = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(words) > 8 else None
         self.compressor = zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False)
 
     def size(self, data: bytes) -> int:
         return len(self.compressor.compress(data))
 
+    def plain(self, token: str) -> bool:
+        """Is the token made of common words, and no digits?"""
+        if any(c.isdigit() for c in token):
+            return False
+        parts = NAME_PART.findall(token)
+        known = sum(len(p) for p in parts if p.lower() in self.common)
+        return known > 0 and known >= PLAIN * sum(map(len, parts))
+
     def rate(self, text: str, start: int, end: int) -> float:
         """Marginal size of ``text[start:end]`` after its surroundings on both
         sides, as a part of that of random text over its alphabet.  Copies of it there (as a whole, not
@@ -127,7 +161,7 @@ class Novelty:
         novel = {}
         for spans in tried:
             for s, e in [*spans[0], *spans[1]]:
-                novel[s, e] = text[s:e] in known or self.rate(text, s, e) >= least
+                novel[s, e] = text[s:e] in known or not self.plain(text[s:e]) and self.rate(text, s, e) >= least
                 if novel[s, e] and (s, e) in spans[0]:
                     known.add(text[s:e])
         found = []
@@ -147,6 +181,30 @@ def identifiers(docs: DataFrame, top: int = DICTIONARY_WORDS, text: str = "text"
     return [r.name for r in best.collect()][::-1]
 
 
+def common_words(docs: DataFrame, top: int = COMMON_WORDS, text: str = "text") -> list[str]:
+    """The ``top`` words of ``COMMON_LETTERS`` letters or more that most texts
+    hold, two at least (ties by word), most common first."""
+    word = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z]{{{COMMON_LETTERS},}}(?![A-Za-z0-9])")
+
+    def batch(n: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter = Counter()
+        for b in chunks(batches, 64):
+            for t in texts_of(b.column(0)):
+                n.update({w.lower() for w in set(word.findall(t))})
+            if len(n) >= COUNTED_WORDS:  # bounds what a worker counts at a time
+                yield batch(n)
+                n = Counter()
+        yield batch(n)
+
+    counts = docs.select(F.col(text)).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # at most ``top`` words: a proven bound
+    return [r.word for r in counts.where(F.col("n") > 1).orderBy(F.desc("n"), "word").limit(top).collect()]
+
+
 FIELDS = [T.StructField("n_assign", T.LongType(), False), T.StructField("n_access", T.LongType(), False),
           T.StructField("n_hex", T.LongType(), False), T.StructField("n_novel", T.LongType(), False),
           T.StructField("base_sha256", T.StringType(), False), T.StructField("spans", T.StringType(), False)]
@@ -160,12 +218,12 @@ def scan_secrets(docs: DataFrame, novelty: float = NOVELTY, dictionary: int = DI
                  text: str = "text") -> DataFrame:
     """Every row of ``docs`` with counts by kind, the hash of its base spans
     and all spans (``kind:start:end``, comma-joined)."""
-    words = identifiers(docs, dictionary, text)
+    words, common = identifiers(docs, dictionary, text), common_words(docs, text=text)
     schema = appended(docs.schema, FIELDS)
     new = [f.name for f in FIELDS]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Novelty(words)
+        model = Novelty(words, common)
         for b in chunks(batches):
             rows = []
             for t in texts_of(b.column(text)):

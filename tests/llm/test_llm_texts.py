@@ -111,6 +111,59 @@ def test_random_strings_of_any_alphabet_and_length_are_novel(spark):
     assert row.spans == ""
 
 
+@pytest.mark.parametrize("name, found", [
+    ("auth", True), ("authToken", True), ("clientSecret", True), ("SESSION_ID", True), ("my-keys", True), ("DB_PWD", True),
+    ("author", False), ("AUTHORITY", False), ("sessional", False), ("keyboard", False), ("monkey", False), ("certain", False)])
+def test_sensitive_words_are_whole(name, found):
+    text = f"{name} 8Zk2vQx91LmTr5Wp"
+    assert bool(secrets.Novelty([]).spans(text, [], 0.75)) == found
+
+
+def test_common_words_are_no_secrets(spark):
+    plain = ["the secret ingredient of delicious strawberries", "author William Shakespeare published Nightingale",
+             "private delicious-strawberries and published_ingredient", "token IngredientNightingale"]
+    d = docs(spark, [(i, t) for i, t in enumerate([*plain, *plain, "pwd qwzkxvjhplmt", "secret berry7q9xz2Kd"])])
+    got = {r.doc_id: r.spans for r in secrets.scan_secrets(d).collect()}
+    assert all(got[i] == "" for i in range(8))
+    assert got[8] == "novel:4:16" and got[9].startswith("novel:7:")
+
+
+def test_novel_spans_match_a_plain_version():
+    import zstandard
+
+    names, common = ["user_name", "get_value", "connection"], ["ingredient", "delicious"]
+    primed = zstandard.ZstdCompressionDict("\n".join(["delicious", "ingredient", *names]).encode(),
+                                           dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    packer = zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False)
+    model = secrets.Novelty(names, common)
+    groups = ["0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/", "_-.~", "="]
+
+    def rate(text, s, e):
+        own = text[s:e]
+        near = text[e:e + 512] + "\n" + text[max(0, s - 512):s]
+        near = re.sub(rf"(?<![A-Za-z0-9_]){re.escape(own)}(?![A-Za-z0-9_])", "", near)
+        size = lambda extra: len(packer.compress((near + extra).encode()))
+        symbols = "".join(g for g in groups if set(g) & set(own))
+        rnd, times = random.Random(own), max(1, 128 // len(own))
+        other = sum(size("".join(rnd.choices(symbols, k=len(own)))) - size("") for _ in range(times))
+        return (size(own) - size("")) * times / max(1, other)
+
+    rnd, seen = random.Random(21), 0
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for _ in range(300):
+        made = ["".join(rnd.choices(letters, k=rnd.choice([7, 8, 12, 20]))) for _ in range(3)]
+        pieces = [*made, "pwd", "auth", "session key", "delicious", "ingredient", "user_name", "connection", "author", "x" * 45]
+        text = " ".join(rnd.choices(pieces, k=rnd.randint(2, 14)))
+        tokens = [m.span() for m in re.finditer(r"\S+", text) if len(m[0]) >= 8]
+        marks = [m.span() for m in re.finditer(r"(?<![A-Za-z])(?i:pwd|auth|key|session)(?![A-Za-z])", text)]
+        near = [(s, e) for s, e in tokens if any(s - 40 <= a and b <= s for a, b in marks)]
+        novel = {text[s:e] for s, e in near if text[s:e] not in common and rate(text, s, e) >= 0.75}
+        want = [(s, e) for s, e in near if text[s:e] in novel]
+        assert [(s, e) for s, _, e in model.spans(text, [], 0.75)] == want, text
+        seen += len(want)
+    assert seen > 100
+
+
 def test_secrets_on_an_empty_table(spark):
     assert secrets.scan_secrets(docs(spark, [])).count() == 0
 
