@@ -128,6 +128,12 @@ def test_common_words_are_no_secrets(spark):
     assert got[8] == "novel:4:16" and got[9].startswith("novel:7:")
 
 
+def test_common_words_by_frequency(spark):
+    d = docs(spark, [(i, t) for i, t in enumerate(["alpha beta Gamma beta", "alpha gamma delta", "ALPHA gamma zeta9 abc", None])])
+    assert secrets.common_words(d) == ["alpha", "gamma"] == secrets.common_words(d, 2)
+    assert secrets.common_words(d, 1) == secrets.common_words(docs(spark, [])) == []
+
+
 def test_novel_spans_match_a_plain_version():
     import zstandard
 
