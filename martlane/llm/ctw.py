@@ -9,7 +9,10 @@ training rows, all of them; scores are the code length of the whole text and
 its end under the fixed model.
 
 How it is spread out: documents are dealt into buckets of about
-``BUCKET_BYTES`` of text by a hash of the id.  A bucket's task reduces it to
+``BUCKET_BYTES`` of text by a hash of id and text; rows that agree in both and
+would fill a quarter of a bucket are one row with its number first, so no id
+and no copies make a bucket large.  Long texts are worked on in blocks of
+``PIECE_BYTES`` with their preceding bytes.  A bucket's task reduces it to
 its distinct byte contexts and words with counts, which are summed over all
 buckets, turned into the model by context, and joined back to the buckets
 that use them; so no task holds more of the model than its own texts need.
@@ -18,13 +21,15 @@ two depths above have at most 257 contexts and go through the driver.
 
 Defined results: null text is the empty text, which still codes its end;
 repeated rows repeat their score; a null id is never held out; without
-training rows the counts are zero and every bit costs one bit.  Words are
-told apart by 64-bit hashes.
+training rows the counts are zero and every bit costs one bit; an empty table
+gives an empty one; only id and text of the rows are read, so other columns
+clash with nothing.  Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -142,9 +147,15 @@ def prepared(column: pa.Array) -> list[bytes]:
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about PIECE_BYTES."""
+    """Ranges of texts of about PIECE_BYTES; a longer text by itself."""
     at = size = 0
     for i, t in enumerate(texts):
+        if len(t) >= PIECE_BYTES:
+            if at < i:
+                yield at, i
+            yield i, i + 1
+            at, size = i + 1, 0
+            continue
         size += len(t)
         if size >= PIECE_BYTES:
             yield at, i + 1
@@ -153,34 +164,66 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def blocks(texts: list[bytes], depth: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(range of texts, their codes, where each text's codes start); a long
+    text comes in several blocks."""
+    for a, b in pieces(texts):
+        if b - a > 1 or len(texts[a]) <= PIECE_BYTES:
+            yield a, b, *grams(texts[a:b], depth)
+            continue
+        for at in range(0, len(texts[a]), PIECE_BYTES):
+            lead = min(at, depth)
+            codes, start = grams([texts[a][at - lead:at + PIECE_BYTES]], depth)
+            yield a, b, codes[lead:len(codes) - (at + PIECE_BYTES < len(texts[a]))], start
+
+
+def words_of(text: bytes) -> Iterator[bytes] | list[bytes]:
+    """Words of a text, one after the other where it is long."""
+    return text.split() if len(text) < PIECE_BYTES else (m[0] for m in re.finditer(rb"[^\x20\x09-\x0D]+", text))
+
+
 def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
-def bucket_keys(texts: list[bytes], learn: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kind, key, count over the training rows) of all that the texts need."""
+def bucket_keys(texts: list[bytes], learn: list[int], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, key, count over the training rows) of all that the texts need;
+    ``learn`` tells how many training rows each text stands for."""
     gram_keys, gram_n = np.empty(0, np.int64), np.empty(0, np.int64)
     words: Counter = Counter()
-    for a, b in pieces(texts):
-        for value in (True, False):
-            own = [t for t, x in zip(texts[a:b], learn[a:b]) if x == value]
-            key, n = np.unique(grams(own, depth)[0], return_counts=True)
+    for value in sorted(set(learn), reverse=True):
+        own = [t for t, x in zip(texts, learn) if x == value]
+        for _, _, codes, _ in blocks(own, depth):
+            key, n = np.unique(codes, return_counts=True)
             key, at = np.unique(np.concatenate([gram_keys, key]), return_inverse=True)
             gram_n = np.bincount(at, np.concatenate([gram_n, n * value]), len(key)).astype(np.int64)
             gram_keys = key
-    for t, x in zip(texts, learn):
-        if x:
-            words.update(t.split())
-    for t, x in zip(texts, learn):
-        if not x:
-            for w in t.split():
-                words.setdefault(w, 0)
+        for t in own:
+            if value == 1:
+                words.update(words_of(t))
+            else:
+                for w, n in Counter(words_of(t)).items():
+                    words[w] += n * value
     kind = np.concatenate([np.full(len(gram_keys), GRAM), np.full(len(words), WORD), [TEXT]]).astype(np.int32)
     key = np.concatenate([gram_keys, np.array([word_key(w) for w in words], np.int64), [0]])
     n = np.concatenate([gram_n, np.fromiter(words.values(), np.int64, len(words)), [sum(learn)]])
     return kind, key.astype(np.int64), n.astype(np.int64)
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """``rows`` with a column ``copies``: one row for all that agree, where
+    they would fill a quarter of a bucket, else each by itself."""
+    alike = F.xxhash64("id", "text").alias("alike")
+    size = F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1)
+    often = rows.groupBy(alike).agg(size.alias("size"), F.count(F.lit(1)).alias("n")).where(
+        (F.col("n") > 1) & (F.col("size") >= BUCKET_BYTES // 4)).select("alike", F.lit(True).alias("often"))
+    often = written(rows.sparkSession, often, "lm-copies")
+    marked = rows.withColumn("alike", alike).join(often, "alike", "left")
+    names = ["id", "text", "held"]
+    alone = marked.where(F.col("often").isNull()).select(*names, F.lit(1).cast("long").alias("copies"))
+    return alone.union(marked.where("often").groupBy(*names).agg(F.count(F.lit(1)).alias("copies")))
+
+
 def scores(docs: DataFrame, held_out, depth: int = DEPTH, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     n_bytes, bits_per_byte) of every row.  ``held_out`` is a boolean column:
@@ -193,11 +236,11 @@ def scores(docs: DataFrame, held_out, depth: int = DEPTH, id: str = "doc_id", te
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, round(size / BUCKET_BYTES))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    rows = merged(rows).withColumn("bucket", F.pmod(F.xxhash64("id", "text"), F.lit(buckets)).cast("int"))
 
     def reduce(key: tuple, group: pa.Table) -> pa.Table:
-        held = group["held"].to_pylist()
-        kind, k, n = bucket_keys(prepared(group["text"]), [not h for h in held], depth)
+        learn = [0 if h else n for h, n in zip(group["held"].to_pylist(), group["copies"].to_pylist())]
+        kind, k, n = bucket_keys(prepared(group["text"]), learn, depth)
         return pa.table({"bucket": pa.array(np.full(len(k), key[0].as_py(), np.int32)), "kind": kind, "key": k, "n": n})
 
     keys = written(spark, rows.groupBy("bucket").applyInArrow(reduce, "bucket int, kind int, key long, n long"), "lm-keys")
@@ -245,31 +288,30 @@ def scores(docs: DataFrame, held_out, depth: int = DEPTH, id: str = "doc_id", te
         body = prepared(group["text"])
         words = set()
         for t in body:
-            words.update(t.split())
+            words.update(words_of(t))
         words = list(words)
         c = counts[np.searchsorted(hashes, np.array([word_key(w) for w in words], np.int64))] if words else np.empty(0)
         log_of = dict(zip(words, np.log10((c + 0.1) / scale).tolist()))
         new = {words[i] for i in np.flatnonzero(c == 0).tolist()}
         del words, c, hashes, counts
-        base, known, n, score = [], [], [], []
-        for a, b in pieces(body):
-            grams_of, start = grams(body[a:b], depth)
-            score.append(np.add.reduceat(logs[np.searchsorted(codes, grams_of)], start))
-            del grams_of
-            for t in body[a:b]:
-                own = t.split()
-                base.append(sum(map(log_of.__getitem__, own)) + end)
-                n.append(len(own) + 1)
-                known.append(len(own) - sum(map(new.__contains__, own)) + (texts > 0))
-        score = np.concatenate(score) if score else np.empty(0)
+        base, known, n, score = [], [], [], np.zeros(len(body))
+        for a, b, grams_of, start in blocks(body, depth):
+            score[a:b] += np.add.reduceat(logs[np.searchsorted(codes, grams_of)], start)
+        for t in body:
+            own = Counter(words_of(t))
+            base.append(math.fsum(log_of[w] * c for w, c in own.items()) + end)
+            n.append(own.total() + 1)
+            known.append(own.total() - sum(c for w, c in own.items() if w in new) + (texts > 0))
         size = np.array([len(t) for t in body], np.int64)
         return pa.table({
             "id": group["id"], "held_out": group["held"], "n_tokens": pa.array(n, pa.int64()),
             "n_known": pa.array(known, pa.int64()), "train_tokens": np.full(len(n), tokens, np.int64),
             "base_score": pa.array(base, pa.float64()), "score": score, "n_bytes": size,
-            "bits_per_byte": -score * math.log2(10) / (size + 1)})
+            "bits_per_byte": -score * math.log2(10) / (size + 1), "copies": group["copies"]})
 
     kind = docs.schema[id].dataType.simpleString()
-    return rows.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(
+    result = rows.groupBy("bucket").cogroup(needed.groupBy("bucket")).applyInArrow(
         measure, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
-        "score double, n_bytes long, bits_per_byte double").withColumnRenamed("id", id)
+        "score double, n_bytes long, bits_per_byte double, copies long")
+    every = F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
+    return result.select("*", every.alias("copy")).drop("copies", "copy").withColumnRenamed("id", id)

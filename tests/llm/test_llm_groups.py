@@ -402,12 +402,15 @@ class BruteTree:
         return out
 
 
-def test_ctw_matches_its_definition(spark, monkeypatch):
+@pytest.mark.parametrize("piece", [7, ctw.PIECE_BYTES])
+def test_ctw_matches_its_definition(spark, monkeypatch, piece):
     monkeypatch.setattr(ctw, "BUCKET_BYTES", 300)
+    monkeypatch.setattr(ctw, "PIECE_BYTES", piece)  # 7: texts are cut
     monkeypatch.setattr(ctw, "CONTEXTS_PER_PART", 40)
     rnd = random.Random(4)
     rows = [(i, " ".join(rnd.choices(["Ab", "abc", "ba", "éa"], k=rnd.randint(1, 12))), "s") for i in range(60)]
     rows += [(100, None, "s"), (101, "", "s"), (102, "zz new", "s"), (3, rows[3][1], "s"), (None, "ab", "s")]
+    rows += [(None, "ab ba éa ab", "s")] * 40 + [(7, "ba", "s")] * 30  # copies that would fill a bucket
     got = ctw.scores(docs(spark, rows), crc_mod("doc_id", 10) == 0, depth=3).collect()
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, _, _ in rows}
     low = {(i, t): (t or "").encode().lower() for i, t, _ in rows}
@@ -427,6 +430,15 @@ def test_ctw_matches_its_definition(spark, monkeypatch):
         assert near, (r, want[r.doc_id])
 
 
+def test_ctw_blocks_of_a_long_text_are_its_codes(monkeypatch):
+    rnd = random.Random(9)
+    texts = [bytes(rnd.choices(b"ab \n", k=k)) for k in (0, 5, 300, 1, 64, 65, 128, 2)]
+    whole, _ = ctw.grams(texts, 4)
+    monkeypatch.setattr(ctw, "PIECE_BYTES", 64)
+    assert np.array_equal(np.concatenate([codes for _, _, codes, _ in ctw.blocks(texts, 4)]), whole)
+    assert [list(ctw.words_of(t)) for t in texts] == [t.split() for t in texts]
+
+
 def test_ctw_probabilities_sum_to_one():
     texts = [b"abracadabra", b"a banana", b""]
     codes, _ = ctw.grams(texts, 3)
