@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,34 @@ FIRST_SERIAL, END_SERIAL = -693593.0, 2958466.0
 TEXT_FORMATS = ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "M/d/yyyy H:mm", "d MMM yyyy", "MMM d, yyyy")
 
 
+# What a field of a format accepts at most.  A try that fails costs an
+# exception a value, so a format is tried only on text of its shape.
+_FIELDS = {"yyyy": r"[-+]?\d{4,}", "yy": r"\d{2}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]+", "M": "0*(?:1[0-2]|[1-9])",
+           "d": r"0*(?:[12]\d|3[01]|[1-9])", "H": r"\d+", "mm": r"\d{2}"}
+# Text that is no number whatever else it is.
+_NO_NUMBER = "[/,:]|[0-9]-"
+
+
+def format_shape(fmt: str) -> str | None:
+    """A pattern that every text read by ``fmt`` matches; None for formats
+    with other fields, or with fields that no sign parts."""
+    fields = re.split(r"([^A-Za-z'\[\]{}#]+)", fmt)
+    if not all(f in _FIELDS for f in fields[::2]):
+        return None
+    return "^" + "".join(re.escape(f) if k % 2 else _FIELDS[f] for k, f in enumerate(fields)) + "$"
+
+
+def parse_text(text: Column, fmt: str) -> Column:
+    """``text`` read in ``fmt``, NULL where it cannot be."""
+    read, shape = F.try_to_timestamp(text, F.lit(fmt)), format_shape(fmt)
+    return F.when(text.rlike(shape), read) if shape else read
+
+
+def text_number(text: Column) -> Column:
+    """``text`` as a number, NULL where it is none."""
+    return F.when(~text.rlike(_NO_NUMBER), text.try_cast("double"))
+
+
 def serial_to_timestamp(c: Column | str) -> Column:
     """Spreadsheet serial (days since 1899-12-30, fraction = time of day) -> timestamp_ntz.
 
@@ -51,11 +80,11 @@ def coerce_date(c: Column | str, dtype: T.DataType | None = None, formats: tuple
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("timestamp_ntz")
     as_text = col.cast("string")
-    as_number = as_text.try_cast("double")
+    as_number = text_number(as_text)
     text = strip_or_null(as_text)
 
     def parsed(formats: tuple[str, ...]) -> list[Column]:
-        return [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+        return [parse_text(text, f).cast("timestamp_ntz") for f in formats]
 
     plain = F.when(as_number.isNotNull(), serial_to_timestamp(as_number)).otherwise(
         F.coalesce(text.try_cast("timestamp_ntz"), *parsed(text_formats)))
@@ -88,7 +117,7 @@ class ColumnFormat:
 
 def _needs_format(c: str) -> Column:
     text = strip_or_null(F.col(c).cast("string"))
-    plain = text.try_cast("double").isNotNull() | text.try_cast("timestamp_ntz").isNotNull()
+    plain = text_number(text).isNotNull() | text.try_cast("timestamp_ntz").isNotNull()
     return F.when(~plain, text)
 
 
@@ -97,9 +126,12 @@ def format_scores(df: DataFrame, columns: tuple[str, ...], formats: tuple[str, .
     rows: how many values each format reads, of those that need one, and how
     many any of them reads."""
     spread = df.select(*[_needs_format(c).alias(f"t{k}") for k, c in enumerate(columns)])
+    # each value is read once in each format, then counted
+    spread = spread.select("*", *[parse_text(F.col(f"t{k}"), f).isNotNull().alias(f"b{k}_{i}")
+                                  for k in range(len(columns)) for i, f in enumerate(formats)])
     found, rows = [], []
     for k, c in enumerate(columns):
-        reads = [F.try_to_timestamp(f"t{k}", F.lit(f)).isNotNull() for f in formats]
+        reads = [F.col(f"b{k}_{i}") for i in range(len(formats))]
         found += [F.count_if(r).alias(f"n{k}_{i}") for i, r in enumerate(reads)]
         found += [F.count(f"t{k}").alias(f"v{k}"), F.count_if(F.coalesce(F.greatest(*reads, F.lit(False)), F.lit(False))).alias(f"r{k}")]
         rows += [F.struct(F.lit(c).alias("column"), F.lit(f).alias("format"), F.col(f"n{k}_{i}").alias("fits"),

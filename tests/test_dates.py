@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from martlane.functions.dates import column_formats
+from martlane.functions.dates import COLUMN_FORMATS, column_formats, format_shape, parse_text, text_number
 from martlane.operators import clean as C
+from pyspark.sql import functions as F
 
 
 def read(spark, values):
@@ -42,3 +43,29 @@ def test_columns_that_need_no_format(spark):
     got, f, lost = read(spark, ["2014-05-06", "42000", None])
     assert got == [dt.date(2014, 5, 6), dt.date(2014, 12, 27), None] and (f.format, f.values, lost) == (None, 0, 0)
     assert read(spark, [])[1].format is None
+
+
+SHAPES = ["1/2/2014", "13/4/2014", "4/13/2014", "00004/0013/2014", "0/1/2014", "-1/2/2014", "1/-2/2014", "+1/2/2014", "1/2/+12014",
+          "1/2/12014", "1/2/14", "32/1/2014", "1/31/2014 8:05", "31/1/2014 23:59", "1/31/2014 8:5", "1-2-2014", "31-1-2014", "1--2-2014",
+          "31-Jan-2014", "1 jan 2014", "Jan 1, 2014", "January 1, 2014", "MAY 5, 2014", "Sept 1, 2014", "2/30/2014", "1/2/2014\n",
+          "1/2/201", "1/2/2014 ", "", "soon", "1/2/2014 x", "2014-01-02", "\u0661/2/2014", "1 / 2 / 2014", "-0/2/2014", "1/2/-2014"]
+
+
+def test_a_format_is_only_tried_on_text_of_its_shape_and_reads_the_same(spark):
+    df = spark.createDataFrame([(t,) for t in SHAPES], "t string")
+    for f in COLUMN_FORMATS:
+        assert format_shape(f), f
+        plain = F.try_to_timestamp("t", F.lit(f))
+        found = df.select("t", F.unix_micros(parse_text(F.col("t"), f)).alias("ours"),
+                          F.unix_micros(plain).alias("plain")).collect()
+        assert [(r.t, r.ours) for r in found] == [(r.t, r.plain) for r in found], f
+        tried = df.where(F.col("t").rlike(format_shape(f)) & plain.isNull()).count()
+        assert tried <= 3, (f, tried)  # 36 values, most of them of other formats
+    assert format_shape("yyyyMMdd") is None and format_shape("yyyy'T'") is None
+
+
+def test_numbers_are_told_from_dates_without_a_try(spark):
+    texts = ["42000", " 42000.5 ", "1e-3", "-1E+5", "NaN", "-Infinity", "inf", "0x1p-3", "1d", "1/2/2014", "1,000", "31-12-2014", "8:05", "x", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", text_number(F.col("t")).alias("ours"), F.col("t").try_cast("double").alias("plain")).collect()
+    assert [(r.t, repr(r.ours)) for r in found] == [(r.t, repr(r.plain)) for r in found]
