@@ -67,3 +67,36 @@ def test_fact_files_follow_its_size_not_its_years(spark, scratch):
     star = W.star_for(spark, SF_SMALL)
     years = star.fact_sales.selectExpr("year(order_date)").distinct().count()
     assert years > 3 and len(star.fact_sales.inputFiles()) <= len(star.raw_orders.inputFiles())
+
+
+def test_tables_are_written_when_a_query_asks_for_them(spark, scratch):
+    """A report on the cleaned lines neither waits for the fact's numbering
+    nor writes it; a warehouse asked for as a whole has every table."""
+    star = W.star_for(spark, SF_SMALL)
+    raw = W.GradualStar(f"{scratch}/wh", star.raw_orders)
+    assert raw.raw_orders.count() == star.raw_orders.count()
+    assert os.listdir(f"{scratch}/wh") == ["raw_orders"]
+    assert raw.dim_people.count() == star.dim_people.count() and raw.dim_people is raw.dim_people
+    assert set(os.listdir(f"{scratch}/wh")) == {"raw_orders", "raw_people", "dim_people"}
+    assert not W.is_complete(spark, f"{scratch}/wh")
+    whole = raw.finish()
+    assert W.is_complete(spark, f"{scratch}/wh") and set(whole.tables()) == set(W.TABLES)
+    for t, df in W.open_warehouse(spark, f"{scratch}/wh").tables().items():
+        assert df.count() == getattr(star, t).count() == getattr(whole, t).count(), t
+
+
+def wide_exchanges(df):
+    """Exchanges that carry a line's product name."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "product_name" in x]
+
+
+def test_cleaning_shuffles_no_line_of_bucketed_extracts(spark, scratch):
+    from martlane.operators.clean import clean_orders
+    from martlane.plans.extract_store import extracts_for
+    from martlane.sources.driver import defective_orders
+
+    for dirty in (True, False):
+        ex = extracts_for(spark, SF_SMALL, dirty=dirty)
+        assert wide_exchanges(clean_orders(ex.orders, ex.returns, ex.people)) == []
+    assert wide_exchanges(defective_orders(ex.orders, ex.returns)) == []
