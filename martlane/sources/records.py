@@ -35,7 +35,8 @@ def fault(text: Column, fields: int) -> Column:
     """Why a record cannot be read; NULL where it can."""
     # without doubled quotes, quoted fields hold none: what is left of the
     # record without quoted fields has neither quotes nor commas of its own
-    plain = F.regexp_replace(F.replace(text, F.lit('""'), F.lit("")), '(?<![^,])"[^"]*+"(?![^,])', "")
+    bare = F.regexp_replace(F.replace(text, F.lit('""'), F.lit("")), '(?<![^,])"[^"]*+"(?![^,])', "")
+    plain = F.when(text.contains('"'), bare).otherwise(text)  # most records have no quote
     found = F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
     return (F.when(~F.is_valid_utf8(text) | text.contains(REPLACEMENT), "bad_bytes")
             .when(plain.contains('"'), "unbalanced_quotes")
