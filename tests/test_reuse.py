@@ -102,6 +102,40 @@ def test_cleaning_shuffles_no_line_of_bucketed_extracts(spark, scratch):
     assert wide_exchanges(defective_orders(ex.orders, ex.returns)) == []
 
 
+def exchanges(df, of):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and of in x]
+
+
+def test_lines_are_dealt_by_order_once_and_orders_never_by_nation(spark):
+    """Whatever the session's shuffle partitions, they are no more than the
+    buckets, so the extract's join keeps the deal; nations meet customers."""
+    from martlane.plans.extract_store import bucket_count
+    from martlane.sources.driver import driver_extracts
+
+    names = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in zip(names, ("23", "-1")):
+            spark.conf.set(k, v)
+        buckets = bucket_count(spark, SF_SMALL)
+        assert buckets >= 23
+        ex = driver_extracts(spark, SF_SMALL, buckets)
+        plan = ex.orders._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f", {buckets}), REPARTITION_BY_NUM") == 2 and len(exchanges(ex.orders, "orderkey")) == 2
+        for df in (ex.orders, ex.returns):
+            by_nation = next(i for i, x in enumerate(plan_lines(df)) if "Exchange hashpartitioning(c_nationkey" in x)
+            below = [x for x in plan_lines(df)[by_nation + 1:] if "Scan parquet" in x]
+            assert "c_nationkey" in below[0] and "o_orderkey" not in below[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def plan_lines(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
 def assert_dense(fact):
     rows = fact.select("sales_id", "row_id").orderBy("sales_id").collect()
     assert [r.sales_id for r in rows] == list(range(1, len(rows) + 1))
