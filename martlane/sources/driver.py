@@ -54,7 +54,10 @@ def orders_extract(spark: SparkSession, sf_dir: str, parts: int | None = None) -
     """One row per line item in the Orders-sheet shape (FIXTURES.md §2),
     dealt to ``parts`` partitions by order id, if given."""
     li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders")
+    # Days and the ship mode's flag take less room in a shuffled row than the
+    # time stamps and text they come from.
+    li = li.withColumns({"l_shipdate": F.col("l_shipdate").cast("date"), "l_linestatus": F.col("l_linestatus") == "F"})
+    o = read_table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     c = read_table(spark, sf_dir, "customer")
     p = read_table(spark, sf_dir, "part")
     geo = _geo(spark, sf_dir)
@@ -77,9 +80,9 @@ def orders_extract(spark: SparkSession, sf_dir: str, parts: int | None = None) -
     joined_cols = joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("row_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("l_shipdate").cast("date").alias("ship_date"),
-        F.when(F.col("l_linestatus") == "F", "Standard Class").otherwise("First Class").alias("ship_mode"),
+        F.col("o_orderdate").alias("order_date"),
+        F.col("l_shipdate").alias("ship_date"),
+        F.when(F.col("l_linestatus"), "Standard Class").otherwise("First Class").alias("ship_mode"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("c_mktsegment").alias("segment"),
