@@ -203,3 +203,27 @@ def test_local_cluster_needs_a_named_checkpoint_folder():
 
     with pytest.raises(RuntimeError):
         checkpoint_root(Fake)
+
+
+def test_compressed_csv_is_read_whole_from_files_of_bounded_rows(spark, scratch, monkeypatch):
+    rows = [{"row_id": i, "order_id": f"O{i}", "product_name": f'Desk, "{i}"' if i % 3 else None} for i in range(50)]
+    df = orders_df(spark, rows).coalesce(2)
+    monkeypatch.setattr(K, "COMPRESSED_ROWS", 10)
+    K.write_csv(df, f"{scratch}/gz", compression="gzip")
+    K.write_csv(df, f"{scratch}/plain")
+    files = [f for f in os.listdir(f"{scratch}/gz") if f.startswith("part-")]
+    assert len(files) == 6 and all(f.endswith(".csv.gz") for f in files)  # 25 rows a partition, each file with its header
+    gz, plain = (X.read_orders(spark, f"{scratch}/{d}") for d in ("gz", "plain"))
+    assert gz.dtypes == plain.dtypes and gz.count() == 50
+    assert gz.exceptAll(plain).count() == 0
+
+
+def test_extracts_go_through_csv_files_smaller_than_their_text(spark):
+    from martlane.plans.clean_keys import _through_csv, orders_extract
+
+    orders = orders_extract(spark, SF_SMALL)
+    folder = _through_csv(spark, orders, "orders")
+    K.write_csv(orders, f"{folder}_plain")
+    size = lambda d: sum(os.path.getsize(f"{d}/{f}") for f in os.listdir(d))
+    assert 3 * size(folder) < size(f"{folder}_plain")
+    assert spark.read.csv(folder, header=True).count() == orders.count()
