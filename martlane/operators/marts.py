@@ -6,8 +6,6 @@ Money is summed as DECIMAL and cast to double at the end; ratios are
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,6 +160,17 @@ def grain_sums(fact: DataFrame) -> DataFrame:
     )
 
 
+class _WithFact:
+    """``star`` with another fact; its other tables are those of ``star``, asked
+    for only when a mart reads them (a gradual warehouse writes no others)."""
+
+    def __init__(self, star, fact_sales: DataFrame):
+        self._star, self.fact_sales = star, fact_sales
+
+    def __getattr__(self, name: str):
+        return getattr(self._star, name)
+
+
 def rolled_up(star, path: str) -> dict:
     """{grain: ``star`` with that grain's sums as its fact}; the sums are
     written to ``path``, a folder for each grain.  Sums of exact sums are the
@@ -169,5 +178,5 @@ def rolled_up(star, path: str) -> dict:
     the order grain, so the marts of ``MART_GRAINS`` come out the same."""
     grain_sums(star.fact_sales).write.partitionBy("grain").parquet(path)
     sums = star.fact_sales.sparkSession.read.schema(grain_sums(star.fact_sales).schema).parquet(path)
-    return {name: replace(star, fact_sales=sums.where(F.col("grain") == name).select(*key, "sales", "profit", "quantity"))
+    return {name: _WithFact(star, sums.where(F.col("grain") == name).select(*key, "sales", "profit", "quantity"))
             for name, key in GRAINS.items()}

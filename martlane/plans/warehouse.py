@@ -28,8 +28,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from martlane.operators.clean import CleanReport, clean_orders
-from martlane.operators.numbering import dense_ids, range_dealt
-from martlane.operators.star import Star, build_fact_sales, build_star, dim_people_of
+from martlane.operators.numbering import numbered
+from martlane.operators.star import Star, build_fact_sales, build_star, created_at, dim_people_of
 from martlane.session import checkpoint_root, input_bytes
 from martlane.sources.catalog import create_database, point_to
 from martlane.sources.driver import Extracts, defective_orders
@@ -41,7 +41,6 @@ TABLES = [
 # written last: a folder without it is no finished warehouse
 COMPLETE = "_complete"
 RAW_PLACE = "raw_orders_place"
-FACT_RANGES = "fact_ranges"  # only while the fact is built
 #: Bytes of ``raw_orders`` a range of the fact; its rows take about eight times that.
 RANGE_BYTES = 16 << 20
 
@@ -123,8 +122,7 @@ def build_from_clean(
 def _write_table(spark: SparkSession, root: str, name: str, star: Star) -> None:
     """One table of ``star``, whose ``raw_orders`` is the written one."""
     if name == "fact_sales":
-        _write(numbered_fact(spark, root, star), f"{root}/fact_sales")
-        _drop(spark, f"{root}/{FACT_RANGES}")
+        numbered_fact(spark, root, star)
     elif name == "dim_people":
         # the same aggregate as raw_people, so it starts from the written one
         _write(dim_people_of(spark.read.parquet(f"{root}/raw_people")), f"{root}/dim_people")
@@ -133,13 +131,14 @@ def _write_table(spark: SparkSession, root: str, name: str, star: Star) -> None:
 
 
 def numbered_fact(spark: SparkSession, root: str, star: Star) -> DataFrame:
-    """The fact with a dense sales_id in the order of the row key: its ranges
-    are written, and numbered as they are read."""
-    ranged = f"{root}/{FACT_RANGES}"
-    ranges = -(-input_bytes(spark, table_path(spark, root, "raw_orders")) // RANGE_BYTES)
-    fact = build_fact_sales(star.raw_orders, with_sales_id=False)
-    _write(range_dealt(fact, "row_id", ignore=("created_at",), ranges=ranges), ranged)
-    return dense_ids(spark.read.parquet(ranged), "sales_id")
+    """The written fact, with a dense sales_id in the order of the row key and
+    a file for each range: its rows are dealt and written once."""
+    size = input_bytes(spark, table_path(spark, root, "raw_orders"))
+    # as many as the size asks for; smaller ones only to give each core some
+    ranges = max(1, -(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, size // (RANGE_BYTES >> 4)))
+    fact = build_fact_sales(star.raw_orders, with_sales_id=False).drop("created_at")
+    _write(numbered(fact, "row_id", "sales_id", ranges).select("*", created_at()), f"{root}/fact_sales")
+    return spark.read.parquet(f"{root}/fact_sales")
 
 
 def _write_rest(spark: SparkSession, root: str, star: Star, names: list[str], max_parallel_writes: int = 4) -> None:

@@ -178,3 +178,13 @@ def test_calendar_of_years_and_of_nothing(spark):
     undated = facts(spark, (None, "5"))
     assert [tuple(r) for r in V.yearly_revenue(undated, calendar=True).collect()] == [(None, 5.0, None, None)]
     assert A.monthly_growth(facts(spark), calendar=True).count() == 0
+
+
+def test_marts_from_rollups_ask_for_no_table_they_do_not_read(spark, scratch):
+    from martlane.plans.warehouse import GradualStar
+
+    rows = [{"row_id": i, "order_id": f"O{i // 2}", "customer_id": f"C{i % 3}", "product_id": f"P{i % 4}"} for i in range(12)]
+    star = GradualStar(f"{scratch}/wh", clean_df(spark, rows))
+    out = K.export_all(star, f"{scratch}/marts")
+    assert out["customer_loyalty.csv"] == 3 and out["product_performance.csv"] == 4
+    assert set(os.listdir(f"{scratch}/wh")) == {"raw_orders", "fact_sales", "dim_customer", "dim_product"}

@@ -7,7 +7,7 @@ import os
 
 from conftest import SF_SMALL
 from helpers import clean_df
-from martlane.operators.numbering import dense_ids, range_dealt
+from martlane.operators.numbering import dense_ids, numbered, range_dealt
 from martlane.plans.warehouse import star_for
 from martlane.sources import sinks as K
 from pyspark.sql import functions as F
@@ -67,3 +67,34 @@ def test_bounded_marts_are_one_file_and_replaced_whole(spark, scratch):
     K.write_one_csv(spark.range(5), f"{scratch}/old.csv")
     assert spark.read.csv(f"{scratch}/old.csv", header=True).count() == 5
     assert not [x for x in os.listdir(scratch) if x.endswith(".writing")]
+
+
+def test_rows_are_numbered_with_their_ranges_fixed_first(spark, scratch):
+    """NULL and hot keys are parted by the other columns; the ids are those of
+    one sort, whatever the number of ranges and the split of the input."""
+    k = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 == 1, F.lit(None)).otherwise(F.col("id") % 900)
+    df = spark.range(6000).select(k.alias("k"), F.when(F.col("id") % 7 != 0, F.concat(F.lit("v"), F.col("id") % 4000)).alias("v"),
+                                  (F.col("id") / 8).cast("decimal(9,2)").alias("w"), F.rand().alias("stamp"))
+    df.repartition(5).write.parquet(f"{scratch}/df")
+    read = spark.read.parquet(f"{scratch}/df")
+    plain = sorted(((r.k, r.v, r.w) for r in read.collect()), key=lambda r: [(x is not None, x) for x in r])
+    for ranges in (1, 2, 13, 40):
+        out = numbered(read, "k", "id", ranges, ignore=("stamp",))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        rows = out.orderBy("id").collect()
+        assert [r.id for r in rows] == list(range(1, 6001))
+        assert [(r.k, r.v, r.w) for r in rows] == plain
+        assert out.columns == ["id", "k", "v", "w", "stamp"]
+        assert len(sizes) == ranges and max(sizes) < 2.5 * 6000 / ranges
+    assert numbered(read.limit(0), "k", "id", 3).count() == 0
+
+
+def test_the_fact_is_written_once(spark, scratch, monkeypatch):
+    from martlane.plans import warehouse as W
+
+    written, write = [], W._write
+    monkeypatch.setattr(W, "_write", lambda df, path: (written.append(os.path.basename(path)), write(df, path)))
+    star = W.GradualStar(f"{scratch}/wh", star_for(spark, SF_SMALL).raw_orders)
+    fact = star.fact_sales
+    assert written == ["raw_orders", "fact_sales"]
+    assert dict(fact.dtypes) == dict(star_for(spark, SF_SMALL).fact_sales.dtypes)
