@@ -16,6 +16,7 @@ holds a third of all lines costs one partial row per input partition.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,19 +38,27 @@ def created_at():
     return F.localtimestamp().alias("created_at")
 
 
-def _latest_per_key(raw: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """One row per key: attributes of the latest order line, ties -> lowest
-    row_id.  Lines are hash-aggregated by key, attributes and date first; only
-    that small result meets the sorting ``max_by`` over structs."""
-    attrs = [c for c in cols if c != key]
-    rank = F.struct(F.col("order_date"), (-F.col("row_id")).alias("neg_row_id"))
-    return (
-        raw.groupBy(key, *attrs, "order_date")
-        .agg(F.min("row_id").alias("row_id"))
-        .groupBy(key)
-        .agg(F.max_by(F.struct(*attrs), rank).alias("_a"))
-        .select(key, *[F.col(f"_a.{c}").alias(c) for c in attrs])
-    )
+#: Below every day (an int) and above every row_id (a bigint).
+NO_DAY, NO_ROW, DAY = -(1 << 31) - 1, Decimal(10**19), Decimal(10**20)
+
+
+def versions(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per key and attributes: the place ``row_id_by_day`` of its first
+    line, which are ordered by latest day, then lowest row_id (NULLs last).
+    One number holds both, so lines are hash-aggregated and only the versions
+    of a key are shuffled, not its days."""
+    day = F.coalesce(F.unix_date("order_date").cast("bigint"), F.lit(NO_DAY)).cast("decimal(10,0)")
+    row = F.coalesce(F.col("row_id").cast("decimal(20,0)"), F.lit(NO_ROW))
+    place = (row - day * F.lit(DAY)).alias("row_id_by_day")
+    return raw.select(*cols, place).groupBy(*cols).agg(F.min("row_id_by_day").alias("row_id_by_day"))
+
+
+def latest_per_key(found: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per key, the first of ``cols``: the attributes of its latest
+    order line, ties -> lowest row_id, from the ``versions`` of the lines."""
+    key, *attrs = cols
+    first = F.min_by(F.struct(*attrs), F.col("row_id_by_day")).alias("_a")
+    return found.groupBy(key).agg(first).select(key, *[F.col(f"_a.{c}").alias(c) for c in attrs])
 
 
 # --------------------------------------------------------------------- T1
@@ -85,7 +94,7 @@ def build_dim_customer(raw: DataFrame, grain: str = "distinct") -> DataFrame:
     if grain == "distinct":
         base = raw.select(*CUSTOMER_DISTINCT_COLS).distinct()
     elif grain == "key":
-        base = _latest_per_key(raw, "customer_id", CUSTOMER_KEY_COLS)
+        base = latest_per_key(versions(raw, CUSTOMER_KEY_COLS), CUSTOMER_KEY_COLS)
     else:
         raise ValueError(f"unknown grain {grain!r}")
     return base.select("*", created_at())
@@ -96,7 +105,7 @@ def build_dim_product(raw: DataFrame, grain: str = "distinct") -> DataFrame:
     if grain == "distinct":
         base = raw.select(*PRODUCT_COLS).distinct()
     elif grain == "key":
-        base = _latest_per_key(raw, "product_id", PRODUCT_COLS)
+        base = latest_per_key(versions(raw, PRODUCT_COLS), PRODUCT_COLS)
     else:
         raise ValueError(f"unknown grain {grain!r}")
     return base.select("*", created_at())

@@ -4,9 +4,10 @@ The reference starts from extract files; the driver data arrives as
 normalised tables.  ``extracts_for`` derives the Orders / Returns / People
 extracts from the driver tables (and, on request, the seeded-dirt Orders
 variant), writes them once as multi-file Parquet under the checkpoint
-folder and hands back Parquet scans - so the cleaning operators and the
-warehouse build run over extract files, as in production, instead of
-re-joining the driver tables each time.
+folder and hands back Parquet scans - so the cleaning operators run over
+extract files, as in production, instead of re-joining the driver tables each
+time.  The warehouse build reads each extract once: it takes the files where
+they are written, and else the frames (``extracts_once``).
 
 Orders and Returns are bucketed by order id, with as many buckets as the
 input's size asks for: equal lines and an order's returns lie in one bucket,
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,17 +52,38 @@ def write_bucketed(df: DataFrame, path: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def write_people(spark: SparkSession, people: DataFrame, root: str) -> DataFrame:
+    """A row a region: as a file its size is known, so lines joined with it
+    are not shuffled."""
+    people.write.mode("overwrite").parquet(f"{root}/people")
+    return spark.read.parquet(f"{root}/people")
+
+
 def write_extracts(spark: SparkSession, sf_dir: str, root: str) -> Extracts:
     buckets = bucket_count(spark, sf_dir)
     ex = driver_extracts(spark, sf_dir, buckets)
-    ex.people.write.mode("overwrite").parquet(f"{root}/people")
+    people = write_people(spark, ex.people, root)
     return Extracts(
         orders=write_bucketed(ex.orders, f"{root}/orders", buckets),
         returns=write_bucketed(ex.returns, f"{root}/returns", buckets),
-        people=spark.read.parquet(f"{root}/people"),
+        people=people,
     )
 
 
+def extracts_once(spark: SparkSession, sf_dir: str) -> Extracts:
+    """The extracts for a single pass over them: the files, where a query had
+    them written, else the frames they are written from, dealt by order id
+    alike.  The warehouse writes every line of them anyway."""
+    from martlane.plans.warehouse import fresh_root, input_key
+
+    with _LOCK:
+        ex = _MEMO.get((*input_key(spark, sf_dir), False))
+    if ex is None:
+        ex = driver_extracts(spark, sf_dir, bucket_count(spark, sf_dir))
+        ex = replace(ex, people=write_people(spark, ex.people, f"{fresh_root(spark)}/extracts"))
+    return ex
+
+
 def extracts_for(spark: SparkSession, sf_dir: str, dirty: bool = False, rewrite: bool = False) -> Extracts:
     """Extract files derived from ``sf_dir`` (written once per application)."""
     from martlane.plans.warehouse import fresh_root, input_key

@@ -53,12 +53,14 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _key_tables(s):
+    # written first: the other two start from their versions
+    by_key = s.dim_customer_key, s.dim_product_key
     return {
         "dim_date": (s.dim_date, PRIMARY_KEYS["dim_date"]),
         "dim_customer": (s.dim_customer, PRIMARY_KEYS["dim_customer"]),
-        "dim_customer_key": (s.dim_customer_key, PRIMARY_KEYS["dim_customer"]),
+        "dim_customer_key": (by_key[0], PRIMARY_KEYS["dim_customer"]),
         "dim_product": (s.dim_product, PRIMARY_KEYS["dim_product"]),
-        "dim_product_key": (s.dim_product_key, PRIMARY_KEYS["dim_product"]),
+        "dim_product_key": (by_key[1], PRIMARY_KEYS["dim_product"]),
         "dim_people": (s.dim_people, PRIMARY_KEYS["dim_people"]),
         # sales_id is dense by construction; the line's own key need not be unique
         "fact_sales": (s.fact_sales, ["row_id"]),
@@ -83,7 +85,8 @@ def _without_years(fact: DataFrame) -> DataFrame:
 def _orders_vs_returns_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martlane.plans.extract_store import extracts_for
 
-    return D.orders_vs_returns(star_for(spark, sf_dir).raw_orders, extracts_for(spark, sf_dir).returns)
+    returns = extracts_for(spark, sf_dir).returns  # written first, so that the warehouse reads them
+    return D.orders_vs_returns(star_for(spark, sf_dir).raw_orders, returns)
 
 
 # One registry for queries and command-line reports: key -> fn(star).

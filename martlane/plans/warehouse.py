@@ -29,7 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlane.operators.clean import CleanReport, clean_orders
 from martlane.operators.numbering import numbered
-from martlane.operators.star import Star, build_fact_sales, build_star, created_at, dim_people_of
+from martlane.operators.star import (
+    CUSTOMER_DISTINCT_COLS, CUSTOMER_KEY_COLS, PRODUCT_COLS, Star, build_fact_sales, build_star, created_at,
+    dim_people_of, latest_per_key, versions,
+)
 from martlane.session import checkpoint_root, input_bytes
 from martlane.sources.catalog import create_database, point_to
 from martlane.sources.driver import Extracts, defective_orders
@@ -41,6 +44,10 @@ TABLES = [
 # written last: a folder without it is no finished warehouse
 COMPLETE = "_complete"
 RAW_PLACE = "raw_orders_place"
+#: A dimension by key, whose versions are written beside it: its columns, the
+#: dimension of distinct rows that can start from them too, and its columns.
+VERSIONED = {"dim_customer_key": (CUSTOMER_KEY_COLS, "dim_customer", CUSTOMER_DISTINCT_COLS),
+             "dim_product_key": (PRODUCT_COLS, "dim_product", PRODUCT_COLS)}
 #: Bytes of ``raw_orders`` a range of the fact; its rows take about eight times that.
 RANGE_BYTES = 16 << 20
 
@@ -126,10 +133,23 @@ def _write_table(spark: SparkSession, root: str, name: str, star: Star) -> None:
     elif name == "dim_people":
         # the same aggregate as raw_people, so it starts from the written one
         _write(dim_people_of(spark.read.parquet(f"{root}/raw_people")), f"{root}/dim_people")
+    elif name in VERSIONED:
+        cols, *_ = VERSIONED[name]
+        found = f"{root}/{name}_versions"
+        _write(versions(star.raw_orders, cols), found)
+        _write(latest_per_key(spark.read.parquet(found), cols).select("*", created_at()), f"{root}/{name}")
     else:
         _write(getattr(star, name), f"{root}/{name}")
 
 
+def _write_distinct(spark: SparkSession, root: str, keyed: str) -> None:
+    """The dimension of distinct rows from the written versions of the one by
+    key, which hold them all: the lines are not grouped again."""
+    _, name, cols = VERSIONED[keyed]
+    found = spark.read.parquet(f"{root}/{keyed}_versions")
+    _write(found.select(*cols).distinct().select("*", created_at()), f"{root}/{name}")
+
+
 def numbered_fact(spark: SparkSession, root: str, star: Star) -> DataFrame:
     """The written fact, with a dense sales_id in the order of the row key and
     a file for each range: its rows are dealt and written once."""
@@ -146,12 +166,17 @@ def _write_rest(spark: SparkSession, root: str, star: Star, names: list[str], ma
     # The staging derivations and dimensions are independent aggregates of
     # the written table: submit them as concurrent jobs so small ones fill
     # the cluster beside the big ones.
+    shared = {keyed: name for keyed, (_, name, _) in VERSIONED.items() if {keyed, name} <= {*names}}
     last = [n for n in ("dim_people", "fact_sales") if n in names]
     with ThreadPoolExecutor(max_workers=max_parallel_writes) as pool:
-        for f in [pool.submit(_write_table, spark, root, n, star) for n in names if n not in last]:
+        for f in [pool.submit(_write_table, spark, root, n, star) for n in names if n not in (*last, *shared.values())]:
+            f.result()
+        for f in [pool.submit(_write_distinct, spark, root, keyed) for keyed in shared]:
             f.result()
     for n in last:
         _write_table(spark, root, n, star)
+    for keyed in VERSIONED:
+        _drop(spark, f"{root}/{keyed}_versions")
     _write(spark.range(1).coalesce(1), f"{root}/{COMPLETE}")
 
 
@@ -174,7 +199,11 @@ class GradualStar(Star):
                 else:
                     if name == "dim_people":
                         self.raw_people  # noqa: B018 - written first
-                    _write_table(spark, self.root, name, build_star(self.raw_orders))
+                    keyed = f"{name}_key"
+                    if keyed in VERSIONED and keyed in self.__dict__ and _exists(spark, f"{self.root}/{keyed}_versions"):
+                        _write_distinct(spark, self.root, keyed)
+                    else:
+                        _write_table(spark, self.root, name, build_star(self.raw_orders))
                 self.__dict__[name] = spark.read.parquet(f"{self.root}/{name}")
             return self.__dict__[name]
 
@@ -247,7 +276,7 @@ def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False, defects: b
     ``rebuild``.  ``defects``: loaded without cleaning from a defective
     extract (``driver.defective_orders``).
     """
-    from martlane.plans.extract_store import extracts_for
+    from martlane.plans.extract_store import extracts_once
 
     named = _NAMED.get((spark.sparkContext.applicationId, os.path.abspath(sf_dir)))
     if named is not None:
@@ -256,7 +285,7 @@ def star_for(spark: SparkSession, sf_dir: str, rebuild: bool = False, defects: b
     with _LOCK:  # one build per (application, input), even with concurrent callers
         star = None if rebuild else _MEMO.get(key)
         if star is None:
-            ex = extracts_for(spark, sf_dir)
+            ex = extracts_once(spark, sf_dir)
             raw = defective_orders(ex.orders, ex.returns) if defects else clean_orders(ex.orders, ex.returns, ex.people)
             star = _MEMO[key] = GradualStar(fresh_root(spark), raw)
     return star.finish() if whole or rebuild else star

@@ -149,3 +149,56 @@ def test_ranges_follow_the_size_where_shuffle_partitions_are_fewer(spark, scratc
     fact = W.numbered_fact(spark, f"{scratch}/wh", W.build_star(raw))
     assert len(fact.inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert_dense(fact)
+
+
+def test_the_warehouse_reads_the_tables_once_and_writes_no_extract(spark, scratch):
+    """Lines go to ``raw_orders`` straight from the tables, with or without
+    defects, unless the extract's files are there; people stay a file."""
+    from martlane.plans import extract_store as X
+    from martlane.sources.driver import defective_orders
+
+    data = f"{scratch}/data"
+    os.makedirs(data)
+    for name in os.listdir(SF_SMALL):
+        shutil.copyfile(f"{SF_SMALL}/{name}", f"{data}/{name}")
+    once = X.extracts_once(spark, data)
+    assert all(f.startswith(f"file://{data}") for f in once.orders.inputFiles() + once.returns.inputFiles())
+    assert not any(f.startswith(f"file://{data}") for f in once.people.inputFiles())
+    before = {k: sorted(map(str, W.star_for(spark, data, defects=k).raw_orders.collect())) for k in (False, True)}
+    ex = X.extracts_for(spark, data)
+    assert X.extracts_once(spark, data) is ex
+    assert before[True] == sorted(map(str, defective_orders(ex.orders, ex.returns).collect()))
+    again = W.star_for(spark, data, rebuild=True)
+    assert before[False] == sorted(map(str, again.raw_orders.collect()))
+    assert not wide_exchanges(defective_orders(once.orders, once.returns))
+
+
+def test_distinct_dimensions_start_from_the_versions_of_those_by_key(spark, scratch, monkeypatch):
+    import datetime as dt
+
+    from helpers import clean_df
+    from martlane.operators.star import build_star
+
+    day = lambda d: dt.date(2014, 1, d)
+    rows = [{"row_id": 5, "customer_id": "A", "customer_name": "old", "order_date": day(1)},
+            {"row_id": 9, "customer_id": "A", "customer_name": "new", "order_date": day(3)},
+            {"row_id": 7, "customer_id": "A", "customer_name": "tied", "order_date": day(3)},
+            {"row_id": 1, "customer_id": "A", "customer_name": "undated", "order_date": None},
+            {"row_id": None, "customer_id": "B", "customer_name": "unnumbered", "order_date": day(2)},
+            {"row_id": 2, "customer_id": "B", "customer_name": "numbered", "order_date": day(2), "city": "Elsewhere"},
+            {"row_id": 3, "customer_id": "B", "customer_name": "numbered", "order_date": day(1)},
+            {"row_id": 4, "customer_id": None, "customer_name": "nobody", "order_date": None},
+            {"row_id": -8, "customer_id": "C", "customer_name": "low", "order_date": dt.date(1960, 1, 1)},
+            {"row_id": 8, "customer_id": "C", "customer_name": "high", "order_date": dt.date(1960, 1, 1)}]
+    names = {"A": "tied", "B": "numbered", None: "nobody", "C": "low"}
+    lazy = build_star(clean_df(spark, rows))
+    assert {r.customer_id: r.customer_name for r in lazy.dim_customer_key.collect()} == names
+    star = W.GradualStar(f"{scratch}/wh", clean_df(spark, rows))
+    assert {r.customer_id: r.customer_name for r in star.dim_customer_key.collect()} == names
+    monkeypatch.setattr(W, "_write_table", None)  # no second pass over the lines
+    distinct = lambda df: sorted(map(str, df.drop("created_at").collect()))
+    assert distinct(star.dim_customer) == distinct(lazy.dim_customer) and star.dim_customer.count() == 9
+    monkeypatch.undo()
+    star.finish()
+    assert set(os.listdir(f"{scratch}/wh")) == {*W.TABLES, W.COMPLETE}
+    assert distinct(star.dim_product) == distinct(lazy.dim_product)
