@@ -10,6 +10,8 @@ column can trade places.  NULLs come first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,13 +95,16 @@ def _range_of(key: str, rest: list[str], schema: T.StructType, bounds: list[tupl
     return out
 
 
-def numbered(df: DataFrame, key: str, name: str, ranges: int, ignore: tuple[str, ...] = ()) -> DataFrame:
+def numbered(df: DataFrame, key: str, name: str, ranges: int, ignore: tuple[str, ...] = (),
+             narrow: Callable[[DataFrame], DataFrame] = lambda x: x,
+             wide: Callable[[DataFrame], DataFrame] = lambda x: x) -> DataFrame:
     """``df`` with dense ids 1..n, in ``ranges`` partitions sorted by ``key``.
 
     Where a range ends is fixed before any row is dealt, so its rows are
     counted first and numbered as they are sorted: what is written is final.
     ``df`` must give the same rows each time, as written tables do.  To the
-    driver go the ranges' last rows and counts, a row a range."""
+    driver go the ranges' last rows and counts, a row a range.  Rows are dealt
+    as ``narrow`` makes them and sorted as ``wide`` gives them back."""
     rest = [c for c in df.columns if c not in (key, *ignore)]
     order = [key, *rest]
     of = _range_of(key, rest, df.schema, _bounds(df, order, ranges))
@@ -107,6 +112,7 @@ def numbered(df: DataFrame, key: str, name: str, ranges: int, ignore: tuple[str,
     before = [0]
     for i in range(ranges - 1):
         before.append(before[-1] + rows.get(i, 0))
-    dealt = df.repartitionById(ranges, of).sortWithinPartitions(*order).withColumn(PLACE, F.monotonically_increasing_id())
+    dealt = wide(narrow(df.withColumn(RANGE, of)).repartitionById(ranges, F.col(RANGE))).drop(RANGE)
+    dealt = dealt.sortWithinPartitions(*order).withColumn(PLACE, F.monotonically_increasing_id())
     offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), F.shiftright(PLACE, 33).cast("int"))
     return dealt.select((offset + F.col(PLACE).bitwiseAND(F.lit(_INSIDE)) + 1).alias(name), *df.columns)

@@ -21,6 +21,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlane.functions.numeric import profit_margin
+from martlane.schemas import FACT_SCHEMA
+
 CUSTOMER_DISTINCT_COLS = ["customer_id", "customer_name", "segment", "country", "region", "market"]
 CUSTOMER_KEY_COLS = [
     "customer_id", "customer_name", "segment", "postal_code", "city", "state", "country", "region", "market",
@@ -138,6 +141,52 @@ def build_fact_sales(raw: DataFrame, with_sales_id: bool = True) -> DataFrame:
     return raw.select(*sid, *cols, returned, F.col("region"), F.col("market"), created_at())
 
 
+#: Columns that a line is dealt with in one number, and its bits: by what rule
+#: its margin is found (0: it is kept as it is), then NULL as 0 in the others.
+DEALT = ("profit_margin", "returned", "discount", "quantity")
+_RETURNED, _DISCOUNT, _QUANTITY = 2, 4, 19
+_NO_CENTS, _NO_INT = 10_000, (1 << 31) + 1
+
+
+def _margins():
+    """The cleaning's margin (C18), and the ratio it rounds."""
+    ratio = (F.col("profit") / F.nullif(F.col("sales"), F.lit(0))).cast("double")
+    return profit_margin("profit", "sales"), ratio
+
+
+def narrow_fact(fact: DataFrame) -> DataFrame:
+    """``fact`` with fewer bytes a line, to be dealt and made ``wide_fact``
+    again: every value of ``DEALT`` comes back as it was."""
+    if any(fact.schema[c].dataType != FACT_SCHEMA[c].dataType for c in DEALT):
+        return fact
+    margin, ratio = (F.col("profit_margin").eqNullSafe(m) for m in _margins())
+    rule = F.when(margin, 1).when(ratio, 2).otherwise(0).cast("bigint")
+    returned = F.when(F.col("returned"), 2).when(~F.col("returned"), 1).otherwise(0).cast("bigint")
+    cents = F.coalesce((F.col("discount") * 100).cast("bigint") + _NO_CENTS, F.lit(0).cast("bigint"))
+    whole = F.coalesce(F.col("quantity").cast("bigint") + _NO_INT, F.lit(0).cast("bigint"))
+    bits = rule + F.shiftleft(returned, _RETURNED) + F.shiftleft(cents, _DISCOUNT) + F.shiftleft(whole, _QUANTITY)
+    kept = F.when(~margin & ~ratio, F.col("profit_margin"))
+    return fact.withColumns({"_bits": bits, "profit_margin": kept}).drop(*DEALT[1:])
+
+
+def wide_fact(narrow: DataFrame) -> DataFrame:
+    """What ``narrow_fact`` was given, its columns in another order."""
+    if "_bits" not in narrow.columns:
+        return narrow
+
+    def field(low: int, high: int):
+        return F.shiftright("_bits", low).bitwiseAND(F.lit((1 << (high - low)) - 1))
+
+    rule, cents, whole = field(0, _RETURNED), field(_DISCOUNT, _QUANTITY), F.shiftright("_bits", _QUANTITY)
+    margin, ratio = _margins()
+    return narrow.withColumns({
+        "profit_margin": F.when(rule == 1, margin).when(rule == 2, ratio).otherwise(F.col("profit_margin")),
+        "returned": F.nullif(field(_RETURNED, _DISCOUNT), F.lit(0)) == 2,
+        "discount": ((F.nullif(cents, F.lit(0)) - _NO_CENTS).cast("decimal(6,0)") / 100).cast(FACT_SCHEMA["discount"].dataType),
+        "quantity": (F.nullif(whole, F.lit(0)) - _NO_INT).cast("int"),
+    }).drop("_bits")
+
+
 @dataclass
 class Star:
     """Cleaned staging tables plus the star schema."""

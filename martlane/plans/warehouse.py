@@ -31,7 +31,7 @@ from martlane.operators.clean import CleanReport, clean_orders
 from martlane.operators.numbering import numbered
 from martlane.operators.star import (
     CUSTOMER_DISTINCT_COLS, CUSTOMER_KEY_COLS, PRODUCT_COLS, Star, build_fact_sales, build_star, created_at,
-    dim_people_of, latest_per_key, versions,
+    dim_people_of, latest_per_key, narrow_fact, versions, wide_fact,
 )
 from martlane.session import checkpoint_root, input_bytes
 from martlane.sources.catalog import create_database, point_to
@@ -157,7 +157,8 @@ def numbered_fact(spark: SparkSession, root: str, star: Star) -> DataFrame:
     # as many as the size asks for; smaller ones only to give each core some
     ranges = max(1, -(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, size // (RANGE_BYTES >> 4)))
     fact = build_fact_sales(star.raw_orders, with_sales_id=False).drop("created_at")
-    _write(numbered(fact, "row_id", "sales_id", ranges).select("*", created_at()), f"{root}/fact_sales")
+    fact = numbered(fact, "row_id", "sales_id", ranges, narrow=narrow_fact, wide=wide_fact)
+    _write(fact.select("*", created_at()), f"{root}/fact_sales")
     return spark.read.parquet(f"{root}/fact_sales")
 
 

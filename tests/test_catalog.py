@@ -188,3 +188,34 @@ def test_marts_from_rollups_ask_for_no_table_they_do_not_read(spark, scratch):
     out = K.export_all(star, f"{scratch}/marts")
     assert out["customer_loyalty.csv"] == 3 and out["product_performance.csv"] == 4
     assert set(os.listdir(f"{scratch}/wh")) == {"raw_orders", "fact_sales", "dim_customer", "dim_product"}
+
+
+def shuffled_columns(df):
+    """The columns of every shuffle."""
+    plan = df._jdf.queryExecution().executedPlan().initialPlan()
+
+    def walk(node):
+        out, kids = node.output(), node.children()
+        own = [[out.apply(i).name() for i in range(out.size())]] if node.nodeName() == "Exchange" else []
+        return own + [x for i in range(kids.size()) for x in walk(kids.apply(i))]
+
+    return walk(plan)
+
+
+def test_orders_by_discount_are_shuffled_without_their_sums(spark):
+    rows = [{"row_id": i, "order_id": None if i == 5 else f"O{i // 2}", "sales": Decimal(i),
+             "discount": [None, Decimal("0.10"), Decimal("0.20")][i % 3]} for i in range(9)]
+    got = E.discount_profitability(build_star(clean_df(spark, rows)).fact_sales)
+    assert all(set(c) <= {"_of", "order_id"} for c in shuffled_columns(got) if "order_id" in c)
+    assert [(r.discount, r.orders, r.revenue) for r in got.collect()] == [(0.1, 3, 12.0), (0.2, 2, 15.0), (None, 3, 9.0)]
+
+
+def test_orders_of_a_rollup_are_not_grouped_again_by_region(spark, scratch):
+    rows = [{"row_id": i, "order_id": f"O{i // 3}", "customer_id": f"C{i % 2}", "order_date": dt.date(2014, 1, 1 + i % 5),
+             "region": f"R{i % 4}"} for i in range(24)]  # orders of several customers and days, customers of several regions
+    star = build_star(clean_df(spark, rows))
+    build = E.MARTS["regional_performance"][1]
+    plain, rolled = build(star), build(E.rolled_up(star, f"{scratch}/sums")["order"])
+    assert values(rolled) == values(plain) and rolled.schema == plain.schema
+    keys = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Aggregate(keys=[customer_id")
+    assert keys(plain) > keys(rolled) == 0

@@ -98,3 +98,22 @@ def test_the_fact_is_written_once(spark, scratch, monkeypatch):
     fact = star.fact_sales
     assert written == ["raw_orders", "fact_sales"]
     assert dict(fact.dtypes) == dict(star_for(spark, SF_SMALL).fact_sales.dtypes)
+
+
+def test_a_narrow_fact_becomes_the_same_fact_again(spark):
+    from decimal import Decimal as D
+
+    from martlane.operators.star import build_fact_sales, narrow_fact, wide_fact
+
+    values = {"profit_margin": [None, 0.5, 1.0 / 3, 0.3333, float("nan"), 7.0], "discount": [None, D("-99.99"), D("99.99"), D("0.29")],
+              "quantity": [None, -(1 << 31), (1 << 31) - 1, 0, -3], "returned": [None, "Yes", "No"], "sales": [None, D("0.00"), D("3.00")],
+              "profit": [None, D("1.00"), D("-1.00")]}
+    rows = [{c: v[i // (1 + k) % len(v)] for k, (c, v) in enumerate(values.items())} | {"row_id": i} for i in range(400)]
+    fact = build_fact_sales(clean_df(spark, rows), with_sales_id=False).drop("created_at")
+    fact = fact.withColumn("returned", F.when(F.col("row_id") % 5 != 0, F.col("returned")))
+    narrow = narrow_fact(fact)
+    kept = {r.row_id: r.profit_margin for r in narrow.collect()}
+    assert "quantity" not in narrow.columns and 0 < sum(v is None for v in kept.values()) < 400
+    back = wide_fact(narrow).select(*fact.columns)
+    assert back.dtypes == fact.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, fact.collect()))
