@@ -22,3 +22,20 @@ def spark():
 @pytest.fixture()
 def scratch(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture(autouse=True)
+def sizes_of_the_session():
+    """The shared session's shuffle and scan settings, which a command line run
+    by a test sets for its input, are put back for the next test."""
+    from martlane.session import scale_conf
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    before = {k: s.conf.get(k, None) for k in scale_conf(0)} if s else {}
+    yield
+    for k, v in before.items():
+        if v is None:
+            s.conf.unset(k)
+        elif s.conf.get(k, None) != v:
+            s.conf.set(k, v)
